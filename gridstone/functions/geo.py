@@ -190,9 +190,11 @@ def _binder(stage: Stage, carried: list[str]) -> Callable[[Column], Column]:
 
 def parse_geometry(geometry_json: Column) -> Column:
     """JSON vertex list to an array; null on bad JSON or when any vertex lacks a number."""
-    geom = F.from_json(geometry_json, GEOMETRY_TYPE)
-    broken = F.exists(geom, lambda v: v["lat"].isNull() | v["lon"].isNull())
-    return F.when(~broken, geom)
+    whole = F.filter(
+        F.array(F.from_json(geometry_json, GEOMETRY_TYPE)),
+        lambda g: ~F.exists(g, lambda v: v["lat"].isNull() | v["lon"].isNull()),
+    )
+    return F.get(whole, F.lit(0))
 
 
 def centroid(geom: Column) -> Column:

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from gridstone.session import cut_lineage
@@ -30,6 +30,12 @@ MIN_CELL_M = 16.0
 # Cell edges are computed in floating point; bounds are loosened by this share.
 _SLACK = 1 + 1e-9
 _NULL_SALTS = 1024
+# An index of up to this many listed points (some 100 bytes each) is sent to every task.
+BROADCAST_ENTRIES = 400_000
+# The search starts at one of the coarsest levels: the finest of these whose blocks hold
+# this many points on average.
+_START_LEVELS = 3
+_FILLED = 4
 
 
 @dataclass(frozen=True)
@@ -42,6 +48,7 @@ class NearestIndex:
     finest: float
     levels: int
     used: tuple[int, ...]
+    entries: int  # listed points over all cells, counted while building
 
 
 def _gap(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
@@ -52,6 +59,10 @@ def _reach(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
     return F.greatest(hi_a - lo_b, hi_b - lo_a)
 
 
+def _offsets(steps: range) -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in steps for j in steps])
+
+
 def _bounds(cx: Column, cy: Column, bx: Column, by: Column, size: float) -> tuple[Column, Column]:
     """Least and greatest squared distance between a cell and a block of equal size."""
     spans = [(c * size, (c + 1) * size, b * size, (b + 1) * size) for c, b in ((cx, bx), (cy, by))]
@@ -77,26 +88,33 @@ def build_index(
     levels = max(1, math.ceil(math.log2(reach / MIN_CELL_M)) + 1)
     finest = reach / 2 ** (levels - 1)
 
+    def block(level: int) -> list[Column]:
+        shift = levels - 1 - level
+        return [F.shiftright("ix", shift).alias("bx"), F.shiftright("iy", shift).alias("by")]
+
     x, y = (F.col(c).cast("double") for c in right_xy)
     place = F.struct(*[F.col(c).alias(f"k_{c}") for c in order], *[F.col(c) for c in columns])
     if not (order or columns):
         place = F.struct(F.lit(True).alias("found"))
+    spread = Observation()
+    coarse = range(min(_START_LEVELS, levels))
     points = cut_lineage(
         right.select(x.alias("x"), y.alias("y"), place.alias("place"))
         .where("x is not null and y is not null and not isnan(x) and not isnan(y)")
         .groupBy("x", "y").agg(F.min("place").alias("place"))
         .withColumns({"ix": F.floor(F.col("x") / finest), "iy": F.floor(F.col("y") / finest)})
+        .observe(spread, F.count(F.lit(1)).alias("points"),
+                 *[F.approx_count_distinct(F.struct(*block(k))).alias(f"blocks_{k}") for k in coarse])
     )
+    seen = spread.get
+    # Coarse levels are skipped where blocks of the next one are still well filled.
+    start = max([k for k in coarse if seen["points"] >= _FILLED * seen[f"blocks_{k}"]], default=0)
 
-    def at(level: int) -> list[Column]:
-        shift = levels - 1 - level
-        return [F.shiftright("ix", shift).alias("bx"), F.shiftright("iy", shift).alias("by")]
-
-    def blocks(level: int) -> DataFrame:
-        return points.groupBy(*at(level)).agg(F.count("*").alias("n"))
+    def occupied(level: int) -> DataFrame:
+        return points.groupBy(*block(level)).agg(F.count("*").alias("n"))
 
-    def pruned(pairs: DataFrame, size: float) -> DataFrame:
-        near, far = _bounds(*(F.col(c) for c in ("cx", "cy", "bx", "by")), size)
+    def pruned(pairs: DataFrame, level: int) -> DataFrame:
+        near, far = _bounds(*(F.col(c) for c in ("cx", "cy", "bx", "by")), finest * 2 ** (levels - 1 - level))
         cell = Window.partitionBy("cx", "cy")
         return (
             pairs.withColumns({"near": near, "far": far})
@@ -104,47 +122,58 @@ def build_index(
             .withColumn("limit", F.min("far").over(cell))
             .where(F.col("near") <= F.col("limit") * _SLACK)
             .withColumn("listed", F.sum("n").over(cell))
-            .select("cx", "cy", "bx", "by", "limit", "listed")
+            .select(F.lit(level).alias("level"), "cx", "cy", "bx", "by", "limit", "listed")
         )
 
-    around = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)
-    ])
-    quarters = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
-
-    pairs = blocks(0).select("bx", "by", "n", F.inline(around)).select(
-        (F.col("bx") + F.col("i")).alias("cx"), (F.col("by") + F.col("j")).alias("cy"),
-        "bx", "by", "n", F.lit(reach * reach).alias("limit"),
-    )
-    finished: list[DataFrame] = []
-    used: list[int] = []
-    for level in range(levels):
-        last = level == levels - 1
-        state = cut_lineage(pruned(pairs, finest * 2 ** (levels - 1 - level)))
-        done = state if last else state.where(F.col("listed") <= MAX_LISTED)
-        finished.append(
-            done.join(points.select(*at(level), "x", "y", "place"), ["bx", "by"])
-            .select(F.lit(level).alias("level"), "cx", "cy", "x", "y", "place")
-        )
-        used.append(level)
-        rest = state.where(F.col("listed") > MAX_LISTED)
-        if last or rest.isEmpty():
-            break
-        halves = blocks(level + 1).select(
+    def halved(open_cells: DataFrame, level: int) -> DataFrame:
+        halves = occupied(level + 1).select(
             F.shiftright("bx", 1).alias("bx"), F.shiftright("by", 1).alias("by"),
             F.col("bx").alias("sub_x"), F.col("by").alias("sub_y"), "n",
         )
-        pairs = (
-            rest.join(halves, ["bx", "by"])
-            .select("cx", "cy", "sub_x", "sub_y", "n", "limit", F.inline(quarters))
+        return (
+            open_cells.join(halves, ["bx", "by"])
+            .select("cx", "cy", "sub_x", "sub_y", "n", "limit", F.inline(_offsets(range(2))))
             .select(
                 (F.col("cx") * 2 + F.col("i")).alias("cx"), (F.col("cy") * 2 + F.col("j")).alias("cy"),
                 F.col("sub_x").alias("bx"), F.col("sub_y").alias("by"), "n", "limit",
             )
         )
 
-    cells = _listed(reduce(DataFrame.unionAll, finished), finest, levels)
-    return NearestIndex(cells, columns, reach, finest, levels, tuple(used))
+    ring = 2**start
+    pairs = occupied(start).select("bx", "by", "n", F.inline(_offsets(range(-ring, ring + 1)))).select(
+        (F.col("bx") + F.col("i")).alias("cx"), (F.col("by") + F.col("j")).alias("cy"),
+        "bx", "by", "n", F.lit(reach * reach).alias("limit"),
+    )
+    finished: list[DataFrame] = []
+    level = start
+    while True:
+        # Two halvings per written step.
+        state, deepest = pruned(pairs, level), level
+        if level + 1 < levels:
+            deepest = level + 1
+            finer = pruned(halved(state.where(F.col("listed") > MAX_LISTED), level), deepest)
+            state = state.where(F.col("listed") <= MAX_LISTED).unionByName(finer)
+        longest = Observation()
+        state = cut_lineage(state.observe(longest, F.max("listed").alias("listed")))
+        last = deepest == levels - 1 or (longest.get["listed"] or 0) <= MAX_LISTED
+        done = state if last else state.where(F.col("listed") <= MAX_LISTED)
+        for k in range(level, deepest + 1):
+            finished.append(
+                done.where(F.col("level") == k).join(points.select(*block(k), "x", "y", "place"), ["bx", "by"])
+                .select("level", "cx", "cy", "x", "y", "place")
+            )
+        if last:
+            break
+        pairs = halved(state.where((F.col("level") == deepest) & (F.col("listed") > MAX_LISTED)), deepest)
+        level = deepest + 1
+
+    size = Observation()
+    cells = cut_lineage(
+        _listed(reduce(DataFrame.unionAll, finished), finest, levels)
+        .observe(size, F.sum(F.size("listed")).alias("entries"))
+    )
+    used = tuple(range(start, deepest + 1))
+    return NearestIndex(cells, columns, reach, finest, levels, used, size.get["entries"] or 0)
 
 
 def _listed(candidates: DataFrame, finest: float, levels: int) -> DataFrame:
@@ -179,35 +208,71 @@ def nearest_join(
     """Left join of the single nearest reference point within ``max_distance``.
 
     Every left row is kept exactly once; without coordinates or match its new columns are
-    null. Positions are looked up once each, so repeated positions cost one search, and
-    rows without a position are spread over salted keys instead of one partition."""
+    null. A small index, by its counted size, is broadcast and searched in the pass that
+    reads the left side. A larger one is joined by key: positions are looked up once each,
+    so repeated positions cost one search, and rows without a position are spread over many
+    keys instead of one partition."""
     index = right if isinstance(right, NearestIndex) else build_index(
         right, right_xy, right_columns, max_distance, tie_break
     )
     added = [*index.columns, *([distance_column] if distance_column else [])]
     left = left.select(*[F.col(f"`{c}`") for c in left.columns if c not in added])
-    x, y = (F.col(c).cast("double") for c in left_xy)
-    located = F.coalesce(~F.isnan(x) & ~F.isnan(y) & x.isNotNull() & y.isNotNull(), F.lit(False))
-
-    places = left.where(located).select(x.alias("x"), y.alias("y")).distinct()
-    ix, iy = (F.floor(F.col(c) / index.finest) for c in ("x", "y"))
-    keys = [
-        F.struct(F.lit(k).alias("level"),
-                 F.shiftright(ix, index.levels - 1 - k).alias("cx"),
-                 F.shiftright(iy, index.levels - 1 - k).alias("cy"))
-        for k in index.used
-    ]
-    px, py = F.col("x"), F.col("y")
+    join = _search_broadcast if index.entries <= BROADCAST_ENTRIES else _search_by_key
+    return join(left, index, left_xy, distance_column)
+
 
+def _best(listed: Column, x: Column, y: Column) -> Column:
     def scored(p: Column) -> Column:
-        d2 = (p["x"] - px) * (p["x"] - px) + (p["y"] - py) * (p["y"] - py)
+        d2 = (p["x"] - x) * (p["x"] - x) + (p["y"] - y) * (p["y"] - y)
         return F.struct(d2.alias("d2"), p["place"].alias("place"))
 
+    return F.array_min(F.transform(listed, scored))
+
+
+def _cell_of(x: Column, y: Column, index: NearestIndex, level: int) -> tuple[Column, Column]:
+    shift = index.levels - 1 - level
+    return tuple(F.shiftright(F.floor(c / index.finest), shift) for c in (x, y))
+
+
+def _located(x: Column, y: Column) -> Column:
+    return F.coalesce(~F.isnan(x) & ~F.isnan(y) & x.isNotNull() & y.isNotNull(), F.lit(False))
+
+
+def _search_broadcast(left: DataFrame, index: NearestIndex, left_xy: tuple[str, str], distance_column: str | None) -> DataFrame:
+    x, y = (F.col(c).cast("double") for c in left_xy)
+    located = _located(x, y)
+    kept = [F.col(f"`{c}`") for c in left.columns]
+    found = left.withColumns({"__x": F.when(located, x), "__y": F.when(located, y)})
+    for k in index.used:
+        cx, cy = _cell_of(F.col("__x"), F.col("__y"), index, k)
+        cells = index.cells.where(F.col("level") == k).select(
+            F.col("cx").alias(f"__cx{k}"), F.col("cy").alias(f"__cy{k}"), F.col("listed").alias(f"__listed{k}")
+        )
+        found = found.join(F.broadcast(cells), (cx == F.col(f"__cx{k}")) & (cy == F.col(f"__cy{k}")), "left")
+    listed = F.coalesce(*[F.col(f"__listed{k}") for k in index.used])
+    # One-element inline: later filters must not repeat the search expression.
+    hit = F.struct(_best(listed, F.col("__x"), F.col("__y")).alias("__hit"))
+    near = F.sqrt("__hit.d2") <= index.max_distance
+    return found.select(*kept, F.inline(F.array(hit))).select(
+        *kept,
+        *[F.when(near, F.col(f"__hit.place.{c}")).alias(c) for c in index.columns],
+        *([F.when(near, F.sqrt("__hit.d2")).alias(distance_column)] if distance_column else []),
+    )
+
+
+def _search_by_key(left: DataFrame, index: NearestIndex, left_xy: tuple[str, str], distance_column: str | None) -> DataFrame:
+    x, y = (F.col(c).cast("double") for c in left_xy)
+    located = _located(x, y)
+    positions = left.where(located).select(x.alias("x"), y.alias("y")).distinct()
+    keys = []
+    for k in index.used:
+        cx, cy = _cell_of(F.col("x"), F.col("y"), index, k)
+        keys.append(F.struct(F.lit(k).alias("level"), cx.alias("cx"), cy.alias("cy")))
     best = (
-        places.select("x", "y", F.inline(F.array(*keys)))
+        positions.select("x", "y", F.inline(F.array(*keys)))
         .join(index.cells, ["level", "cx", "cy"])
         # One-element inline: the distance filter must not repeat the search expression.
-        .select("x", "y", F.inline(F.array(F.array_min(F.transform("listed", scored)))))
+        .select("x", "y", F.inline(F.array(_best(F.col("listed"), F.col("x"), F.col("y")))))
         .where(F.sqrt("d2") <= index.max_distance)
         .select(
             F.col("x").alias("__x"), F.col("y").alias("__y"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,15 +34,51 @@ def distinct_count(df: DataFrame, *columns: str, name: str = "distinct_values")
     return df.select(*columns).distinct().agg(F.count("*").alias(name))
 
 
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, spread and exact quartiles of numeric columns, one row per column."""
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])
-    return df.select(*by, F.inline(cells)).groupBy(*by, "column_name").agg(
+    values = df.select(*by, F.inline(cells)).where("v is not null and not isnan(v)")
+    keys = [*by, "column_name"]
+    basic = values.groupBy(*keys).agg(
         F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev("v").alias("std"),
-        F.min("v").alias("min"),
-        F.percentile("v", 0.25).alias("p25"), F.percentile("v", 0.5).alias("p50"), F.percentile("v", 0.75).alias("p75"),
-        F.max("v").alias("max"), F.sum("v").alias("total"),
+        F.min("v").alias("min"), F.max("v").alias("max"), F.sum("v").alias("total"),
+    )
+    quartiles = quantiles(values, keys, "v", QUARTILES)
+    return basic.join(quartiles, keys).select(*keys, "n", "mean", "std", "min", *QUARTILES, "max", "total")
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float]) -> DataFrame:
+    """Exact quantiles per group, interpolated between neighbours.
+
+    Equal values are counted first. The counts are range-partitioned by group and value and
+    written once; each range is summed up by itself and shifted by the counts before it, so
+    no task holds a whole group. Only the rows around each wanted position are kept."""
+    order = [*[F.asc(k) for k in keys], F.asc(value)]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
+    ranged = cut_lineage(counts.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    # One row per group and range.
+    per_range = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__in_range"))
+    group = Window.partitionBy(*keys)
+    so_far = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(
+        *keys, "__range", F.coalesce(F.sum("__in_range").over(so_far), F.lit(0)).alias("__before"),
+        F.sum("__in_range").over(group).alias("__total"),
     )
+    within = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("__before") + F.sum("__n").over(within)
+    placed = ranged.join(offsets, [*keys, "__range"]).withColumns({"__upto": upto})
+    made = []
+    for name, share in wanted.items():
+        spot = (F.col("__total") - 1) * F.lit(share)
+        # The value at a zero-based position is the first whose running count exceeds it.
+        low = F.min(F.when(F.col("__upto") > F.floor(spot), F.col(value)))
+        high = F.min(F.when(F.col("__upto") > F.ceil(spot), F.col(value)))
+        part = F.max(spot - F.floor(spot))
+        made.append((low + (high - low) * part).alias(name))
+    return placed.groupBy(*keys).agg(*made)
 
 
 def top_k(df: DataFrame, k: int, *order: str | Column) -> DataFrame:
