@@ -40,7 +40,8 @@ _FILLED = 4
 
 @dataclass(frozen=True)
 class NearestIndex:
-    """``cells(level, cx, cy, listed array<struct<x,y,place>>)`` plus its geometry."""
+    """``cells(level, cx, cy, listed struct<xs,ys,places>)`` plus its geometry. The three
+    arrays run in parallel, ordered by place, so that the first minimum wins ties."""
 
     cells: DataFrame
     columns: tuple[str, ...]
@@ -170,7 +171,7 @@ def build_index(
     size = Observation()
     cells = cut_lineage(
         _listed(reduce(DataFrame.unionAll, finished), finest, levels)
-        .observe(size, F.sum(F.size("listed")).alias("entries"))
+        .observe(size, F.sum(F.size("listed.xs")).alias("entries"))
     )
     used = tuple(range(start, deepest + 1))
     return NearestIndex(cells, columns, reach, finest, levels, used, size.get["entries"] or 0)
@@ -191,7 +192,10 @@ def _listed(candidates: DataFrame, finest: float, levels: int) -> DataFrame:
         .withColumn("limit", F.min("far").over(Window.partitionBy(*cell)))
         .where(F.col("near") <= F.col("limit") * _SLACK)
         .groupBy(*cell)
-        .agg(F.collect_list(F.struct("x", "y", "place")).alias("listed"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("listed"))
+        .select(*cell, F.struct(
+            F.col("listed.x").alias("xs"), F.col("listed.y").alias("ys"), F.col("listed.place").alias("places")
+        ).alias("listed"))
     )
 
 
@@ -221,12 +225,19 @@ def nearest_join(
     return join(left, index, left_xy, distance_column)
 
 
-def _best(listed: Column, x: Column, y: Column) -> Column:
-    def scored(p: Column) -> Column:
-        d2 = (p["x"] - x) * (p["x"] - x) + (p["y"] - y) * (p["y"] - y)
-        return F.struct(d2.alias("d2"), p["place"].alias("place"))
+def _searched(df: DataFrame, x: str, y: str, listed: str) -> DataFrame:
+    """Add ``__hit struct<d2,place>`` of the closest listed point, null without a list."""
+    def squared(px: Column, py: Column) -> Column:
+        return (px - F.col(x)) * (px - F.col(x)) + (py - F.col(y)) * (py - F.col(y))
 
-    return F.array_min(F.transform(listed, scored))
+    kept = [F.col(f"`{c}`") for c in df.columns if c != listed]
+    least, first = F.array_min("__d2"), F.array_position("__d2", F.array_min("__d2")).cast("int")
+    hit = F.when(F.col("__d2").isNotNull(), F.struct(
+        least.alias("d2"), F.get(f"{listed}.places", first - 1).alias("place")
+    ))
+    measured = df.withColumn("__d2", F.zip_with(f"{listed}.xs", f"{listed}.ys", squared))
+    # One-element inline: later filters must not repeat the search expression.
+    return measured.select(*kept, F.inline(F.array(F.struct(hit.alias("__hit")))))
 
 
 def _cell_of(x: Column, y: Column, index: NearestIndex, level: int) -> tuple[Column, Column]:
@@ -250,10 +261,8 @@ def _search_broadcast(left: DataFrame, index: NearestIndex, left_xy: tuple[str,
         )
         found = found.join(F.broadcast(cells), (cx == F.col(f"__cx{k}")) & (cy == F.col(f"__cy{k}")), "left")
     listed = F.coalesce(*[F.col(f"__listed{k}") for k in index.used])
-    # One-element inline: later filters must not repeat the search expression.
-    hit = F.struct(_best(listed, F.col("__x"), F.col("__y")).alias("__hit"))
     near = F.sqrt("__hit.d2") <= index.max_distance
-    return found.select(*kept, F.inline(F.array(hit))).select(
+    return _searched(found.select(*kept, "__x", "__y", listed.alias("__listed")), "__x", "__y", "__listed").select(
         *kept,
         *[F.when(near, F.col(f"__hit.place.{c}")).alias(c) for c in index.columns],
         *([F.when(near, F.sqrt("__hit.d2")).alias(distance_column)] if distance_column else []),
@@ -268,16 +277,14 @@ def _search_by_key(left: DataFrame, index: NearestIndex, left_xy: tuple[str, str
     for k in index.used:
         cx, cy = _cell_of(F.col("x"), F.col("y"), index, k)
         keys.append(F.struct(F.lit(k).alias("level"), cx.alias("cx"), cy.alias("cy")))
+    candidates = positions.select("x", "y", F.inline(F.array(*keys))).join(index.cells, ["level", "cx", "cy"])
     best = (
-        positions.select("x", "y", F.inline(F.array(*keys)))
-        .join(index.cells, ["level", "cx", "cy"])
-        # One-element inline: the distance filter must not repeat the search expression.
-        .select("x", "y", F.inline(F.array(_best(F.col("listed"), F.col("x"), F.col("y")))))
-        .where(F.sqrt("d2") <= index.max_distance)
+        _searched(candidates.select("x", "y", "listed"), "x", "y", "listed")
+        .where(F.sqrt("__hit.d2") <= index.max_distance)
         .select(
             F.col("x").alias("__x"), F.col("y").alias("__y"),
-            *[F.col(f"place.{c}").alias(c) for c in index.columns],
-            *([F.sqrt("d2").alias(distance_column)] if distance_column else []),
+            *[F.col(f"__hit.place.{c}").alias(c) for c in index.columns],
+            *([F.sqrt("__hit.d2").alias(distance_column)] if distance_column else []),
         )
     )
     hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]

@@ -18,6 +18,8 @@ def get_spark(app: str = "gridstone", cores: str | int | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Recording the call site of every column operation multiplies plan-building time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if cores is not None:
         builder = (
