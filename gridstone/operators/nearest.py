@@ -64,12 +64,8 @@ def _offsets(steps: range) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in steps for j in steps])
 
 
-def _bounds(cx: Column, cy: Column, bx: Column, by: Column, size: float) -> tuple[Column, Column]:
-    """Least and greatest squared distance between a cell and a block of equal size."""
-    spans = [(c * size, (c + 1) * size, b * size, (b + 1) * size) for c, b in ((cx, bx), (cy, by))]
-    near = reduce(lambda a, b: a + b, [_gap(*s) * _gap(*s) for s in spans])
-    far = reduce(lambda a, b: a + b, [_reach(*s) * _reach(*s) for s in spans])
-    return near, far
+def _square(c: Column) -> Column:
+    return c * c
 
 
 def build_index(
@@ -107,7 +103,7 @@ def build_index(
         .observe(spread, F.count(F.lit(1)).alias("points"),
                  *[F.approx_count_distinct(F.struct(*block(k))).alias(f"blocks_{k}") for k in coarse])
     )
-    seen = spread.get
+    seen = {"points": 0, **{f"blocks_{k}": 0 for k in coarse}, **spread.get}
     # Coarse levels are skipped where blocks of the next one are still well filled.
     start = max([k for k in coarse if seen["points"] >= _FILLED * seen[f"blocks_{k}"]], default=0)
 
@@ -115,13 +111,18 @@ def build_index(
         return points.groupBy(*block(level)).agg(F.count("*").alias("n"))
 
     def pruned(pairs: DataFrame, level: int) -> DataFrame:
-        near, far = _bounds(*(F.col(c) for c in ("cx", "cy", "bx", "by")), finest * 2 ** (levels - 1 - level))
+        # Squared distances in cells of this level: a cell and a block so many columns and
+        # rows apart are at least that less one, at most that plus one, from each other.
+        columns_apart, rows_apart = (F.abs(F.col(c) - F.col(b)) for c, b in (("cx", "bx"), ("cy", "by")))
+        one, none = F.lit(1), F.lit(0)
+        near = _square(F.greatest(columns_apart - one, none)) + _square(F.greatest(rows_apart - one, none))
+        far = _square(columns_apart + one) + _square(rows_apart + one)
         cell = Window.partitionBy("cx", "cy")
         return (
             pairs.withColumns({"near": near, "far": far})
-            .where(F.col("near") <= F.least(F.col("limit"), F.lit(reach * reach)) * _SLACK)
+            .where(F.col("near") <= F.least("limit", F.lit(4**level)))  # the radius is 2**level cells
             .withColumn("limit", F.min("far").over(cell))
-            .where(F.col("near") <= F.col("limit") * _SLACK)
+            .where("near <= limit")
             .withColumn("listed", F.sum("n").over(cell))
             .select(F.lit(level).alias("level"), "cx", "cy", "bx", "by", "limit", "listed")
         )
@@ -133,7 +134,7 @@ def build_index(
         )
         return (
             open_cells.join(halves, ["bx", "by"])
-            .select("cx", "cy", "sub_x", "sub_y", "n", "limit", F.inline(_offsets(range(2))))
+            .select("cx", "cy", "sub_x", "sub_y", "n", (F.col("limit") * 4).alias("limit"), F.inline(_offsets(range(2))))
             .select(
                 (F.col("cx") * 2 + F.col("i")).alias("cx"), (F.col("cy") * 2 + F.col("j")).alias("cy"),
                 F.col("sub_x").alias("bx"), F.col("sub_y").alias("by"), "n", "limit",
@@ -143,7 +144,7 @@ def build_index(
     ring = 2**start
     pairs = occupied(start).select("bx", "by", "n", F.inline(_offsets(range(-ring, ring + 1)))).select(
         (F.col("bx") + F.col("i")).alias("cx"), (F.col("by") + F.col("j")).alias("cy"),
-        "bx", "by", "n", F.lit(reach * reach).alias("limit"),
+        "bx", "by", "n", F.lit(4**start).cast("long").alias("limit"),
     )
     finished: list[DataFrame] = []
     level = start
@@ -156,25 +157,23 @@ def build_index(
             state = state.where(F.col("listed") <= MAX_LISTED).unionByName(finer)
         longest = Observation()
         state = cut_lineage(state.observe(longest, F.max("listed").alias("listed")))
-        last = deepest == levels - 1 or (longest.get["listed"] or 0) <= MAX_LISTED
+        last = deepest == levels - 1 or (longest.get.get("listed") or 0) <= MAX_LISTED
         done = state if last else state.where(F.col("listed") <= MAX_LISTED)
-        for k in range(level, deepest + 1):
-            finished.append(
-                done.where(F.col("level") == k).join(points.select(*block(k), "x", "y", "place"), ["bx", "by"])
-                .select("level", "cx", "cy", "x", "y", "place")
-            )
+        finished.append(done.select("level", "cx", "cy", "bx", "by"))
         if last:
             break
         pairs = halved(state.where((F.col("level") == deepest) & (F.col("listed") > MAX_LISTED)), deepest)
         level = deepest + 1
 
+    used = tuple(range(start, deepest + 1))
+    placed = points.select("x", "y", "place", F.inline(F.array(*[F.struct(F.lit(k).alias("level"), *block(k)) for k in used])))
+    candidates = reduce(DataFrame.unionAll, finished).join(placed, ["level", "bx", "by"])
     size = Observation()
     cells = cut_lineage(
-        _listed(reduce(DataFrame.unionAll, finished), finest, levels)
+        _listed(candidates.select("level", "cx", "cy", "x", "y", "place"), finest, levels)
         .observe(size, F.sum(F.size("listed.xs")).alias("entries"))
     )
-    used = tuple(range(start, deepest + 1))
-    return NearestIndex(cells, columns, reach, finest, levels, used, size.get["entries"] or 0)
+    return NearestIndex(cells, columns, reach, finest, levels, used, size.get.get("entries") or 0)
 
 
 def _listed(candidates: DataFrame, finest: float, levels: int) -> DataFrame:

@@ -16,6 +16,7 @@ from gridstone.operators import summarise
 from gridstone.operators.clean import with_analysis_time
 from gridstone.operators.summarise import counted, value_set
 from gridstone.plans.density import tier_counts
+from gridstone.session import cut_lineage
 
 FILL = {
     "total_infrastructure_count": 0, "infrastructure_type_count": 0, "infrastructure_diversity_score": 0.0,
@@ -68,6 +69,8 @@ def area_profile(places: DataFrame, infrastructure: DataFrame, crime: DataFrame,
         "postcode", "admin_district", "admin_ward", "parish", "constituency", "region", "country",
         "easting_bng", "northing_bng", F.col("quality_score").alias("postcode_quality_score"),
     )
+    # Needed twice, and one row per postcode: written once instead of computed twice.
+    crime = cut_lineage(crime)
     profile = reference.join(infrastructure, "postcode", "left").join(crime, "postcode", "left").fillna(FILL)
     # Only postcodes of the reference count towards the maximum.
     busiest = crime.join(reference.select("postcode"), "postcode", "left_semi").agg(F.max("total_crime_count"))

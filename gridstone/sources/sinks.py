@@ -32,6 +32,10 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("records")), seen
 
 
+def _seen(observation: Observation) -> int:
+    return observation.get.get("records", 0)
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str], files_per_partition: int = 1) -> DataFrame:
     """Rows grouped by output partition, so that tasks do not each open every partition.
 
@@ -52,7 +56,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
         return Written(None, 0)
     counted, seen = _counted(clustered(df, partition_by, files_per_partition))
     counted.write.mode(mode).partitionBy(*partition_by).parquet(path)
-    return Written(path, seen.get["records"])
+    return Written(path, _seen(seen))
 
 
 def write_snapshot(df: DataFrame, path: str, run_time: datetime) -> Written:
@@ -60,14 +64,14 @@ def write_snapshot(df: DataFrame, path: str, run_time: datetime) -> Written:
     target = f"{path.rstrip('/')}/ingestion_ts={run_time:%Y%m%d_%H%M%S}"
     counted, seen = _counted(df)
     counted.write.mode("append").json(target)
-    return Written(target, seen.get["records"])
+    return Written(target, _seen(seen))
 
 
 def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Written:
     """Replace a managed table, schema included."""
     counted, seen = _counted(df)
     counted.write.mode("overwrite").format(fmt).partitionBy(*partition_by).saveAsTable(name)
-    return Written(name, seen.get["records"])
+    return Written(name, _seen(seen))
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Written:
@@ -86,7 +90,7 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: S
         df = df.select(*known.fieldNames())
     counted, seen = _counted(df)
     counted.write.mode("append").format(fmt).partitionBy(*partition_by).saveAsTable(name)
-    return Written(name, seen.get["records"])
+    return Written(name, _seen(seen))
 
 
 def write_external(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> Written:
@@ -95,7 +99,7 @@ def write_external(df: DataFrame, name: str, path: str, fmt: str = "parquet") ->
     counted.write.mode("overwrite").format(fmt).save(path)
     df.sparkSession.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
     df.sparkSession.catalog.refreshTable(name)
-    return Written(path, seen.get["records"])
+    return Written(path, _seen(seen))
 
 
 def move_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> bool:
