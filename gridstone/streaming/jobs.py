@@ -28,7 +28,8 @@ def drop_reingested(stream: DataFrame, keys: Sequence[str], time: str = "ingesti
 
 
 def daily_weather(stream: DataFrame, late: str = "2 days", columns: Mapping[str, str] = SILVER_COLUMNS) -> DataFrame:
-    """Daily figures that accept late observations up to the watermark."""
+    """Daily figures that accept late observations up to the watermark. Windows start at
+    midnight UTC, so the days are UTC days whatever the session's time zone."""
     def measure(key: str):
         return F.col(columns[key])
 
@@ -46,7 +47,7 @@ def daily_weather(stream: DataFrame, late: str = "2 days", columns: Mapping[str,
             F.max(measure("condition")).alias("dominant_weather"),
             F.count("*").alias("observation_count"),
         )
-        .withColumn("date", F.to_date("window.start"))
+        .withColumn("date", F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("window.start"))))
         .drop("window")
     )
 

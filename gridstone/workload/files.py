@@ -145,8 +145,10 @@ def str3(spark, sf):
     """Days that the watermark has closed; later ones are still open."""
     out, state = (scratch_path(spark, f"str3-{n}") for n in ("out", "state"))
     value = F.col("value")
+    # The table's times carry no zone; they are read as UTC.
+    moment = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
     stream = _stream(spark, sf, "events").select(
-        F.col("ts").cast("timestamp").alias("datetime"), value.alias("temp_celsius"), value.alias("humidity_percent"), value.alias("wind_speed_ms"),
+        moment.alias("datetime"), value.alias("temp_celsius"), value.alias("humidity_percent"), value.alias("wind_speed_ms"),
         F.lit(None).cast("double").alias("rain_1h_mm"), F.col("event_type").alias("weather_main"),
     )
     _finished(jobs.append_files(jobs.daily_weather(stream, "2 days"), out, state))
