@@ -429,17 +429,17 @@ def win4(spark, sf):
     return sizes.agg(F.sum("d").alias("codes"), flag(F.max("n") <= 100, "within_size"), flag(F.sum("n") == F.sum("d"), "one_batch_each"))
 
 
-@query("top1_topk", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 20")
+@query("top_k", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 20")
 def top1(spark, sf):
     return summarise.top_k(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 20, F.desc("o_totalprice"), F.asc("o_orderkey"))
 
 
-@query("top2_nearest_k", f"select id, {stable('d')} as distance from (select id, sqrt((lat - 53.4::double) * (lat - 53.4::double) + (lon + 2.15::double) * (lon + 2.15::double)) as d from points) where d is not null order by d, id limit 5", **_points_ctes())
+@query("top_nearest_k", f"select id, {stable('d')} as distance from (select id, sqrt((lat - 53.4::double) * (lat - 53.4::double) + (lon + 2.15::double) * (lon + 2.15::double)) as d from points) where d is not null order by d, id limit 5", **_points_ctes())
 def top2(spark, sf):
     return summarise.nearest_k(order_points(spark, sf), (53.4, -2.15)).select("id", six("distance"))
 
 
-@query("top3_sorted", "select cast(date as varchar) as date, observation_count from daily order by 1")
+@query("top_sorted", "select cast(date as varchar) as date, observation_count from daily order by 1")
 def top3(spark, sf):
     from gridstone.workload.plans import daily_frame
 
