@@ -7,6 +7,7 @@ a polynomial modulo 2**64 whose coefficients are scrambled first; any span then
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Queries run within remove their shuffle files when they end: their result is in files."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back: later steps start from files."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with tidy(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -212,7 +226,8 @@ def bucketed(df: DataFrame, key: str, label: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, key).write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    with tidy(spark):
+        df.repartition(n, key).write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
     return name, spark.table(name)
 
 

@@ -5,7 +5,7 @@ the full depth; a suffix alone in its group leaves the sort.
 
 1. The most significant digit of a suffix is content-defined: the smallest hash among the
    ``GRAM``-byte strings within its first ``DEPTH`` bytes. Consecutive suffixes share it, so that
-   one row per document and digit stands for about 18 suffixes. Digits of one document stop here.
+   one row per document and digit stands for about 16 suffixes. Digits of one document stop here.
 2. Runs of consecutive suffixes with one digit are compared as whole strings. A run that occurs
    in an earlier document is settled. Where a digit has only one string, nothing is left to sort.
 3. The suffixes of the remaining runs (the edges of matches) are compared at full depth.
@@ -32,7 +32,7 @@ from gridstone.llm.common import (
     spread, windows, written,
 )
 
-DEPTH, GRAM = 50, 16
+DEPTH, GRAM = 50, 20
 _DIGIT_BITS = np.uint64(48)
 RESULT = "__key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
