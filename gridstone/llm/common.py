@@ -12,7 +12,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridstone.session import scratch_path
@@ -240,3 +240,14 @@ def sample_frequent(rows: DataFrame, key: str, n_docs: int, value: str = "sig",
     least = max(20, int(share * min(n_docs, docs)))
     some = rows.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0)
     return [r[0] for r in some.groupBy(value).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(value).collect()]
+
+
+def in_two_places(rows: DataFrame, n_docs: int, count: str | None = None) -> DataFrame:
+    """(__key, sig) of the values of (__key, sig) that two keys have or, with a count column, that
+    are counted twice in all. Values known to be frequent are spread over many groups."""
+    common = sample_frequent(rows, "__key", n_docs)
+    often = rows.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, common)).cast("array<long>")).alias("sig"), F.lit(True).alias("__often"))
+    marked = rows.join(F.broadcast(often), "sig", "left").withColumn("__part", F.when(F.col("__often"), F.col("__key")).otherwise(0))
+    group = Window.partitionBy("sig", "__part")
+    twice = F.sum(count).over(group) > 1 if count else F.min("__key").over(group) < F.max("__key").over(group)
+    return marked.withColumn("__twice", twice).where("__often or __twice").select("__key", "sig")

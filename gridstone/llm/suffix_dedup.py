@@ -8,7 +8,8 @@ the full depth; a suffix alone in its group leaves the sort.
    one row per document and digit stands for about 16 suffixes. Digits of one document stop here.
 2. Runs of consecutive suffixes with one digit are compared as whole strings. A run that occurs
    in an earlier document is settled. Where a digit has only one string, nothing is left to sort.
-3. The suffixes of the remaining runs (the edges of matches) are compared at full depth.
+3. The suffixes of the remaining runs (the edges of matches) get a longer digit of the same kind.
+4. What is left of them is compared at full depth.
 
 Any fixed order of digits that depends on content alone gives the same final groups as byte order:
 equal groups are exactly the repeated windows.
@@ -24,15 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridstone.llm.common import (
-    Slice, Spans, belongs, bucketed, covered, distinct, lists, missing_last, record, sample_frequent, signed, slices, sliding,
+    Slice, Spans, belongs, bucketed, covered, distinct, in_two_places, lists, missing_last, record, signed, slices, sliding,
     spread, windows, written,
 )
 
-DEPTH, GRAM = 50, 20
+DEPTH, GRAM, LONGER = 50, 20, 32
 _DIGIT_BITS = np.uint64(48)
 RESULT = "__key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -85,30 +86,22 @@ def _rows(df: DataFrame, step, schema: str, names: tuple[str, ...]) -> DataFrame
     return df.mapInArrow(run, schema)
 
 
-def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: bool = True, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
+def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: bool = True, depth: int = DEPTH, gram: int = GRAM, longer_gram: int = LONGER) -> DataFrame:
     """Per document ``key``, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep``, the kept
     bytes, after each byte covered by a string of ``depth`` bytes that also starts in a document
     with a smaller key is removed."""
     spark = documents.sparkSession
-    name, docs = bucketed(documents.select(missing_last(key).alias("__key"), F.col(key).isNull().alias("__none"), F.col(text).alias("text")), "__key", "suffix_dedup")
+    name, docs = bucketed(documents.select(missing_last(key).alias("__key"), F.col(text).alias("text")), "__key", "suffix_dedup")
 
     def digits(batch, s):
         x = Suffixes(s, depth, gram)
         row, digit, _ = distinct(x.run_row, x.run_digit)
         return row, digit
 
-    # Pass 1: digits that two documents have. Those of a hundredth of all documents are known at once.
+    # Pass 1: digits that two documents have.
     coarse = _rows(docs, digits, "__key long, sig long", ("sig",))
-    common = sample_frequent(coarse, "__key", docs.count())
-    often = spark.createDataFrame([(v,) for v in common], "sig long")
-    per_digit = Window.partitionBy("sig")
-    rest = (
-        coarse.join(F.broadcast(often), "sig", "left_anti")
-        .withColumns({"__least": F.min("__key").over(per_digit), "__most": F.max("__key").over(per_digit)})
-        .where("__least < __most").select("__key", "sig")
-    )
-    shared = rest.unionByName(coarse.join(F.broadcast(often), "sig", "left_semi")) if common else rest
-    marks = written(shared.groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
+    n_docs = docs.count()
+    marks = written(in_two_places(coarse, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
 
     # Pass 2: runs of such suffixes as whole strings.
     def runs(batch, s):
@@ -128,14 +121,26 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
     state = written(judged.select("__key", settled.alias("s"), still.alias("o")).where("s is not null or o is not null")
                     .groupBy("__key").agg(F.collect_list("s").alias("settled"), F.collect_list("o").alias("open")), "judged")
 
-    # Pass 3: full depth, for the suffixes of runs that are left.
+    # Pass 3: a longer digit, for the suffixes of runs that are left.
+    def longer(batch, s):
+        x, y = Suffixes(s, depth, gram), Suffixes(s, depth, longer_gram)
+        at = belongs(x.runs(), x.run_row, *lists(batch, "open", s))
+        chosen = at[x.run] if len(at) else np.zeros(0, bool)
+        return distinct(y.row[chosen], y.digit[chosen])[:2]
+
+    opened = docs.join(state.where(F.size("open") > 0).select("__key", "open"), "__key")
+    narrowed = in_two_places(_rows(opened, longer, "__key long, sig long", ("sig",)), n_docs)
+    narrowed = written(narrowed.groupBy("__key").agg(F.collect_list("sig").alias("longer")).join(state.select("__key", "open"), "__key"), "longer")
+
+    # Pass 4: full depth.
     def edges(batch, s):
-        x = Suffixes(s, depth, gram)
+        x, y = Suffixes(s, depth, gram), Suffixes(s, depth, longer_gram)
         at = belongs(x.runs(), x.run_row, *lists(batch, "open", s))
         chosen = np.flatnonzero(at[x.run]) if len(at) else np.zeros(0, np.int64)
+        chosen = chosen[belongs(y.digit[chosen], y.row[chosen], *lists(batch, "longer", s))]
         return distinct(x.row[chosen], x.whole(chosen))[:2]
 
-    single = written(_rows(docs.join(state.where(F.size("open") > 0).select("__key", "open"), "__key"), edges, "__key long, suffix long", ("suffix",)), "suffixes")
+    single = written(_rows(docs.join(narrowed, "__key"), edges, "__key long, suffix long", ("suffix",)), "suffixes")
     least = single.groupBy("suffix").agg(F.min("__key").alias("__first"), F.max("__key").alias("__last")).where("__first < __last")
     repeated = single.join(least, "suffix").where("__key > __first").groupBy("__key").agg(F.collect_list("suffix").alias("suffixes"))
     found = state.select("__key", "settled").join(repeated, "__key", "left")

@@ -18,11 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridstone.llm.common import (
-    Slice, Spans, belongs, bucketed, covered, distinct, lists, missing_last, record, sample_frequent, signed, slices, sliding,
+    Slice, Spans, belongs, bucketed, covered, distinct, in_two_places, lists, missing_last, record, signed, slices, sliding,
     spread, windows, written,
 )
 
@@ -88,7 +88,7 @@ def remove_repeated(documents: DataFrame, key: str = "doc_id", text: str = "text
     while True:
         candidates = docs if state is None else docs.join(state, "__key")
         rows = candidates.mapInArrow(level(length, before), "__key long, sig long, n long")
-        state = written(_repeated(rows, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("sigs")), f"windows_{length}")
+        state = written(in_two_places(rows, n_docs, "n").groupBy("__key").agg(F.collect_list("sig").alias("sigs")), f"windows_{length}")
         if length == window:
             break
         before, length = length, min(2 * length, window)
@@ -117,13 +117,3 @@ def remove_repeated(documents: DataFrame, key: str = "doc_id", text: str = "text
     spark.sql(f"DROP TABLE {name}")
     return result.withColumn("__key", F.nullif("__key", F.lit((1 << 63) - 1))).withColumnRenamed("__key", key)
 
-
-def _repeated(rows: DataFrame, n_docs: int) -> DataFrame:
-    """(document, hash) of hashes that stand at two places or more."""
-    common = sample_frequent(rows, "__key", n_docs)
-    total = F.sum("n").over(Window.partitionBy("sig"))
-    if not common:
-        return rows.withColumn("__n", total).where("__n > 1").select("__key", "sig")
-    often = F.broadcast(rows.sparkSession.createDataFrame([(v,) for v in common], "sig long"))
-    rest = rows.join(often, "sig", "left_anti").withColumn("__n", total).where("__n > 1")
-    return rest.select("__key", "sig").unionByName(rows.join(often, "sig", "left_semi").select("__key", "sig"))
