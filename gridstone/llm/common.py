@@ -12,6 +12,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def sent(spark: SparkSession, value):
+    """Sends an object to all tasks, with its class; gives the function that has it there."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(packed.value)
+
+
 @contextmanager
 def tidy(spark: SparkSession) -> Iterator[None]:
     """Queries run within remove their shuffle files when they end: their result is in files."""

@@ -5,9 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridstone.llm.common import read
+from gridstone.llm.decontaminate import find_items
+from gridstone.llm.language import held_out, identify, learn
+from gridstone.llm.lm_scoring import fit, score
+from gridstone.llm.minhash_dedup import near_duplicates
 from gridstone.llm.mixing import mix_sources
+from gridstone.llm.pseudonyms import replace_personal
 from gridstone.llm.suffix_dedup import remove_earlier
 from gridstone.llm.url_filter import Rule, judge
 from gridstone.llm.window_dedup import remove_repeated
@@ -21,6 +27,14 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good are the target, all others the background."""
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg((F.max("quality") == 1).alias("__good"))
+    return score(docs, fit(docs.join(labels, "doc_id", "left"), F.col("__good")))
+
+
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_earlier(read(spark, sf_dir, "documents"), keep=False)
@@ -85,3 +99,67 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(read(spark, sf_dir, "documents"), keep=False)
+
+
+KEY = "a key that the owner of the data chooses and keeps"
+
+
+@query
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal(read(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+
+
+@query
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+SHINGLED = r"""
+with recursive tokens as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+)"""
+
+SQL["op8_minhash_dedup"] = SHINGLED + r"""
+, sets as (
+  select doc_id, list_distinct(case when len(w) between 1 and 2 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
+  from tokens
+), sized as (select doc_id, len(s) as n, s from sets),
+items as (select doc_id, n, unnest(s) as x from sized),
+links as (
+  select a.doc_id as a, b.doc_id as b from items a join items b on a.x = b.x and a.doc_id < b.doc_id
+    and least(a.n, b.n) * 100 >= 85 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edges as (select a, b from links union all select b, a from links),
+reach as (select doc_id as node, doc_id as root from sized union select e.b, r.root from reach r join edges e on e.a = r.node)
+select s.doc_id, s.n as n_shingles, min(r.root) as component_id, min(r.root) = s.doc_id as kept,
+  (select min(c.doc_id) from sized c where c.n = s.n and (c.doc_id = s.doc_id or s.n > 0 and list_sort(c.s) = list_sort(s.s))) as class_id
+from sized s join reach r on r.node = s.doc_id group by s.doc_id, s.n, s.s"""
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", F.explode("items").alias("i")).select(
+        "doc_id", F.col("i.item").alias("item_id"), F.col("i.size").alias("n_shingles"), F.col("i.shared").alias("n_shared"))
+
+
+SQL["op9_decontamination"] = SHINGLED + r"""
+, items as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from benchmark
+), pieces as (
+  select distinct doc_id, unnest(case when len(w) between 1 and 4 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) end) as x from tokens
+), wanted as (
+  select distinct item_id, unnest(case when len(w) between 1 and 4 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) end) as x from items
+), sizes as (select item_id, count(*) as n from wanted group by item_id)
+select doc_id, item_id, n as n_shingles, count(*) as n_shared
+from pieces join wanted using (x) join sizes using (item_id) group by doc_id, item_id, n having 100 * count(*) >= 80 * n"""
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    said = identify(docs, learn(docs), ["doc_id"])
+    return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
