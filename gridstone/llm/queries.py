@@ -13,6 +13,7 @@ from gridstone.llm.language import held_out, identify, learn
 from gridstone.llm.lm_scoring import fit, score
 from gridstone.llm.minhash_dedup import near_duplicates
 from gridstone.llm.mixing import mix_sources
+from gridstone.llm.neighbours import nearest
 from gridstone.llm.pseudonyms import replace_personal
 from gridstone.llm.suffix_dedup import remove_earlier
 from gridstone.llm.url_filter import Rule, judge
@@ -96,6 +97,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
 
+@query
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(read(spark, sf_dir, "documents"), keep=False)
