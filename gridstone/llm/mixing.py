@@ -86,7 +86,8 @@ def _part(p: Column) -> Column:
 
 
 def mix_sources(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, limit: float = LIMIT, seed: int = 0) -> DataFrame:
-    """Per row ``key``, size, source_size, target, taken, copies and source."""
+    """Per row ``key``, size, source_size, target, taken, copies, source and turn, which
+    numbers rows that agree in id, source and size."""
     sized = documents.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"))
     units = written(sized.groupBy("key", "source", "size").agg(F.count("*").alias("rows")), "mix_units")
     sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("__units"))
@@ -131,5 +132,5 @@ def mix_sources(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     return (
         dealt.withColumn("copies", copies).withColumnRenamed("source", "__from")
         .join(plan.select("source", "source_size", "target"), F.col("__from").eqNullSafe(F.col("source")))
-        .select(F.col("key").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+        .select(F.col("key").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source", F.col("__turn").alias("turn"))
     )

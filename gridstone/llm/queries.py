@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridstone.llm.common import read
 from gridstone.llm.decontaminate import find_items
 from gridstone.llm.language import held_out, identify, learn
@@ -94,7 +95,7 @@ from patterned"""
 
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(read(spark, sf_dir, "documents"))
+    return mix_sources(read(spark, sf_dir, "documents")).drop("turn")
 
 
 @query
@@ -169,3 +170,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     said = identify(docs, learn(docs), ["doc_id"])
     return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
