@@ -258,3 +258,26 @@ def in_two_places(rows: DataFrame, n_docs: int, count: str | None = None) -> Dat
     group = Window.partitionBy("sig", "__part")
     twice = F.sum(count).over(group) > 1 if count else F.min("__key").over(group) < F.max("__key").over(group)
     return marked.withColumn("__twice", twice).where("__often or __twice").select("__key", "sig")
+
+
+def frequent(counts: DataFrame, count: str, most: int, by: Sequence[str] = ()) -> pa.Table:
+    """The most frequent rows, at most ``most`` in all or for each value of ``by``: every row whose
+    count is above a limit, found from how many rows have each count."""
+    spread_of = counts.groupBy(*by, count).agg(F.count("*").alias("__rows")).orderBy(*by, F.desc(count)).collect()
+    limits: dict[tuple, int] = {}
+    taken: dict[tuple, int] = {}
+    full = set()
+    for r in spread_of:
+        group = tuple(r[c] for c in by)
+        taken[group] = taken.get(group, 0) + r["__rows"]
+        if taken[group] > most:
+            full.add(group)
+        if group not in full:
+            limits[group] = r[count]
+    wanted = F.lit(False)
+    for group, least in limits.items():
+        own = F.lit(True)
+        for c, v in zip(by, group, strict=True):
+            own = own & (F.col(c) == F.lit(v))
+        wanted = wanted | (own & (F.col(count) >= least))
+    return counts.where(wanted).toArrow()

@@ -5,8 +5,8 @@ an unseen word the longest n-grams (with its edges marked) that any language kno
 characters down to one. A text gets the language with the best total.
 
 Words are counted over every labelled document that is not held out; n-grams follow from the word
-counts. What is sent to tasks is bounded: the WORDS most frequent words and, per length, the GRAMS most
-frequent n-grams of each of at most LANGUAGES languages.
+counts. What is sent to tasks is bounded: at most the WORDS most frequent words and, per length, at most the GRAMS
+most frequent n-grams of each of at most LANGUAGES languages.
 
 Nulls: a text that is null or has no letter is ``und`` with score 0, as is every text when nothing was
 learned. Documents without a language, or without an id, teach nothing; the latter are not held out.
@@ -21,10 +21,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridstone.llm.common import sent, written
+from gridstone.llm.common import frequent, sent, written
 
 WORDS, GRAMS, LONGEST, LANGUAGES = 20_000, 5_000, 4, 64
 UNKNOWN = "und"
@@ -76,16 +76,15 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     totals = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).limit(LANGUAGES + 1).collect()}
     if len(totals) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    best = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "value"))
-    top = counted.withColumn("r", best("lang")).where(F.col("r") <= WORDS)
+    top = frequent(counted, "n", WORDS, ["lang"])
     marked = F.concat(F.lit("_"), "value", F.lit("_"))
     pieces = F.flatten(F.array(*[
         F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))), lambda i, n=n: F.substring(marked, i, n))
         for n in range(1, LONGEST + 1)
     ]))
     grams = counted.select("lang", "n", F.explode(pieces).alias("value")).groupBy("lang", "value").agg(F.sum("n").alias("n")).withColumn("size", F.length("value"))
-    some = grams.withColumn("r", best("lang", "size")).where(F.col("r") <= GRAMS)
-    rows = lambda df: [(r.lang, r.value, r.n) for r in df.select("lang", "value", "n").collect()]
+    some = frequent(written(grams, "language_grams"), "n", GRAMS, ["lang", "size"])
+    rows = lambda t: list(zip(*(t[c].to_pylist() for c in ("lang", "value", "n")), strict=True))
     return Model(rows(top), rows(some), totals)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridstone.llm.common import Slice, sent, signed, slices, spread, written
+from gridstone.llm.common import Slice, frequent, sent, signed, slices, spread, written
 
 WORDS, BIGRAMS = 20_000, 500_000
 WEIGHT, FLOOR = 0.7, 0.5  # of the bigram; added to every word's count
@@ -76,9 +76,10 @@ def _counted(documents: DataFrame, code) -> DataFrame:
     return counts.groupBy("code").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-def _most(counts: DataFrame, n: int) -> list:
-    """The n most frequent codes of both corpora, ties to the smaller code."""
-    return counts.orderBy(F.desc(F.col("target") + F.col("background")), "code").limit(n).collect()
+def _most(counts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and both counts of the most frequent codes of both corpora, at most n."""
+    found = frequent(counts.withColumn("total", F.col("target") + F.col("background")), "total", n)
+    return found["code"].to_numpy(), np.array([found["target"].to_numpy(), found["background"].to_numpy()], float)
 
 
 class Models:
@@ -114,8 +115,8 @@ def fit(documents: DataFrame, target: Column, text: str = "text", n_words: int =
             return hashes, spread(offsets)[0]
         return give
 
-    top = _most(written(_counted(docs, words), "lm_words"), n_words)
-    vocabulary = Vocabulary(np.array([r.code for r in top], np.int64).view(np.uint64))
+    top, _ = _most(written(_counted(docs, words), "lm_words"), n_words)
+    vocabulary = Vocabulary(np.ascontiguousarray(top).view(np.uint64))
     there = sent(spark, vocabulary)
 
     def bigrams():
@@ -133,8 +134,8 @@ def fit(documents: DataFrame, target: Column, text: str = "text", n_words: int =
         sums[name] = np.zeros((2, size + 1))
         for r in counts.groupBy(part.alias("i")).agg(F.sum("target").alias("t"), F.sum("background").alias("b")).collect():
             sums[name][:, r.i] = r.t, r.b
-    pairs = _most(counts, n_bigrams)
-    return Models(vocabulary, sums["word"][:, :size], sums["before"], np.array([r.code for r in pairs], np.int64), np.array([[r.target for r in pairs], [r.background for r in pairs]], float))
+    codes, pairs = _most(counts, n_bigrams)
+    return Models(vocabulary, sums["word"][:, :size], sums["before"], codes, pairs)
 
 
 def score(documents: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
