@@ -8,8 +8,10 @@ similarity 0.85 misses every key with a chance under 0.0001, one at 0.95 under 1
 Documents with equal sets form one class, named by its smallest id; only classes are searched.
 A bucket does not emit all its pairs. Its smallest class is compared with the others; once links are
 merged, buckets that still hold several components go on without that class. After ``ROUNDS`` rounds
-every pair of a bucket that is in different components and was not compared yet is compared. So each
-pair of a bucket is confirmed, refused, or already in one component.
+the pairs of a bucket that are in different components are compared one by one, if it holds few. Larger
+buckets are taken together where they share classes, split into blocks of about BLOCK classes, and every
+two blocks are compared within one task, which returns only links that join components. So each pair of
+a bucket is confirmed, refused, or already in one component, and no row is made for a pair of a large one.
 
 Nulls: documents without words, and rows without an id, have links with nothing; the latter have no
 component and are kept. Rows of one id are one document. An empty table gives an empty result; other
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 
 from gridstone.llm.common import Slice, Spans, distinct, mix, signed, slices, spread, windows, written
 
-ROUNDS = 3
+ROUNDS = 2
+FEW, BLOCK = 32, 64
 
 
 def shingles(s: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +112,53 @@ def _alike(a: Column, b: Column, percent: int) -> Column:
     return both * 100 >= (F.size(a) + F.size(b) - both) * percent
 
 
+def _large(members: DataFrame, sets: DataFrame, tuples: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, from buckets with many classes."""
+    families = components(members.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    nodes = members.select("node", "component").distinct().join(families.select("node", F.col("component").alias("family")), "node", "left").withColumn("family", F.coalesce("family", "node"))
+    blocks = nodes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = nodes.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    full = dealt.join(sets, "node").join(tuples, "node")
+    filled = written(full.groupBy("family", "blocks", "block").agg(F.collect_list(F.struct("node", "component", "set", "first", "second")).alias("held")), "blocks")
+    one = filled.select("family", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("held").alias("one"))
+    other = filled.select("family", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("i"), F.col("block").alias("j"), F.col("held").alias("other"))
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(len(batch)):
+                links = _between(batch.column("one")[r].values, batch.column("other")[r].values, percent)
+                if len(links):
+                    yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], schema=out)
+
+    return one.join(other, ["family", "i", "j"]).select("one", "other").mapInArrow(run, "a long, b long")
+
+
+def _between(one: pa.StructArray, other: pa.StructArray, percent: int) -> np.ndarray:
+    """Links between two blocks' classes that share a bucket and are in different components; of
+    several that join the same components, one."""
+    column = lambda block, name: block.field(name).to_numpy(zero_copy_only=False)
+    table = lambda block, name: np.stack([x.values.to_numpy() for x in block.field(name)])
+    near = np.ones((len(one), len(other)), bool)
+    for name in ("first", "second"):
+        near &= (table(one, name)[:, None, :] == table(other, name)[None, :, :]).any(axis=2)
+    in_one, in_other = column(one, "component"), column(other, "component")
+    near &= in_one[:, None] != in_other[None, :]
+    if not near.any():
+        return np.zeros((0, 2), np.int64)
+    sets = [[x.values.to_numpy() for x in block.field("set")] for block in (one, other)]
+    values = np.unique(np.concatenate(sets[0] + sets[1]))
+    held = [np.zeros((len(block), len(values)), np.float32) for block in sets]
+    for block, own in zip(sets, held, strict=True):
+        for i, x in enumerate(block):
+            own[i, np.searchsorted(values, x)] = 1
+    both = np.rint(held[0] @ held[1].T).astype(np.int64)
+    sizes = [np.array([len(x) for x in block]) for block in sets]
+    i, j = np.nonzero(near & (100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)))
+    _, kept = np.unique(np.sort(np.column_stack([in_one[i], in_other[j]]), axis=1), axis=0, return_index=True)
+    return np.column_stack([column(one, "node")[i[kept]], column(other, "node")[j[kept]]])
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, tables: int = 8, length: int = 2) -> DataFrame:
     """Per row ``key``, n_shingles, component_id, kept, and class_id, the smallest id with an equal set."""
     docs = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
@@ -132,29 +182,28 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
 
     # Sets that differ in size by more than this are never that similar.
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    checked, component, turn = None, None, 0
-    while True:
-        turn += 1
-        if turn <= ROUNDS:
-            sizes = members.where("node = pivot").select("bucket", F.col("size").alias("pivot_size"))
-            pairs = members.where("node <> pivot").join(sizes, "bucket").where(fits(F.col("size"), F.col("pivot_size"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        else:
-            one = members.select("bucket", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("in_a"))
-            other = members.select("bucket", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("in_b"))
-            pairs = one.join(other, "bucket").where("a < b and in_a <> in_b").where(fits(F.col("size_a"), F.col("size_b"))).select("a", "b")
+    def compared(pairs: DataFrame) -> DataFrame:
         pairs = pairs.distinct()
-        if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        new = written(confirmed(pairs), "confirmed")
+        return written(confirmed(pairs if checked is None else pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")), "confirmed")
+
+    checked, component, left = None, None, True
+    for _ in range(ROUNDS):
+        sizes = members.where("node = pivot").select("bucket", F.col("size").alias("pivot_size"))
+        new = compared(members.where("node <> pivot").join(sizes, "bucket").where(fits(F.col("size"), F.col("pivot_size"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
         checked = new if checked is None else checked.unionByName(new)
         component = components(checked.where("linked"))
-        if turn > ROUNDS:
-            break
-        rest = members.where("node <> pivot").drop("pivot", "component").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        active = rest.groupBy("bucket").agg(F.min("node").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        members = written(rest.join(active.select("bucket", "pivot"), "bucket"), "buckets")
-        if members.isEmpty():
+        rest = members.where("node <> pivot").select("bucket", "node", "size").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        active = rest.groupBy("bucket").agg(F.min("node").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high")
+        members = written(rest.join(active.select("bucket", "pivot", "n"), "bucket"), "buckets")
+        left = not members.isEmpty()
+        if not left:
             break
+    if left:
+        one = members.where(F.col("n") <= FEW).select("bucket", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("in_a"))
+        other = members.where(F.col("n") <= FEW).select("bucket", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("in_b"))
+        few = compared(one.join(other, "bucket").where("a < b and in_a <> in_b").where(fits(F.col("size_a"), F.col("size_b"))).select("a", "b"))
+        many = _large(members.where(F.col("n") > FEW), sets, of_class.select("node", "first", "second"), percent)
+        component = components(checked.unionByName(few).where("linked").select("a", "b").unionByName(many))
     merged = component.select(F.col("node").alias("class_id"), F.col("component").alias("__component"))
     found = named.join(merged, "class_id", "left").withColumn("component_id", F.coalesce("__component", "class_id"))
     return found.select(F.col("node").alias(key), F.col("size").alias("n_shingles"), "component_id", F.coalesce(F.col("node") == F.col("component_id"), F.lit(True)).alias("kept"), "class_id")
