@@ -47,7 +47,9 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it, numbered by ``copy``, with its source's figures."""
+    """Every document as often as the mix takes it, numbered by ``copy``, with its source's figures;
+    columns of these names that the documents had are replaced."""
+    docs = docs.drop("size", "turn", "source_size", "target", "taken", "copies", "copy")
     taken = mix_sources(docs.select("doc_id", "text", "source"))
     same = ("doc_id", "source", "size", "turn")
     figures = taken.where("copies > 0").select(*(F.col(c).alias(f"__{c}") for c in same), "source_size", "target", "taken", "copies")

@@ -100,6 +100,7 @@ def identify(documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id
         letters = regex.compile(r"\p{L}+")
         index: dict[str, int] = {w: i for i, w in enumerate(m.words)}
         known = np.array(list(m.words.values())) if index else np.zeros((0, len(m.languages)))
+        unseen: dict[str, np.ndarray | None] = {}  # starts anew when full
         for batch in batches:
             said, sure = [], []
             for t in batch.column("__text").to_pylist():
@@ -113,8 +114,13 @@ def identify(documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id
                     if (i := index.get(word)) is not None:
                         at.append(i)
                         times.append(n)
-                    elif (v := m.of(word)) is not None:
-                        total += n * v
+                        continue
+                    if word not in unseen:
+                        if len(unseen) >= WORDS:
+                            unseen.clear()
+                        unseen[word] = m.of(word)
+                    if unseen[word] is not None:
+                        total += n * unseen[word]
                 if at:
                     total += np.array(times, float) @ known[at]
                 n = sum(counts.values())
