@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridstone.functions import scalars
+from gridstone.operators import summarise
 
 
 def keep_existing(df: DataFrame, columns: Sequence[str], aliases: Mapping[str, str] | None = None) -> DataFrame:
@@ -63,14 +64,17 @@ def parse_dates(df: DataFrame, months: Sequence[str] = (), days: Sequence[str] =
     return df.withColumns(made) if made else df
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ("ingestion_timestamp",)) -> DataFrame:
-    """One row per key: the first in ``order_by``, identical positions decided by content.
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ("ingestion_timestamp",),
+               total_order: bool = False) -> DataFrame:
+    """One row per key: the first in ``order_by``, identical positions decided by content. With
+    ``total_order`` the order is unique by itself; columns that nothing else needs stay unread.
 
     The rank filter lets Spark drop all but one copy per key before the shuffle, so a key
     that holds much of the table does not travel to one task."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by if not isinstance(c, str) or c in df.columns]
-    content = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*content)))
+    if not total_order:
+        order.append(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
@@ -81,14 +85,10 @@ def first_key(df: DataFrame, preferred: str, fallback: str, name: str = "record_
 
 
 def batches(df: DataFrame, key: str, size: int = 100, name: str = "batch_id") -> DataFrame:
-    """Number rows into lookup batches of ``size`` by key order.
-
-    Keys are range-partitioned and every partition numbers its own batches, so no task
-    sees the whole table; the id is ``partition/number``."""
-    ranged = df.repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id())
-    position = F.row_number().over(Window.partitionBy("__part").orderBy(key))
-    number = F.floor((position - 1) / size)
-    return ranged.withColumn(name, F.concat_ws("/", "__part", number)).drop("__part")
+    """Number rows into consecutive lookup batches of exactly ``size`` (the last may be shorter) in
+    the order of a unique key. Runs a job when called, see :func:`summarise.global_rank`."""
+    ranked = summarise.global_rank(df, [F.asc(key)], "__position")
+    return ranked.withColumn(name, F.floor((F.col("__position") - 1) / size)).drop("__position")
 
 
 def with_ingestion(df: DataFrame, run_time: datetime, source: str | None = None, area: str | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridstone import constants as K
 from gridstone.functions import geo, scalars
+from gridstone.operators import clean
 
 
 def select_features(elements: DataFrame, rules=K.FEATURE_RULES, bbox: dict = K.BBOX) -> DataFrame:
@@ -34,10 +35,12 @@ def prefer(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
 
 
 def lookup(df: DataFrame, reference: DataFrame, code: str, reference_code: str = "postcode", how: str = "inner") -> DataFrame:
-    """Join by normalised code; ``how='left_anti'`` lists the codes without a match."""
+    """Join by normalised code; ``how='left_anti'`` lists the codes without a match. Of several
+    reference rows with one code the first ingested counts, so no row is multiplied."""
     left = df.withColumn("__code", scalars.lookup_code(F.col(code)))
     right = reference.withColumn("__code", scalars.lookup_code(F.col(reference_code)))
     if how != "left_anti":
+        right = clean.keep_first(right.where("__code is not null"), ["__code"])
         right = right.drop(*[c for c in reference.columns if c in df.columns])
     return left.join(right, "__code", how).drop("__code")
 

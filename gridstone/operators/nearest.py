@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -72,7 +72,7 @@ def build_index(
     right: DataFrame,
     right_xy: tuple[str, str] = ("eastings", "northings"),
     columns: Sequence[str] = ("postcode", "admin_district", "admin_ward"),
-    max_distance: float = 5000,
+    max_distance: float | None = None,
     tie_break: str = "postcode",
 ) -> NearestIndex:
     """Index reference points for searches up to ``max_distance`` (inclusive).
@@ -204,11 +204,12 @@ def nearest_join(
     left_xy: tuple[str, str] = ("easting_bng", "northing_bng"),
     right_xy: tuple[str, str] = ("eastings", "northings"),
     right_columns: Sequence[str] = ("postcode", "admin_district", "admin_ward"),
-    max_distance: float = 5000,
+    max_distance: float | None = None,
     tie_break: str = "postcode",
     distance_column: str | None = None,
 ) -> DataFrame:
-    """Left join of the single nearest reference point within ``max_distance``.
+    """Left join of the single nearest reference point within ``max_distance``: by default what the
+    index was built for, or 5000 m. An index answers any smaller distance.
 
     Every left row is kept exactly once; without coordinates or match its new columns are
     null. A small index, by its counted size, is broadcast and searched in the pass that
@@ -216,8 +217,13 @@ def nearest_join(
     so repeated positions cost one search, and rows without a position are spread over many
     keys instead of one partition."""
     index = right if isinstance(right, NearestIndex) else build_index(
-        right, right_xy, right_columns, max_distance, tie_break
+        right, right_xy, right_columns, 5000 if max_distance is None else max_distance, tie_break
     )
+    if max_distance is None:
+        max_distance = index.max_distance
+    if max_distance > index.max_distance:
+        raise ValueError(f"the index reaches {index.max_distance} m, not {max_distance} m")
+    index = replace(index, max_distance=max_distance)
     added = [*index.columns, *([distance_column] if distance_column else [])]
     left = left.select(*[F.col(f"`{c}`") for c in left.columns if c not in added])
     join = _search_broadcast if index.entries <= BROADCAST_ENTRIES else _search_by_key

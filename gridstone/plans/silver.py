@@ -56,7 +56,7 @@ def silver_assets(bronze: DataFrame, places: DataFrame | NearestIndex, run_time:
     index = places if isinstance(places, NearestIndex) else place_index(places, max_distance)
     df = repaired_assets(clean.keep_first(bronze, ["id"], order_by))
     df = filters.flag_inside(geo.with_bng(df), bbox)
-    df = nearest_join(df, index)
+    df = nearest_join(df, index, max_distance=max_distance)
     df = df.withColumn("metadata_quality_score", quality.completeness_score(df, K.ASSET_METADATA_FIELDS))
     df = df.withColumn("quality_tier", classify.quality_tier(F.col("metadata_quality_score")))
     df = clean.with_audit(quality.with_flags(df), "overpass_api", "silver", run_time)
@@ -70,9 +70,8 @@ def silver_incidents(bronze: DataFrame, places: DataFrame | NearestIndex, run_ti
     index = places if isinstance(places, NearestIndex) else place_index(places, max_distance)
     df = clean.numbers_from_text(clean.keep_first(bronze, ["crime_id"], order_by))
     df = clean.parse_dates(df, months=["month"], days=["outcome_date"])
-    df = clean.parse_dates(df, months=["outcome_date"])
     df = filters.flag_inside(geo.with_bng(df), bbox)
-    df = quality.with_incident_flags(quality.with_flags(nearest_join(df, index)))
+    df = quality.with_incident_flags(quality.with_flags(nearest_join(df, index, max_distance=max_distance)))
     df = clean.with_audit(df, "uk_police_api", "silver", run_time)
     return _finish(df, schemas.SILVER_CRIME)
 

@@ -18,13 +18,14 @@ def get_spark(app: str = "gridstone", cores: str | int | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Recording the call site of every column operation multiplies plan-building time.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if cores is not None:
         builder = (
             builder.master(f"local[{cores}]")
-            .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
+            .config("spark.sql.shuffle.partitions", str(os.cpu_count() if cores == "*" else cores))
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
             .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))

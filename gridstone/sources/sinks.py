@@ -37,11 +37,14 @@ def _seen(observation: Observation) -> int:
 
 
 def clustered(df: DataFrame, partition_by: Sequence[str], files_per_partition: int = 1) -> DataFrame:
-    """Rows grouped by output partition, so that tasks do not each open every partition.
+    """Rows grouped by output partition, so that tasks do not each open every partition. Adaptive
+    execution splits a large partition over several tasks and joins small ones.
 
-    ``files_per_partition`` splits a large partition over that many tasks."""
+    ``files_per_partition`` splits every partition over that many tasks instead."""
     if not partition_by:
         return df
+    if files_per_partition <= 1:
+        return df.hint("rebalance", *partition_by)
     keys = [F.col(c) for c in partition_by]
     if files_per_partition > 1:
         content = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
@@ -69,7 +72,7 @@ def write_snapshot(df: DataFrame, path: str, run_time: datetime) -> Written:
 
 def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Written:
     """Replace a managed table, schema included."""
-    counted, seen = _counted(df)
+    counted, seen = _counted(clustered(df, partition_by))
     counted.write.mode("overwrite").format(fmt).partitionBy(*partition_by).saveAsTable(name)
     return Written(name, _seen(seen))
 
@@ -88,26 +91,34 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: S
         absent = {f.name: F.lit(None).cast(f.dataType) for f in known.fields if f.name not in df.columns}
         df = df.withColumns(absent) if absent else df
         df = df.select(*known.fieldNames())
-    counted, seen = _counted(df)
+    counted, seen = _counted(clustered(df, partition_by))
     counted.write.mode("append").format(fmt).partitionBy(*partition_by).saveAsTable(name)
     return Written(name, _seen(seen))
 
 
 def write_external(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> Written:
-    """Write files at a path and register them as a table."""
+    """Write files at a path and register them as a table. An external table of that name is
+    registered anew, its former files stay; a managed one is not replaced."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} is not an external table")
     counted, seen = _counted(df)
     counted.write.mode("overwrite").format(fmt).save(path)
-    df.sparkSession.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
-    df.sparkSession.catalog.refreshTable(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     return Written(path, _seen(seen))
 
 
 def move_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> bool:
-    """Recreate ``source`` as ``target`` and drop it; false when there is no source."""
+    """Recreate ``source`` as ``target``, partitioned alike, and drop it; false when there is no
+    source. The former target goes only once the copy is complete."""
     if not spark.catalog.tableExists(source):
         return False
+    copy = f"{target}__copy"
+    partitions = [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
+    overwrite_table(spark.table(source), copy, fmt, partitions)
     spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"CREATE TABLE {target} USING {fmt} AS SELECT * FROM {source}")
+    spark.sql(f"ALTER TABLE {copy} RENAME TO {target}")
     spark.sql(f"DROP TABLE {source}")
     return True
 

@@ -109,7 +109,7 @@ def clustered_rewrite(spark, sf):
 # --- streams ----------------------------------------------------------------------
 def _stream(spark, sf, name):
     # A stream follows a folder or a pattern, not a single file.
-    return jobs.follow_snapshots(spark, f"{sf}/{name}*.parquet", table(spark, sf, name).schema, "parquet")
+    return jobs.follow_snapshots(spark, f"{sf}/{name}[.]parquet", table(spark, sf, name).schema, "parquet")
 
 
 def _finished(query):

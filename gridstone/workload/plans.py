@@ -28,7 +28,7 @@ def unplaced_assets(spark, sf):
     from gridstone.functions import classify, geo
     from gridstone.operators import clean, quality
 
-    points = geo.with_bng(silver.repaired_assets(clean.keep_first(bronze_assets(spark, sf), ["id"], INGESTED)))
+    points = geo.with_bng(silver.repaired_assets(clean.keep_first(bronze_assets(spark, sf), ["id"], INGESTED, total_order=True)))
     scored = points.withColumn("metadata_quality_score", quality.completeness_score(points, K.ASSET_METADATA_FIELDS))
     return scored.withColumn("quality_tier", classify.quality_tier(F.col("metadata_quality_score")))
 
@@ -37,7 +37,7 @@ def unplaced_incidents(spark, sf):
     from gridstone.functions import geo
     from gridstone.operators import clean
 
-    first = clean.keep_first(bronze_incidents(spark, sf), ["crime_id"], INGESTED)
+    first = clean.keep_first(bronze_incidents(spark, sf), ["crime_id"], INGESTED, total_order=True)
     return geo.with_bng(clean.parse_dates(clean.numbers_from_text(first), months=["month"]))
 
 
@@ -58,10 +58,11 @@ def cells_frame(spark, sf):
 
 
 def profile_frame(spark, sf):
-    return postcode.area_profile(
-        silver.silver_places(bronze_places(spark, sf), RUN_TIME),
-        postcode.infrastructure_summary(assets_frame(spark, sf)), postcode.crime_summary(incidents_frame(spark, sf)),
-    )
+    places = bronze_places(spark, sf)
+    index = silver.place_index(places, max(K.ASSET_PLACE_RADIUS_M, K.INCIDENT_PLACE_RADIUS_M))  # one for both radii
+    assets = silver.silver_assets(bronze_assets(spark, sf), index, RUN_TIME, INGESTED)
+    incidents = silver.silver_incidents(bronze_incidents(spark, sf), index, RUN_TIME, INGESTED)
+    return postcode.area_profile(silver.silver_places(places, RUN_TIME), postcode.infrastructure_summary(assets), postcode.crime_summary(incidents))
 
 
 @query("silver_assets", f"select id, id as osm_id, type, infrastructure_type, {stable('lat')} as lat, {stable('lon')} as lon, easting_bng, northing_bng, round(length_meters + 1e-9, 3) as length_meters, "
