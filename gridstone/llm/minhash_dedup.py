@@ -165,7 +165,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     sketches = written(_sketches(docs, width, tables, length), "sketches")
     whole = sketches.where("node is not null and size > 0")
     classes = whole.groupBy("s1", "s2").agg(F.min("node").alias("class_id"))
-    named = written(sketches.join(classes, ["s1", "s2"], "left").select("node", "size", F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("node")).alias("class_id")), "classes")
+    named = written(sketches.join(classes, ["s1", "s2"], "left").select("node", "size", F.when((F.col("size") > 0) & F.col("node").isNotNull(), F.col("class_id")).otherwise(F.col("node")).alias("class_id")), "classes")
 
     of_class = whole.join(classes.select(F.col("class_id").alias("node")), "node", "left_semi").dropDuplicates(["node"])
     pairs_of_tuples = F.flatten(F.transform("first", lambda x, i: F.transform("second", lambda y, j: F.xxhash64(i, j, x, y))))
