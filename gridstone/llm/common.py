@@ -6,7 +6,8 @@ a polynomial modulo 2**64 whose coefficients are scrambled first; any span then
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
@@ -226,6 +227,14 @@ def missing_last(key: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
 
 
+def set_aside(df: DataFrame, label: str) -> tuple[str, DataFrame]:
+    """The rows as a table that the session's warehouse holds until it is dropped."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    with tidy(df.sparkSession):
+        df.write.saveAsTable(name)
+    return name, df.sparkSession.table(name)
+
+
 def bucketed(df: DataFrame, key: str, label: str) -> tuple[str, DataFrame]:
     """The rows as a table bucketed by a key in the shared folder, so that joins on that key
     move only the other side. Gives the table's name; drop it when done."""
@@ -238,21 +247,22 @@ def bucketed(df: DataFrame, key: str, label: str) -> tuple[str, DataFrame]:
     return name, spark.table(name)
 
 
-def sample_frequent(rows: DataFrame, key: str, n_docs: int, value: str = "sig", docs: int = 5000, share: float = 0.01) -> Sequence[int]:
-    """Values that some one in a hundred documents or more contain, from about ``docs`` of them.
+def sample_frequent(rows_of: Callable[[DataFrame], DataFrame], docs: DataFrame, key: str, n_docs: int, value: str = "sig", about: int = 5000, share: float = 0.01) -> Sequence[int]:
+    """Values that some one in a hundred documents or more contain, from about ``about`` of them.
 
     Only says which values to keep out of the shuffle that counts the rest, because their answer
     is known: at most (values of a document) / ``share`` of them."""
-    step = max(1, n_docs // docs)
-    least = max(20, int(share * min(n_docs, docs)))
-    some = rows.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0)
+    step = max(1, n_docs // about)
+    least = max(20, int(share * min(n_docs, about)))
+    some = rows_of(docs.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0))
     return [r[0] for r in some.groupBy(value).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(value).collect()]
 
 
-def in_two_places(rows: DataFrame, n_docs: int, count: str | None = None) -> DataFrame:
+def in_two_places(rows_of: Callable[[DataFrame], DataFrame], docs: DataFrame, n_docs: int, count: str | None = None) -> DataFrame:
     """(__key, sig) of the values of (__key, sig) that two keys have or, with a count column, that
-    are counted twice in all. Values known to be frequent are spread over many groups."""
-    common = sample_frequent(rows, "__key", n_docs)
+    are counted twice in all, among the rows that ``rows_of`` gives of the documents. Values known to be frequent are spread over many groups."""
+    common = sample_frequent(rows_of, docs, "__key", n_docs)
+    rows = rows_of(docs)
     often = rows.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, common)).cast("array<long>")).alias("sig"), F.lit(True).alias("__often"))
     marked = rows.join(F.broadcast(often), "sig", "left").withColumn("__part", F.when(F.col("__often"), F.col("__key")).otherwise(0))
     group = Window.partitionBy("sig", "__part")

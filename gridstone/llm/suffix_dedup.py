@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridstone.llm.common import (
-    Slice, Spans, belongs, bucketed, covered, distinct, in_two_places, lists, missing_last, record, signed, slices, sliding,
+    Slice, Spans, belongs, bucketed, covered, distinct, in_two_places, lists, missing_last, record, set_aside, signed, slices, sliding,
     spread, windows, written,
 )
 
@@ -99,9 +99,8 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
         return row, digit
 
     # Pass 1: digits that two documents have.
-    coarse = _rows(docs, digits, "__key long, sig long", ("sig",))
     n_docs = docs.count()
-    marks = written(in_two_places(coarse, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
+    marks = written(in_two_places(lambda d: _rows(d, digits, "__key long, sig long", ("sig",)), docs, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
 
     # Pass 2: runs of such suffixes as whole strings.
     def runs(batch, s):
@@ -113,7 +112,7 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
         first = np.searchsorted(np.rec.fromarrays([x.run_row[at][order], whole[order]]), np.rec.fromarrays([row, value])) if len(row) else row
         return row, x.run_digit[at][order][first], value
 
-    strings = written(_rows(docs.join(marks, "__key"), runs, "__key long, sig long, run long", ("sig", "run")), "runs")
+    aside, strings = set_aside(_rows(docs.join(marks, "__key"), runs, "__key long, sig long, run long", ("sig", "run")), "runs")
     first = strings.groupBy("sig", "run").agg(F.min("__key").alias("__first"))
     several = first.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig", F.lit(True).alias("several"))
     judged = strings.join(first.join(several, "sig", "left"), ["sig", "run"])
@@ -121,6 +120,8 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
     state = written(judged.select("__key", settled.alias("s"), still.alias("o")).where("s is not null or o is not null")
                     .groupBy("__key").agg(F.collect_list("s").alias("settled"), F.collect_list("o").alias("open")), "judged")
 
+    spark.sql(f"DROP TABLE {aside}")
+
     # Pass 3: a longer digit, for the suffixes of runs that are left.
     def longer(batch, s):
         x, y = Suffixes(s, depth, gram), Suffixes(s, depth, longer_gram)
@@ -129,7 +130,7 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
         return distinct(y.row[chosen], y.digit[chosen])[:2]
 
     opened = docs.join(state.where(F.size("open") > 0).select("__key", "open"), "__key")
-    narrowed = in_two_places(_rows(opened, longer, "__key long, sig long", ("sig",)), n_docs)
+    narrowed = in_two_places(lambda d: _rows(d, longer, "__key long, sig long", ("sig",)), opened, n_docs)
     narrowed = written(narrowed.groupBy("__key").agg(F.collect_list("sig").alias("longer")).join(state.select("__key", "open"), "__key"), "longer")
 
     # Pass 4: full depth.

@@ -87,8 +87,9 @@ def remove_repeated(documents: DataFrame, key: str = "doc_id", text: str = "text
     state, before, length = None, None, min(first, window)
     while True:
         candidates = docs if state is None else docs.join(state, "__key")
-        rows = candidates.mapInArrow(level(length, before), "__key long, sig long, n long")
-        state = written(in_two_places(rows, n_docs, "n").groupBy("__key").agg(F.collect_list("sig").alias("sigs")), f"windows_{length}")
+        step = level(length, before)
+        rows = in_two_places(lambda d, step=step: d.mapInArrow(step, "__key long, sig long, n long"), candidates, n_docs, "n")
+        state = written(rows.groupBy("__key").agg(F.collect_list("sig").alias("sigs")), f"windows_{length}")
         if length == window:
             break
         before, length = length, min(2 * length, window)
