@@ -14,7 +14,6 @@ Repeated rows count each time. Runs jobs when called."""
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -28,6 +27,7 @@ from gridstone.llm.common import frequent, sent, written
 
 WORDS, GRAMS, LONGEST, LANGUAGES = 20_000, 5_000, 4, 64
 UNKNOWN = "und"
+_AT_ONCE = 100_000  # different words of texts judged together; a text is never split
 _CERTAIN_AFTER = 12  # words whose evidence is added up in full; a longer text counts as so many
 
 
@@ -36,37 +36,65 @@ def held_out(key: Column) -> Column:
 
 
 class Model:
-    """Log frequencies by language of words and n-grams."""
+    """Log frequencies by language of words and n-grams, one row each."""
 
     def __init__(self, words: list[tuple[str, str, int]], grams: list[tuple[str, str, int]], totals: dict[str, int]):
         self.languages = sorted(totals)
         place = {x: i for i, x in enumerate(self.languages)}
-        self.words = self._table(words, place, np.array([totals[x] for x in self.languages], float))
+        values, self.logs = self._table(words, place, np.array([totals[x] for x in self.languages], float))
+        self.index = {v: i for i, v in enumerate(values)}
         self.grams = {}
         for n in range(1, LONGEST + 1):
-            own = [g for g in grams if len(g[1]) == n]
+            own = [g for g in grams if len(g[1]) == n and g[1] != "_"]
             sums = np.ones(len(place))
             for language, _, count in own:
                 sums[place[language]] += count
-            self.grams[n] = self._table(own, place, sums)
+            values, logs = self._table(own, place, sums)
+            keys = _keys(_codes("".join(values)), n)[::n]
+            order = np.argsort(keys)
+            self.grams[n] = keys[order], logs[order]
 
     @staticmethod
-    def _table(rows, place, totals) -> dict[str, np.ndarray]:
+    def _table(rows, place, totals) -> tuple[list[str], np.ndarray]:
         counts: dict[str, np.ndarray] = {}
         for language, value, n in rows:
             counts.setdefault(value, np.zeros(len(place)))[place[language]] = n
-        return {v: np.log((c + 0.5) / (totals + 0.5 * (len(counts) + 1))) for v, c in counts.items()}
-
-    def of(self, word: str) -> np.ndarray | None:
-        if (known := self.words.get(word)) is not None:
-            return known
-        marked = f"_{word}_"
-        for n in range(min(LONGEST, len(marked)), 0, -1):
-            table = self.grams[n]
-            found = [table[g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in table and g != "_"]
-            if found:
-                return sum(found) / len(found)
-        return None
+        known = np.array(list(counts.values())).reshape(len(counts), len(place))
+        return list(counts), np.log((known + 0.5) / (totals + 0.5 * (len(counts) + 1)))
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Mean log frequency of each word's longest known n-grams; zeros where none is known."""
+        codes = _codes("".join(f"_{w}_" for w in words))
+        sizes = np.array([len(w) + 2 for w in words], np.int64)
+        word, end = np.repeat(np.arange(len(words)), sizes), np.repeat(np.cumsum(sizes), sizes)
+        result, waiting = np.zeros((len(words), len(self.languages))), np.ones(len(words), bool)
+        for n in range(LONGEST, 0, -1):
+            table, logs = self.grams[n]
+            if not len(table):
+                continue
+            keys = _keys(codes, n)
+            at = np.flatnonzero(waiting[word[: len(keys)]] & (np.arange(len(keys)) + n <= end[: len(keys)]))
+            near = np.minimum(np.searchsorted(table, keys[at]), len(table) - 1)
+            hit = table[near] == keys[at]
+            of, near = word[at[hit]], near[hit]
+            found = np.bincount(of, minlength=len(words))
+            for i in range(len(self.languages)):
+                result[:, i] += np.bincount(of, logs[near, i], len(words)) / np.maximum(found, 1)
+            waiting &= found == 0
+        return result
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _keys(codes: np.ndarray, n: int) -> np.ndarray:
+    """A number for the n characters from each position on."""
+    count = max(0, len(codes) - n + 1)
+    key = np.zeros(count, np.uint64)
+    for i in range(n):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + count]
+    return key
 
 
 def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
@@ -98,37 +126,40 @@ def identify(documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared()
         letters = regex.compile(r"\p{L}+")
-        index: dict[str, int] = {w: i for i, w in enumerate(m.words)}
-        known = np.array(list(m.words.values())) if index else np.zeros((0, len(m.languages)))
-        unseen: dict[str, np.ndarray | None] = {}  # starts anew when full
+        known = len(m.index)
         for batch in batches:
+            texts = batch.column("__text")
             said, sure = [], []
-            for t in batch.column("__text").to_pylist():
-                counts = Counter(letters.findall(t.lower())) if t else {}
-                if not counts or not m.languages:
-                    said.append(UNKNOWN)
-                    sure.append(0.0)
-                    continue
-                at, times, total = [], [], np.zeros(len(m.languages))
-                for word, n in counts.items():
-                    if (i := index.get(word)) is not None:
-                        at.append(i)
-                        times.append(n)
-                        continue
-                    if word not in unseen:
-                        if len(unseen) >= WORDS:
-                            unseen.clear()
-                        unseen[word] = m.of(word)
-                    if unseen[word] is not None:
-                        total += n * unseen[word]
-                if at:
-                    total += np.array(times, float) @ known[at]
-                n = sum(counts.values())
-                z = total * (min(n, _CERTAIN_AFTER) / n)
-                best = int(np.argmax(z))
-                said.append(m.languages[best])
-                sure.append(1 / math.fsum(np.exp(z - z[best])))
+            while len(said) < len(texts):
+                place, times, per_text, fresh = [], [], [], {}
+                for text in texts.slice(len(said)):
+                    t = text.as_py()
+                    counts = Counter(letters.findall(t.lower())) if t and m.languages else {}
+                    for word in counts:
+                        if (i := m.index.get(word)) is None:
+                            i = known + fresh.setdefault(word, len(fresh))
+                        place.append(i)
+                    times.extend(counts.values())
+                    per_text.append(len(counts))
+                    if len(place) >= _AT_ONCE:
+                        break
+                best, score = _judge(np.concatenate([m.logs, m.unseen(list(fresh))]), np.array(place, np.int64), np.array(times, float), np.array(per_text))
+                said += [m.languages[b] if n else UNKNOWN for b, n in zip(best.tolist(), per_text, strict=True)]
+                sure += score.tolist()
             kept = [batch.column(c) for c in batch.schema.names if c != "__text"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(said, pa.string()), pa.array(sure, pa.float64())], [*(c for c in batch.schema.names if c != "__text"), *names])
 
     return source.mapInArrow(run, ", ".join([*fields, f"`{names[0]}` string", f"`{names[1]}` double"]))
+
+
+def _judge(logs: np.ndarray, place: np.ndarray, times: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best language and its share for each text, given the rows of its different words and how often
+    each occurs; no words, share 0."""
+    if not logs.shape[1]:
+        return np.zeros(len(per_text), np.int64), np.zeros(len(per_text))
+    of, n = np.repeat(np.arange(len(per_text)), per_text), len(per_text)
+    total = np.column_stack([np.bincount(of, times * logs[place, i], n) for i in range(logs.shape[1])])
+    size = np.bincount(of, times, n)
+    z = total * (np.minimum(size, _CERTAIN_AFTER) / np.maximum(size, 1))[:, None]
+    share = 1 / np.exp(z - z.max(axis=1, keepdims=True)).sum(axis=1)
+    return z.argmax(axis=1), np.where(per_text > 0, share, 0.0)
