@@ -170,3 +170,15 @@ def test_pipeline_of_nothing(spark, small):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, small), name)
     assert docs.count() == 0
+
+
+def test_unseen_words():
+    from gridstone.llm.language import Model
+
+    assert Model([], [], {}).unseen(["ab"]).shape == (1, 0)
+    m = Model([("en", "the", 3)], [("en", "t", 3), ("fr", "_é", 1), ("fr", "_", 9)], {"en": 3, "fr": 1})
+    t, edge, none = m.unseen(["t", "ét", "zz"])
+    assert t[0] > t[1]  # one character is all that is known of it
+    assert edge[1] > edge[0]  # the longer n-gram decides alone
+    assert none.tolist() == [0, 0]  # the edge mark alone is no evidence
+    assert m.unseen([]).shape == (0, 2)
