@@ -143,7 +143,7 @@ class Slice:
         return Spans(_SYMBOLS[_FOLD[self.data] if folded else self.data]).of(begin, stop)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[Slice]:
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[Slice]:
     """The batch's texts (null: empty) in slices of bounded size."""
     texts = pc.fill_null(batch.column(column), "").cast(pa.large_binary())
     _, bounds, data = texts.buffers()
@@ -152,7 +152,7 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[Slice]:
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     i = 0
     while i < n:
-        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1))
+        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1))
         yield Slice(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], i, j)
         i = j
 
@@ -206,8 +206,8 @@ def spread(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sizes)), sizes), np.repeat(offsets[1:], sizes)
 
 
-def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
-    """Which of n positions lie in a window starting at one of ``starts``."""
+def covered(n: int, starts: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+    """Which of n positions lie in a window starting at one of ``starts``, of one length or one each."""
     steps = np.zeros(n + 1, np.int64)
     np.add.at(steps, starts, 1)
     np.add.at(steps, starts + length, -1)

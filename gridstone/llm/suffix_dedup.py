@@ -30,41 +30,53 @@ from pyspark.sql import functions as F
 
 from gridstone.llm.common import (
     Slice, Spans, belongs, bucketed, covered, distinct, in_two_places, lists, missing_last, record, set_aside, signed, slices, sliding,
-    spread, windows, written,
+    written,
 )
 
 DEPTH, GRAM, LONGER = 50, 20, 32
+PIECE = 1 << 17  # text hashed at once: its arrays stay in the cache
 _DIGIT_BITS = np.uint64(48)
 RESULT = "__key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 class Suffixes:
-    """The suffixes of a slice that are at least DEPTH long: where they start, their digit,
-    and the runs of consecutive ones with one digit."""
+    """The suffixes of a slice that are at least DEPTH long, as runs of consecutive ones with one
+    digit. Single suffixes are listed only for the runs that are asked for."""
 
     def __init__(self, s: Slice, depth: int, gram: int):
-        row, end = spread(s.offsets)
         self.spans, self.depth = Spans(s.byte_symbols()), depth
-        grams = self.spans.every(gram) >> (np.uint64(64) - _DIGIT_BITS)
-        least = sliding(grams, depth - gram + 1, np.minimum)
-        ok = windows(end, depth)[: len(least)]
-        self.start = np.flatnonzero(ok)
-        self.row, self.digit = row[self.start], least[self.start]
-        n = len(self.start)
-        new = np.ones(n, bool)
-        if n:
-            new[1:] = (np.diff(self.start) != 1) | (self.digit[1:] != self.digit[:-1]) | (self.row[1:] != self.row[:-1])
-        self.run = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], n)[: len(first)] - 1
-        self.run_row, self.run_digit = self.row[first], self.digit[first]
-        self.run_span = (self.start[first], self.start[last] + depth) if n else (first, first)
+        digit = self.digits(gram)
+        size = np.diff(s.offsets)
+        n = np.maximum(size - depth + 1, 0)  # suffixes of each text
+        there = np.repeat(np.tile([True, False], len(n)), np.column_stack([n, size - n]).ravel())[: len(digit)]
+        new = np.ones(len(digit), bool)
+        new[1:] = digit[1:] != digit[:-1]
+        new[s.offsets[:-1][n > 0]] = True
+        self.begin = np.flatnonzero(new & there)
+        self.run_row = np.searchsorted(s.offsets, self.begin, "right") - 1
+        self.run_digit = digit[self.begin]
+        stop = s.offsets[self.run_row + 1] - depth + 1
+        stop[:-1] = np.minimum(stop[:-1], self.begin[1:])
+        self.count = stop - self.begin
+
+    def digits(self, gram: int) -> np.ndarray:
+        """The digit of every suffix, by start."""
+        return sliding(self.spans.every(gram) >> (np.uint64(64) - _DIGIT_BITS), self.depth - gram + 1, np.minimum)
 
     def runs(self) -> np.ndarray:
-        return self.spans.of(*self.run_span)
+        return self.spans.of(self.begin, self.begin + self.length())
 
-    def whole(self, chosen: np.ndarray) -> np.ndarray:
-        start = self.start[chosen]
+    def length(self) -> np.ndarray:
+        """Bytes of each run: from its first suffix to DEPTH bytes into its last one."""
+        return self.count + self.depth - 1
+
+    def within(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and start of every suffix of some runs."""
+        n = self.count[runs]
+        ahead = np.cumsum(n) - n
+        return np.repeat(self.run_row[runs], n), np.arange(n.sum()) + np.repeat(self.begin[runs] - ahead, n)
+
+    def whole(self, start: np.ndarray) -> np.ndarray:
         return self.spans.of(start, start + self.depth)
 
 
@@ -78,7 +90,7 @@ def _rows(df: DataFrame, step, schema: str, names: tuple[str, ...]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in slices(batch):
+            for s in slices(batch, size=PIECE):
                 row, *columns = step(batch, s)
                 if len(row):
                     yield record(out, _keys(batch, s)[row], *(signed(c) for c in columns))
@@ -124,10 +136,9 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
     # Pass 3: a longer digit, for the suffixes of runs that are left.
     def longer(batch, s):
-        x, y = Suffixes(s, depth, gram), Suffixes(s, depth, longer_gram)
-        at = belongs(x.runs(), x.run_row, *lists(batch, "open", s))
-        chosen = at[x.run] if len(at) else np.zeros(0, bool)
-        return distinct(y.row[chosen], y.digit[chosen])[:2]
+        x = Suffixes(s, depth, gram)
+        row, start = x.within(np.flatnonzero(belongs(x.runs(), x.run_row, *lists(batch, "open", s))))
+        return distinct(row, x.digits(longer_gram)[start])[:2]
 
     opened = docs.join(state.where(F.size("open") > 0).select("__key", "open"), "__key")
     narrowed = in_two_places(lambda d: _rows(d, longer, "__key long, sig long", ("sig",)), opened, n_docs)
@@ -135,11 +146,10 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
     # Pass 4: full depth.
     def edges(batch, s):
-        x, y = Suffixes(s, depth, gram), Suffixes(s, depth, longer_gram)
-        at = belongs(x.runs(), x.run_row, *lists(batch, "open", s))
-        chosen = np.flatnonzero(at[x.run]) if len(at) else np.zeros(0, np.int64)
-        chosen = chosen[belongs(y.digit[chosen], y.row[chosen], *lists(batch, "longer", s))]
-        return distinct(x.row[chosen], x.whole(chosen))[:2]
+        x = Suffixes(s, depth, gram)
+        row, start = x.within(np.flatnonzero(belongs(x.runs(), x.run_row, *lists(batch, "open", s))))
+        some = np.flatnonzero(belongs(x.digits(longer_gram)[start], row, *lists(batch, "longer", s)))
+        return distinct(row[some], x.whole(start[some]))[:2]
 
     single = written(_rows(docs.join(narrowed, "__key"), edges, "__key long, suffix long", ("suffix",)), "suffixes")
     least = single.groupBy("suffix").agg(F.min("__key").alias("__first"), F.max("__key").alias("__last")).where("__first < __last")
@@ -149,17 +159,15 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([("__key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *[("kept", pa.binary())] * keep])
         for batch in batches:
-            for s in slices(batch):
+            for s in slices(batch, size=PIECE):
                 gone = np.zeros(len(s.data), bool)
                 settled, suffixes = lists(batch, "settled", s), lists(batch, "suffixes", s)
                 if len(settled[0]) or len(suffixes[0]):
                     x = Suffixes(s, depth, gram)
                     hit = belongs(x.runs(), x.run_row, *settled)
-                    starts = x.start[hit[x.run]] if len(hit) else x.start[:0]
-                    if len(suffixes[0]):
-                        some = np.flatnonzero(np.isin(x.row, suffixes[1]))
-                        starts = np.append(starts, x.start[some[belongs(x.whole(some), x.row[some], *suffixes)]])
-                    gone = covered(len(s.data), starts, depth)
+                    row, start = x.within(np.flatnonzero(~hit & np.isin(x.run_row, suffixes[1])))
+                    start = start[belongs(x.whole(start), row, *suffixes)]
+                    gone = covered(len(s.data), np.append(x.begin[hit], start), np.append(x.length()[hit], np.full(len(start), depth)))
                 begins = gone.copy()
                 begins[1:] &= ~gone[:-1]
                 inner = s.offsets[(s.offsets > 0) & (s.offsets < len(gone))]
