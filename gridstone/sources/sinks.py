@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridstone.functions import scalars
 from gridstone.schemas import LAYERS
+from gridstone.session import scratch_path
 
 INGESTION_LOG = (
     "data_type string, record_count bigint, ingestion_timestamp timestamp, ingestion_date date, "
@@ -54,12 +55,19 @@ def clustered(df: DataFrame, partition_by: Sequence[str], files_per_partition: i
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append",
                   files_per_partition: int = 1) -> Written:
-    """Snappy Parquet. Nothing is written for an empty input."""
-    if df.isEmpty():
-        return Written(None, 0)
+    """Snappy Parquet, counted in the job that writes it. Nothing is left behind for an empty input."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    existed = store.exists(folder)
     counted, seen = _counted(clustered(df, partition_by, files_per_partition))
     counted.write.mode(mode).partitionBy(*partition_by).parquet(path)
-    return Written(path, _seen(seen))
+    records = _seen(seen)
+    if records:
+        return Written(path, records)
+    if not existed:
+        store.delete(folder, True)
+    return Written(None, 0)
 
 
 def write_snapshot(df: DataFrame, path: str, run_time: datetime) -> Written:
@@ -111,14 +119,14 @@ def write_external(df: DataFrame, name: str, path: str, fmt: str = "parquet") ->
 
 def move_table(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> bool:
     """Recreate ``source`` as ``target``, partitioned alike, and drop it; false when there is no
-    source. The former target goes only once the copy is complete."""
+    source. The source goes only once the target is complete. A renamed table would keep the
+    former places of its partitions, so the rows are written anew."""
     if not spark.catalog.tableExists(source):
         return False
-    copy = f"{target}__copy"
     partitions = [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
-    overwrite_table(spark.table(source), copy, fmt, partitions)
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {copy} RENAME TO {target}")
+    written = overwrite_table(spark.table(source), target, fmt, partitions)
+    if not verify_table(spark, target, written.records):
+        raise RuntimeError(f"{target} does not hold the {written.records} rows of {source}")
     spark.sql(f"DROP TABLE {source}")
     return True
 
@@ -131,9 +139,13 @@ def export_csv(df: DataFrame, path: str, simple_columns: Sequence[str], split_by
                coordinates: Sequence[str] | None = None) -> list[str]:
     """Full table, key-column view, one folder per category and a mapping file.
 
+    The input is computed once, into the shared folder, and every output is made from there.
     Categories are written in one partitioned pass; rows without coordinates stay out of
     the mapping file."""
-    root = path.rstrip("/")
+    root, schema = path.rstrip("/"), df.schema
+    staged = scratch_path(df.sparkSession, "export")
+    df.write.parquet(staged)
+    df = df.sparkSession.read.schema(schema).parquet(staged)
     outputs: dict[str, DataFrame] = {"full": df, "simple": df.select(*simple_columns)}
     if coordinates:
         numbers = {c: scalars.to_number(F.col(c)) for c in ("lat", "lon")}
@@ -187,6 +199,18 @@ def verify_table(spark: SparkSession, name: str, expected: int) -> bool:
     return spark.table(name).count() == expected
 
 
+def verification(spark: SparkSession, name: str, written: Written, coordinates: Sequence[str] = ("lat", "lon"),
+                 partition_by: str | None = None) -> DataFrame:
+    """One row about a table after a write: rows written and read back, rows without coordinates
+    and values of the partition column."""
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in coordinates])
+    partitions = F.count_distinct(partition_by) if partition_by else F.lit(0).cast("long")
+    return spark.table(name).agg(
+        F.lit(written.records).cast("long").alias("written"), F.count("*").alias("read_back"),
+        F.count_if(missing).alias("null_coordinates"), partitions.alias("partitions"),
+    ).withColumn("complete", F.col("written") == F.col("read_back"))
+
+
 def cluster_files(df: DataFrame, path: str, by: Sequence[str], partitions: int | None = None) -> None:
     """Rewrite range-clustered, so that row groups can be skipped by the leading columns."""
     keys = [F.col(c) for c in by]

@@ -61,15 +61,31 @@ def append_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
     return writer.trigger(availableNow=True).start(path)
 
 
+def replace_changed(stream: DataFrame, partition: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the groups of an aggregation that each batch changed, in place of their former rows.
+    Groups still open are written too; a repeated batch is harmless."""
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+    return (
+        stream.writeStream.foreachBatch(replace).outputMode("update").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def refresh_partitions(stream: DataFrame, history: Callable[[], DataFrame], aggregate: Callable[[DataFrame], DataFrame],
                        partition: str, path: str, checkpoint: str) -> StreamingQuery:
     """Rebuild the output partitions a batch touches.
 
-    ``history`` reads the full input; only the touched partitions are aggregated again and
-    replaced, which makes a repeated batch harmless."""
+    ``history`` reads the full input, stored by the partition column, so that only the touched
+    partitions are read, aggregated again and replaced. A repeated batch is harmless. The driver
+    holds the values of the touched partitions, as it does for any partitioned write."""
     def refresh(batch: DataFrame, _: int) -> None:
-        touched = batch.select(partition).distinct()
-        fresh = aggregate(history().join(touched, partition, "left_semi"))
+        touched = [r[0] for r in batch.select(partition).distinct().collect()]
+        wanted = F.col(partition).isin([t for t in touched if t is not None])
+        if None in touched:
+            wanted = wanted | F.col(partition).isNull()
+        fresh = aggregate(history().where(wanted))
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
     return (

@@ -106,12 +106,82 @@ def clustered_rewrite(spark, sf):
     return readers.read_path(spark, path).groupBy("infrastructure_type").agg(F.count("*").alias("records"), F.min("id").alias("first_id"))
 
 
+# --- managed tables ----------------------------------------------------------------
+def _table_name(spark, label):
+    return scratch_path(spark, label).rsplit("/", 1)[1].replace("-", "_")
+
+
+def _kept(df, label, *tables):
+    """The rows of a report, written; the tables it was made from are dropped."""
+    path, spark = scratch_path(df.sparkSession, label), df.sparkSession
+    df.write.parquet(path)
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _by_month(spark, sf):
+    return table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+
+
+@query("snk3_overwrite", "select substring(cast(o_orderdate as varchar), 1, 7) as month, count(*) as records, round(max(o_totalprice), 2) as largest, "
+       "'o_orderkey,o_totalprice,month' as columns, (select count(*) from orders) as written from orders group by 1")
+def snk3(spark, sf):
+    """A table replaced by one of another schema and partitioning."""
+    name = _table_name(spark, "snk3")
+    sinks.overwrite_table(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), name)
+    result = sinks.overwrite_table(_by_month(spark, sf).select("o_orderkey", "o_totalprice", "month"), name, partition_by=["month"])
+    back = readers.read_table(spark, name)
+    report = back.groupBy("month").agg(F.count("*").alias("records"), F.round(F.max("o_totalprice"), 2).alias("largest"))
+    report = report.withColumns({"columns": F.lit(",".join(back.columns)), "written": F.lit(result.records).cast("long")})
+    return _kept(report, "snk3", name)
+
+
+@query("snk4_append", "select o_orderstatus, count(*) as records, count(case when o_orderkey % 2 = 1 then o_totalprice end) as priced from orders group by 1")
+def snk4(spark, sf):
+    """The second append brings a column the table lacks."""
+    name, orders = _table_name(spark, "snk4"), table(spark, sf, "orders")
+    sinks.append_table(orders.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus"), name, partition_by=["o_orderstatus"])
+    sinks.append_table(orders.where("o_orderkey % 2 = 1").select("o_totalprice", "o_orderkey", "o_orderstatus"), name, partition_by=["o_orderstatus"])
+    report = readers.read_table(spark, name).groupBy("o_orderstatus").agg(F.count("*").alias("records"), F.count("o_totalprice").alias("priced"))
+    return _kept(report, "snk4", name)
+
+
+@query("snk6_move", "select o_orderstatus, count(*) as records, 0 as source_left, 'o_orderstatus' as partitioned_by from orders group by 1")
+def snk6(spark, sf):
+    source, target = _table_name(spark, "snk6"), _table_name(spark, "snk6_moved")
+    sinks.overwrite_table(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), source, partition_by=["o_orderstatus"])
+    sinks.move_table(spark, source, target)
+    by = ",".join(c.name for c in spark.catalog.listColumns(target) if c.isPartition)
+    report = readers.read_table(spark, target).groupBy("o_orderstatus").agg(F.count("*").alias("records"))
+    report = report.withColumns({"source_left": F.lit(int(spark.catalog.tableExists(source))), "partitioned_by": F.lit(by)})
+    return _kept(report, "snk6", target)
+
+
+@query("snk12_verify", "select count(*) as written, count(*) as read_back, count(*) filter (lat is null or lon is null) as null_coordinates, "
+       "count(distinct infrastructure_type) as partitions, 1 as complete from assets_raw")
+def snk12(spark, sf):
+    name = _table_name(spark, "snk12")
+    assets = bronze_assets(spark, sf).select("id", "lat", "lon", "infrastructure_type")
+    result = sinks.overwrite_table(assets, name, partition_by=["infrastructure_type"])
+    report = sinks.verification(spark, name, result, partition_by="infrastructure_type")
+    return _kept(report.withColumn("complete", F.col("complete").cast("int")), "snk12", name)
+
+
 # --- streams ----------------------------------------------------------------------
 def _stream(spark, sf, name):
     # A stream follows a folder or a pattern, not a single file.
     return jobs.follow_snapshots(spark, f"{sf}/{name}[.]parquet", table(spark, sf, name).schema, "parquet")
 
 
+def _arriving(spark, parts, label, start):
+    """Writes each part into a landing folder and runs the stream on it up to there."""
+    landing = scratch_path(spark, f"{label}-in")
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        _finished(start(jobs.follow_snapshots(spark, landing, part.schema, "parquet")))
+
+
 def _finished(query):
     query.awaitTermination()
     if query.exception():
@@ -133,25 +203,31 @@ def str1(spark, sf):
 @query("str2_dedup", "select distinct user_id, event_type from events")
 def str2(spark, sf):
     out, state = (scratch_path(spark, f"str2-{n}") for n in ("out", "state"))
-    stream = _stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    unique = jobs.drop_reingested(stream, ["user_id", "event_type"], "ts", "60 days")
-    _finished(jobs.append_files(unique, out, state))
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def unique(stream):
+        return jobs.append_files(jobs.drop_reingested(stream, ["user_id", "event_type"], "ts", "60 days"), out, state)
+
+    _arriving(spark, [events, events], "str2", unique)  # everything comes twice, in batches of their own
     return readers.read_path(spark, out).select("user_id", "event_type")
 
 
 @query("str3_daily", f"select cast(cast(ts as date) as varchar) as date, {stable('avg(value)')} as avg_temperature, min(value) as min_temperature, max(event_type) as dominant_weather, count(*) as observation_count "
-       "from events where cast(ts as date) + interval 1 day <= (select max(ts) - interval 2 day from events) group by 1")
+       "from events group by 1")
 def str3(spark, sf):
-    """Days that the watermark has closed; later ones are still open."""
+    """All days, the open ones as far as they have come; the day between two batches gets rows from both."""
     out, state = (scratch_path(spark, f"str3-{n}") for n in ("out", "state"))
     value = F.col("value")
     # The table's times carry no zone; they are read as UTC.
     moment = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
-    stream = _stream(spark, sf, "events").select(
+    events = table(spark, sf, "events").select(
         moment.alias("datetime"), value.alias("temp_celsius"), value.alias("humidity_percent"), value.alias("wind_speed_ms"),
         F.lit(None).cast("double").alias("rain_1h_mm"), F.col("event_type").alias("weather_main"),
     )
-    _finished(jobs.append_files(jobs.daily_weather(stream, "2 days"), out, state))
+    middle = F.lit(events.agg(F.percentile_approx(F.unix_micros("datetime"), 0.5)).first()[0])
+    early = F.unix_micros("datetime") < middle
+    parts = [events.where(early), events.where(~F.coalesce(early, F.lit(False)))]
+    _arriving(spark, parts, "str3", lambda s: jobs.replace_changed(jobs.daily_weather(s, "2 days"), "date", out, state))
     return readers.read_path(spark, out).select(text("date"), six("avg_temperature"), "min_temperature", "dominant_weather", "observation_count")
 
 
@@ -159,11 +235,13 @@ def str3(spark, sf):
 def str4(spark, sf):
     out, state = (scratch_path(spark, f"str4-{n}") for n in ("out", "state"))
 
-    def keyed(orders):
-        return orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    stored = scratch_path(spark, "str4-history")
+    history = _by_month(spark, sf).select("o_orderkey", "o_totalprice", "month")
+    sinks.write_parquet(history, stored, ["month"])
 
     def per_month(orders):
         return orders.groupBy("month").agg(F.count("*").alias("records"), F.round(F.max("o_totalprice"), 2).alias("largest"))
 
-    _finished(jobs.refresh_partitions(keyed(_stream(spark, sf, "orders")), lambda: keyed(table(spark, sf, "orders")), per_month, "month", out, state))
+    arriving = _stream(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    _finished(jobs.refresh_partitions(arriving, lambda: spark.read.schema(history.schema).parquet(stored), per_month, "month", out, state))
     return readers.read_partitioned(spark, out, "records bigint, largest double, month string")
