@@ -270,7 +270,7 @@ def in_two_places(rows_of: Callable[[DataFrame], DataFrame], docs: DataFrame, n_
     return marked.withColumn("__twice", twice).where("__often or __twice").select("__key", "sig")
 
 
-def frequent(counts: DataFrame, count: str, most: int, by: Sequence[str] = ()) -> pa.Table:
+def frequent(counts: DataFrame, count: str, most: int, by: Sequence[str] = ()) -> DataFrame:
     """The most frequent rows, at most ``most`` in all or for each value of ``by``: every row whose
     count is above a limit, found from how many rows have each count."""
     spread_of = counts.groupBy(*by, count).agg(F.count("*").alias("__rows")).orderBy(*by, F.desc(count)).collect()
@@ -290,4 +290,4 @@ def frequent(counts: DataFrame, count: str, most: int, by: Sequence[str] = ()) -
         for c, v in zip(by, group, strict=True):
             own = own & (F.col(c) == F.lit(v))
         wanted = wanted | (own & (F.col(count) >= least))
-    return counts.where(wanted).toArrow()
+    return counts.where(wanted)

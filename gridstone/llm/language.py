@@ -104,14 +104,14 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     totals = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).limit(LANGUAGES + 1).collect()}
     if len(totals) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    top = frequent(counted, "n", WORDS, ["lang"])
+    top = frequent(counted, "n", WORDS, ["lang"]).toArrow()
     marked = F.concat(F.lit("_"), "value", F.lit("_"))
     pieces = F.flatten(F.array(*[
         F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))), lambda i, n=n: F.substring(marked, i, n))
         for n in range(1, LONGEST + 1)
     ]))
     grams = counted.select("lang", "n", F.explode(pieces).alias("value")).groupBy("lang", "value").agg(F.sum("n").alias("n")).withColumn("size", F.length("value"))
-    some = frequent(written(grams, "language_grams"), "n", GRAMS, ["lang", "size"])
+    some = frequent(written(grams, "language_grams"), "n", GRAMS, ["lang", "size"]).toArrow()
     rows = lambda t: list(zip(*(t[c].to_pylist() for c in ("lang", "value", "n")), strict=True))
     return Model(rows(top), rows(some), totals)
 

@@ -1,12 +1,13 @@
 """Cross-entropy difference of documents under a target and a background model.
 
-Both are interpolated bigram models of folded words over one vocabulary: the WORDS most frequent words
-of all documents, everything else being one unknown word. They are matched: the same vocabulary and
-bigrams, the same smoothing, and background counts scaled to the target's number of words, so that a
-difference comes from the text and not from the size of a corpus. Counts cover every document.
+Both are interpolated bigram models of folded words over one vocabulary: every word of the documents,
+and one unknown word for those only met later. They are matched: the same vocabulary and bigrams, the
+same smoothing, and background counts scaled to the target's number of words, so that a difference
+comes from the text and not from the size of a corpus. Counts cover every document, word and bigram.
 
-What tasks hold is bounded by WORDS and by BIGRAMS, the most frequent bigrams of both corpora together;
-the others back off to single words.
+The counts are tables. Tasks hold the BIGRAMS most frequent bigrams with their losses; the bigrams of a
+document that are not among them are joined to the tables, counted once per document. Which way a bigram
+goes changes no result.
 
 Nulls: a null text has no words; a document without words has n_words 0 and null losses. A document
 whose ``target`` is null belongs to the background. Ids may be null or repeated, each row is scored.
@@ -15,145 +16,154 @@ With an empty corpus on either side that model is uniform. Runs jobs when called
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridstone.llm.common import Slice, frequent, sent, signed, slices, spread, written
+from gridstone.llm.common import Slice, distinct, frequent, mix, sent, signed, slices, spread, written
 
-WORDS, BIGRAMS = 20_000, 500_000
+BIGRAMS = 500_000
 WEIGHT, FLOOR = 0.7, 0.5  # of the bigram; added to every word's count
-_BATCH = pa.schema([("code", pa.int64()), ("target", pa.int64()), ("background", pa.int64())])
+SIDES = ("target", "background")
+_COUNTED = pa.schema([("before", pa.int64()), ("word", pa.int64()), ("target", pa.int64()), ("background", pa.int64())])
 
 
-def _hashes(s: Slice) -> tuple[np.ndarray, np.ndarray]:
+def _bigrams(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the word before (0 at a text's start) and of the word, and rows."""
     begin, stop, offsets = s.words()
-    return s.word_symbols(begin, stop, folded=True), offsets
+    word = s.word_symbols(begin, stop, folded=True)
+    before = np.zeros_like(word)
+    before[1:] = word[:-1]
+    before[offsets[:-1][np.diff(offsets) > 0]] = 0
+    return before, word, spread(offsets)[0]
 
 
-class Vocabulary:
-    """Numbers of words, from 1; 0 is the unknown word."""
+def _codes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(before * np.uint64(3) + word)
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
 
-    def __len__(self) -> int:
-        return len(self.hashes) + 1
-
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at + 1, 0)
-
-    def pairs(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers, codes of (word before, word) with ``len(self)`` before the first, and rows."""
-        hashes, offsets = _hashes(s)
-        word = self.of(hashes)
-        row, _ = spread(offsets)
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        before[offsets[:-1][np.diff(offsets) > 0]] = len(self)
-        return word, before * (len(self) + 1) + word, row
-
-
-def _counted(documents: DataFrame, code) -> DataFrame:
-    """How often each code of a word occurs in either corpus; ``code`` gives those of a slice and their rows."""
+def _counted(documents: DataFrame) -> DataFrame:
+    """How often each bigram occurs in either corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give = code()
         for batch in batches:
             marked = np.asarray(batch.column("target").to_numpy(zero_copy_only=False), bool)
             for s in slices(batch):
-                values, row = give(s)
-                unique, at = np.unique(values, return_inverse=True)
-                own = np.bincount(at, weights=marked[s.first : s.last][row], minlength=len(unique)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(unique)), pa.array(own), pa.array(np.bincount(at, minlength=len(unique)) - own)], schema=_BATCH)
+                before, word, row = _bigrams(s)
+                _, first, at = np.unique(_codes(before, word), return_index=True, return_inverse=True)
+                own = np.bincount(at, weights=marked[s.first : s.last][row], minlength=len(first)).astype(np.int64)
+                columns = (signed(before[first]), signed(word[first]), own, np.bincount(at, minlength=len(first)) - own)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_COUNTED)
 
-    counts = documents.mapInArrow(run, "code long, target long, background long")
-    return counts.groupBy("code").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    return _summed(documents.mapInArrow(run, "before long, word long, target long, background long"), "before", "word")
 
 
-def _most(counts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and both counts of the most frequent codes of both corpora, at most n."""
-    found = frequent(counts.withColumn("total", F.col("target") + F.col("background")), "total", n)
-    return found["code"].to_numpy(), np.array([found["target"].to_numpy(), found["background"].to_numpy()], float)
+def _summed(counts: DataFrame, *by: str) -> DataFrame:
+    return counts.groupBy(*by).agg(*(F.sum(x).alias(x) for x in SIDES))
 
 
-class Models:
-    """Losses of the two models for numbered words and pairs."""
-
-    def __init__(self, vocabulary: Vocabulary, words: np.ndarray, contexts: np.ndarray, codes: np.ndarray, pairs: np.ndarray):
-        self.vocabulary = vocabulary
-        totals = words.sum(axis=1, keepdims=True)
-        scale = np.array([[1.0], [totals[0, 0] / totals[1, 0] if totals.all() else 1.0]])
-        words, contexts, pairs = words * scale, contexts * scale, pairs * scale
-        self.single = (words + FLOOR) / (words.sum(axis=1, keepdims=True) + FLOOR * len(vocabulary))
-        order = np.argsort(codes)
-        self.codes = codes[order]
-        before = self.codes // (len(vocabulary) + 1)
-        self.pair = np.divide(pairs[:, order], contexts[:, before], out=np.zeros_like(pairs), where=contexts[:, before] > 0)
-        self.seen = contexts > 0
+class Held:
+    """Losses of some bigrams, in memory."""
 
-    def losses(self, word: np.ndarray, code: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.codes, code), max(0, len(self.codes) - 1))
-        known = self.codes[at] == code if len(self.codes) else np.zeros(len(code), bool)
-        pair = np.where(known, self.pair[:, at] if len(self.codes) else 0.0, 0.0)
-        weight = WEIGHT * self.seen[:, code // (len(self.vocabulary) + 1)]
-        return -np.log(weight * pair + (1 - weight) * self.single[:, word])
+    def __init__(self, before: np.ndarray, word: np.ndarray, losses: np.ndarray):
+        codes = _codes(before, word)
+        order = np.argsort(codes)
+        self.codes, self.before, self.word, self.losses = codes[order], before[order], word[order], losses[:, order]
 
+    def find(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which bigrams are held, and where those are."""
+        if not len(self.codes):
+            return np.zeros(len(word), bool), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.codes, _codes(before, word)), len(self.codes) - 1)
+        known = (self.before[at] == before) & (self.word[at] == word)
+        return known, at[known]
 
-def fit(documents: DataFrame, target: Column, text: str = "text", n_words: int = WORDS, n_bigrams: int = BIGRAMS) -> Models:
-    docs = documents.select(F.col(text).alias("text"), F.coalesce(target.cast("boolean"), F.lit(False)).alias("target"))
-    spark = docs.sparkSession
 
-    def words():
-        def give(s):
-            hashes, offsets = _hashes(s)
-            return hashes, spread(offsets)[0]
-        return give
+@dataclass
+class Models:
+    """Counts of bigrams, words and words before, as tables; the most frequent bigrams in memory."""
 
-    top, _ = _most(written(_counted(docs, words), "lm_words"), n_words)
-    vocabulary = Vocabulary(np.ascontiguousarray(top).view(np.uint64))
-    there = sent(spark, vocabulary)
+    bigrams: DataFrame
+    words: DataFrame
+    contexts: DataFrame
+    sizes: dict[str, float]  # words of each corpus
+    vocabulary: int  # with the unknown word
+    held: Held | None = None
 
-    def bigrams():
-        v = there()
+    def losses(self, bigrams: DataFrame) -> DataFrame:
+        """The bigrams, with counts or null ones, and their loss under each model."""
+        words = self.words.select("word", *(F.col(x).alias(f"__word_{x}") for x in SIDES))
+        contexts = self.contexts.select("before", *(F.col(x).alias(f"__before_{x}") for x in SIDES))
+        scale = {"target": 1.0, "background": self.sizes["target"] / self.sizes["background"] if all(self.sizes.values()) else 1.0}
 
-        def give(s):
-            _, code, row = v.pairs(s)
-            return code.astype(np.uint64), row
-        return give
+        def loss(x: str) -> Column:
+            count = lambda c: F.coalesce(F.col(c), F.lit(0))
+            single = (count(f"__word_{x}") * scale[x] + FLOOR) / (self.sizes[x] * scale[x] + FLOOR * self.vocabulary)
+            known = count(f"__before_{x}") > 0
+            pair = F.when(known, WEIGHT * count(x) / count(f"__before_{x}")).otherwise(0.0)
+            return -F.log(pair + F.when(known, 1 - WEIGHT).otherwise(1.0) * single)
 
-    counts = written(_counted(docs, bigrams), "lm_bigrams")
-    size = len(vocabulary)
-    sums = {}
-    for name, part in (("word", F.col("code") % (size + 1)), ("before", F.floor(F.col("code") / (size + 1)))):
-        sums[name] = np.zeros((2, size + 1))
-        for r in counts.groupBy(part.alias("i")).agg(F.sum("target").alias("t"), F.sum("background").alias("b")).collect():
-            sums[name][:, r.i] = r.t, r.b
-    codes, pairs = _most(counts, n_bigrams)
-    return Models(vocabulary, sums["word"][:, :size], sums["before"], codes, pairs)
+        return bigrams.join(contexts, "before", "left").join(words, "word", "left").withColumns({f"loss_{x}": loss(x) for x in SIDES}).select(*(c for c in bigrams.columns if c not in SIDES), *(f"loss_{x}" for x in SIDES))
 
 
-def score(documents: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row ``key``, n_words, the mean loss per word under each model, and their difference: the
-    lower it is, the more the text is like the target."""
-    there = sent(documents.sparkSession, models)
-    docs = documents.select(F.col(key).alias("__key"), F.col(text).alias("text"))
+def fit(documents: DataFrame, target: Column, text: str = "text", n_bigrams: int = BIGRAMS) -> Models:
+    """The models; tasks will hold ``n_bigrams`` bigrams at most."""
+    docs = documents.select(F.col(text).alias("text"), F.coalesce(target.cast("boolean"), F.lit(False)).alias("target"))
+    bigrams = written(_counted(docs), "lm_bigrams")
+    words = written(_summed(bigrams, "word"), "lm_words")
+    contexts = written(_summed(bigrams, "before"), "lm_contexts")
+    r = words.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in SIDES)).first()
+    models = Models(bigrams, words, contexts, {x: float(r[x]) for x in SIDES}, r.n + 1)
+    often = frequent(bigrams.withColumn("total", F.col("target") + F.col("background")), "total", n_bigrams)
+    held = models.losses(often).toArrow()
+    numbers = [np.ascontiguousarray(held[c].to_numpy()).view(np.uint64) for c in ("before", "word")]
+    models.held = Held(*numbers, np.array([held[f"loss_{x}"].to_numpy() for x in SIDES], float).reshape(2, -1))
+    return models
+
+
+def _read(docs: DataFrame, held: Held) -> DataFrame:
+    """Per row ``__key``, n_words, the sums of losses of the bigrams held, and the other ones with their counts."""
+    there = sent(docs.sparkSession, held)
+    names = ["__key", "n_words", *SIDES, "rest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Models = there()
+        h: Held = there()
         for batch in batches:
             for s in slices(batch):
-                word, code, row = m.vocabulary.pairs(s)
-                n = np.bincount(row, minlength=len(s))
-                losses = m.losses(word, code)
-                mean = [np.bincount(row, weights=x, minlength=len(s)) / np.maximum(n, 1) for x in losses]
-                columns = [pa.array(x, mask=n == 0) for x in (*mean, mean[0] - mean[1])]
-                yield pa.RecordBatch.from_arrays([batch.column("__key").slice(s.first, len(s)), pa.array(n.astype(np.int64)), *columns], ["__key", "n_words", "loss_target", "loss_background", "difference"])
+                before, word, row = _bigrams(s)
+                known, at = h.find(before, word)
+                sums = [np.bincount(row[known], weights=x[at], minlength=len(s)).astype(float) for x in h.losses]
+                other = np.flatnonzero(~known)
+                codes, first, same = np.unique(_codes(before[other], word[other]), return_index=True, return_inverse=True)
+                of, which, times = distinct(row[other], same)
+                which = other[first[which]] if len(other) else other
+                rest = pa.StructArray.from_arrays([pa.array(signed(before[which])), pa.array(signed(word[which])), pa.array(times.astype(np.int32))], ["before", "word", "n"])
+                bounds = np.searchsorted(of, np.arange(len(s) + 1)).astype(np.int32)
+                columns = [np.bincount(row, minlength=len(s)).astype(np.int64), *sums]
+                yield pa.RecordBatch.from_arrays([batch.column("__key").slice(s.first, len(s)), *map(pa.array, columns), pa.ListArray.from_arrays(pa.array(bounds), rest)], names)
 
     kind = docs.schema["__key"].dataType.simpleString()
-    return docs.mapInArrow(run, f"__key {kind}, n_words long, loss_target double, loss_background double, difference double").withColumnRenamed("__key", key)
+    return docs.mapInArrow(run, f"__key {kind}, n_words long, target double, background double, rest array<struct<before: long, word: long, n: int>>")
+
+
+def score(documents: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row ``key``, n_words, the mean loss per word under each model, and their difference: the
+    lower it is, the more the text is like the target."""
+    docs = documents.select(F.col(key).alias("__key"), F.col(text).alias("text"))
+    rows = written(_read(docs, models.held).withColumn("__row", F.monotonically_increasing_id()), "lm_rows")
+    rest = rows.select("__row", F.inline("rest"))
+    summed = lambda losses: [F.sum(F.col("n") * F.coalesce(f"loss_{x}", F.lit(0.0))).alias(f"__{x}") for x in losses]
+    sums = written(
+        rest.join(models.losses(models.bigrams), ["before", "word"], "left").groupBy("__row")
+        .agg(*summed(SIDES), F.max(F.col("loss_target").isNull()).alias("more")), "lm_sums")
+    if not sums.where("more").isEmpty():  # bigrams that the models have not met
+        new = rest.join(sums.where("more").select("__row"), "__row", "left_semi").join(models.bigrams, ["before", "word"], "left_anti")
+        new = models.losses(new.withColumns({x: F.lit(0) for x in SIDES}))
+        sums = sums.drop("more").unionByName(new.groupBy("__row").agg(*summed(SIDES))).groupBy("__row").agg(*(F.sum(f"__{x}").alias(f"__{x}") for x in SIDES))
+    some = F.col("n_words") > 0
+    mean = {f"loss_{x}": F.when(some, (F.col(x) + F.coalesce(f"__{x}", F.lit(0.0))) / F.col("n_words")) for x in SIDES}
+    scored = rows.drop("rest").join(sums, "__row", "left").withColumns(mean)
+    return scored.select(F.col("__key").alias(key), "n_words", *mean, (F.col("loss_target") - F.col("loss_background")).alias("difference"))

@@ -60,6 +60,25 @@ def test_lm_scores_equal_a_plain_model(spark):
             assert got[i][name] == pytest.approx(loss / len(w))
 
 
+@pytest.mark.parametrize("n_bigrams", [0, 3])
+def test_lm_scores_do_not_depend_on_what_is_held(spark, n_bigrams):
+    texts = [("a b a c a b", True), ("a b b", True), ("c c d a b", False), ("d e f g", None), ("", False), (None, True)]
+    df = spark.createDataFrame([(i % 4, t, g) for i, (t, g) in enumerate(texts)], "doc_id long, text string, good boolean")
+    rows = lambda models, docs: sorted(map(tuple, score(docs, models).collect()), key=repr)
+    few, all_held = fit(df, F.col("good"), n_bigrams=n_bigrams), fit(df, F.col("good"))
+    assert len(few.held.codes) <= n_bigrams < len(all_held.held.codes) == 14
+    later = spark.createDataFrame([(9, "a b never seen a b"), (None, "b a"), (9, "d e")], "doc_id long, text string")
+    for docs in (df, later):
+        got, want = rows(few, docs), rows(all_held, docs)
+        assert len(got) == docs.count() and [r[:2] for r in got] == [r[:2] for r in want]
+        assert all(g == w or g == pytest.approx(w) for g, w in zip([x for r in got for x in r[2:]], [x for r in want for x in r[2:]], strict=True))
+    r = next(r for r in score(later, few).collect() if r.n_words == 6)
+    single = lambda n: (n + FLOOR) / (9 + FLOOR * 8)  # noqa: E731  # 9 words in the target, 7 different ones and the unknown
+    pair = lambda n, of, w: WEIGHT * n / of + (1 - WEIGHT) * w
+    chances = [pair(2, 2, single(4)), pair(3, 4, single(4)), pair(0, 4, single(0)), single(0), single(4), pair(3, 4, single(4))]
+    assert r.loss_target == pytest.approx(-sum(map(math.log, chances)) / 6)
+
+
 def test_urls(spark):
     urls = {
         "http://a.example.org/es/x?y": "block", "HTTP://EXAMPLE.ORG/es": "allow", "x://example.org/en/12": "block", "x://org": "allow",
