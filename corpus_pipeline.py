@@ -1,15 +1,15 @@
 """From raw documents to a training mix: five stages, each one operator of gridstone.llm.
 
 A stage takes (spark, docs, sf_dir) and returns the documents it keeps, with their columns. The last one
-returns every document as often as the mix takes it. Documents without an id pass the near-duplicate
-stage unchanged; rows of one id are one document there, of which one row stays."""
+returns every document as often as the mix takes it. The near-duplicate stage judges every row by
+its text, with or without an id, and does not take rows of one id for one document."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridstone.llm.common import read, written
+from gridstone.llm.common import missing_last, read, written
 from gridstone.llm.decontaminate import find_items
 from gridstone.llm.language import UNKNOWN, identify, learn
 from gridstone.llm.minhash_dedup import near_duplicates
@@ -26,13 +26,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
-    judged = near_duplicates(docs.select("doc_id", "text"), width=5, percent=80).where("doc_id is not null")
-    ids = written(judged.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"), "not_single")
-    single = docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.join(ids.where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return single.unionByName(repeated.withColumn("__n", F.row_number().over(order)).where(F.col("__n") == 1).drop("__n"))
+    """One row of each group of near duplicates stays: the one with the smallest id, none being the largest.
+    Texts without words are near nothing."""
+    node = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
+    hashed = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind))
+    rows = docs.withColumns({"__node": node, "__id": missing_last("doc_id"), "__row": hashed})
+    texts = rows.groupBy("__node").agg(F.min(F.struct("__id", "__row")).alias("least"), F.count("*").alias("n")).select("__node", "least.*", "n")
+    judged = near_duplicates(docs.select(node.alias("__node"), "text"), key="__node", width=5, percent=80)
+    groups = judged.where("n_shingles > 0").select("__node", "component_id").distinct().join(texts, "__node")
+    best = groups.groupBy("component_id").agg(F.min(F.struct("__id", "__node")).alias("best"))
+    decided = groups.join(best, "component_id").withColumn("stays", F.col("__node") == F.col("best.__node"))
+    named = written(decided.where("not stays or n > 1").select("__node", "__id", "__row", "stays"), "not_single")
+    single = rows.join(named.select("__node"), "__node", "left_anti").select(*docs.columns)
+    repeated = rows.join(named.where("stays"), ["__node", "__id", "__row"], "left_semi").dropDuplicates(["__node"]).select(*docs.columns)
+    return single.unionByName(repeated)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ two blocks are compared within one task, which returns only links that join comp
 a bucket is confirmed, refused, or already in one component, and no row is made for a pair of a large one.
 
 Nulls: documents without words, and rows without an id, have links with nothing; the latter have no
-component and are kept. Rows of one id are one document. An empty table gives an empty result; other
+component and are kept. Rows of one id are one document, searched by one of its texts. An empty table gives an empty result; other
 columns are ignored. Runs jobs when called."""
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def _salts(n: int) -> np.ndarray:
 
 
 def _sketches(documents: DataFrame, width: int, tables: int, length: int) -> DataFrame:
-    out = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("first", pa.list_(pa.int64())), ("second", pa.list_(pa.int64()))])
+    out = pa.schema([("node", pa.int64()), ("mark", pa.int64()), ("size", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("first", pa.list_(pa.int64())), ("second", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts = _salts(2 * tables * length)
@@ -68,11 +68,11 @@ def _sketches(documents: DataFrame, width: int, tables: int, length: int) -> Dat
                     for i, salt in enumerate(salts):
                         least = np.minimum.reduceat((value ^ (salt >> np.uint64(7))) * salt, at)
                         tuples[some, i // length] = mix(tuples[some, i // length] * np.uint64(3) + least)
-                node = batch.column("node").slice(s.first, len(s))
+                node, mark = (batch.column(c).slice(s.first, len(s)) for c in ("node", "mark"))
                 parts = [pa.FixedSizeListArray.from_arrays(pa.array(signed(t.ravel())), tables).cast(pa.list_(pa.int64())) for t in (tuples[:, :tables], tuples[:, tables:])]
-                yield pa.RecordBatch.from_arrays([node, pa.array(size.astype(np.int64)), *(pa.array(signed(x)) for x in sums), *parts], schema=out)
+                yield pa.RecordBatch.from_arrays([node, mark, pa.array(size.astype(np.int64)), *(pa.array(signed(x)) for x in sums), *parts], schema=out)
 
-    return documents.mapInArrow(run, "node long, size long, s1 long, s2 long, first array<long>, second array<long>")
+    return documents.mapInArrow(run, "node long, mark long, size long, s1 long, s2 long, first array<long>, second array<long>")
 
 
 def _sets(documents: DataFrame, width: int) -> DataFrame:
@@ -161,19 +161,21 @@ def _between(one: pa.StructArray, other: pa.StructArray, percent: int) -> np.nda
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, tables: int = 8, length: int = 2) -> DataFrame:
     """Per row ``key``, n_shingles, component_id, kept, and class_id, the smallest id with an equal set."""
-    docs = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
+    docs = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     sketches = written(_sketches(docs, width, tables, length), "sketches")
     whole = sketches.where("node is not null and size > 0")
     classes = whole.groupBy("s1", "s2").agg(F.min("node").alias("class_id"))
     named = written(sketches.join(classes, ["s1", "s2"], "left").select("node", "size", F.when((F.col("size") > 0) & F.col("node").isNotNull(), F.col("class_id")).otherwise(F.col("node")).alias("class_id")), "classes")
 
-    of_class = whole.join(classes.select(F.col("class_id").alias("node")), "node", "left_semi").dropDuplicates(["node"])
+    # Of an id's texts the same one gives the sketch and the set.
+    own = whole.join(classes.select(F.col("class_id").alias("node")), "node", "left_semi")
+    of_class = own.groupBy("node").agg(F.min(F.struct("mark", "size", "first", "second")).alias("least")).select("node", "least.*")
     pairs_of_tuples = F.flatten(F.transform("first", lambda x, i: F.transform("second", lambda y, j: F.xxhash64(i, j, x, y))))
     rows = of_class.select("node", "size", F.explode(pairs_of_tuples).alias("bucket"))
     pivots = rows.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = written(rows.join(pivots.select("bucket", "pivot"), "bucket"), "buckets")
-    wanted = members.select("node").distinct()
-    sets = written(_sets(docs.join(wanted, "node", "left_semi").dropDuplicates(["node"]), width), "sets")
+    wanted = of_class.join(members.select("node").distinct(), "node", "left_semi").select("node", "mark")
+    sets = written(_sets(docs.where("node is not null").dropDuplicates(["node", "mark"]).join(wanted, ["node", "mark"], "left_semi"), width), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))

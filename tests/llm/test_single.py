@@ -184,6 +184,17 @@ def test_pipeline_stages(spark, small):
     assert 0 < docs.count() < 3 * n and docs.groupBy("doc_id", "copy").count().where("count > 1").count() == 0
 
 
+def test_near_dedup_judges_rows_by_their_text(spark, small):
+    rnd = random.Random(4)
+    a, b, c, d, e = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(5))
+    rows = [(3, a, "x"), (7, a, "y"), (7, b, "y"), (7, c, "y"), (None, b.upper(), "x"), (None, d, "x"), (None, d, "z"), (5, e, "q"), (5, e, "q"), (4, e + " more", "q"), (8, "", "x"), (9, "", "x"), (None, None, "x"), (7, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, small).collect()]
+    some = [r for r in got if r[1] != d]
+    assert sorted(some, key=repr) == sorted([rows[0], rows[2], rows[3], rows[9], *rows[10:]], key=repr)
+    assert [r[:2] for r in got if r[1] == d] == [(None, d)]
+
+
 def test_pipeline_of_nothing(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
