@@ -160,6 +160,26 @@ def test_pseudonyms(spark):
     assert pairs.distinct().count() == 91
 
 
+def test_pseudonyms_next_to_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    cases = {  # text: what must not be left of it, and what must
+        f"{card} 123": (card, " 123"), "4111111111111111 123": ("4111111111111111", " 123"), "7 4111111111111111": ("4111111111111111", "7 "),
+        f"2024 {card}": (card, "2024 "), f"a 2024 2025 {card}, b": (card, "a 2024 2025 "), f"{card} 12-34x": (card, "12-34x"), f"{card} 5500 0000 0000 0004": (card, " "),
+        "123 555-123-4567": ("555-123-4567", "123 "), "12345 2024-05-01": ("2024-05-01", "12345 "), "+1-555-123-4567": ("555-123-4567", "+1-"), "1-555-123-4567": ("555-123-4567", "1-"),
+        "at 2024-05-01T10:00:00Z": ("2024-05-01", "T10:00:00Z"), "born 1850-03-09": ("1850-03-09", "born "), "in 9999-12-31.": ("9999-12-31", "in "),
+        f"{card} 10.0.0.1": ("10.0.0.1", " "), "4111-1111-1111-1112 12": ("no card", "4111-1111-1111-1112 12"), "12345-678-9012-34567 x": ("no card", "12345-678-9012-34567 x"),
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in replace_personal(df, "key").collect()}
+    for i, (text, (gone, left)) in enumerate(cases.items()):
+        new = got[i].text
+        assert gone not in new and left in new, (text, new)
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text) or "10.0.0.1" in text, (text, new)
+        assert got[i].n_replaced == (0 if gone == "no card" else 2 if "5500" in text or "10.0.0.1" in text else 1), (text, new)
+    phones = {got[i].text[-12:] for i, t in enumerate(cases) if t.endswith("555-123-4567")}
+    assert len(phones) == 1  # equal values stay linked
+
+
 def test_languages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = learn(docs)
