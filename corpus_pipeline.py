@@ -20,8 +20,12 @@ KEY = "a key that the owner of the data chooses and keeps"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in no language (null, or without a letter) go."""
-    said = identify(docs, learn(docs), docs.columns, names=("__lang_pred", "__score"))
+    """Texts in no language (null, or without a letter) go, and no others: the score is not used, so a text
+    in a language that no document teaches passes. The same holds when nothing can be learned."""
+    model = learn(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    said = identify(docs, model, docs.columns, names=("__lang_pred", "__score"))
     return said.where(F.col("__lang_pred") != UNKNOWN).drop("__lang_pred", "__score")
 
 

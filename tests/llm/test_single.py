@@ -204,6 +204,12 @@ def test_pipeline_stages(spark, small):
     assert 0 < docs.count() < 3 * n and docs.groupBy("doc_id", "copy").count().where("count > 1").count() == 0
 
 
+def test_language_stage_without_a_model(spark, small):
+    rows = [(1, "some words"), (2, "12 ."), (3, None), (4, ""), (None, "é")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id long, text string, lang string")
+    assert {r.text for r in corpus_pipeline.language(spark, docs, small).collect()} == {"some words", "é"}
+
+
 def test_near_dedup_judges_rows_by_their_text(spark, small):
     rnd = random.Random(4)
     a, b, c, d, e = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(5))
