@@ -16,6 +16,7 @@ from gridstone.llm.minhash_dedup import near_duplicates
 from gridstone.llm.mixing import mix_sources
 from gridstone.llm.neighbours import nearest
 from gridstone.llm.pseudonyms import replace_personal
+from gridstone.llm.quality_rules import cascade
 from gridstone.llm.suffix_dedup import remove_earlier
 from gridstone.llm.url_filter import Rule, judge
 from gridstone.llm.window_dedup import remove_repeated
@@ -172,6 +173,44 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cascade(read(spark, sf_dir, "documents"))
+
+
+SQL["op12_quality_rules"] = r"""
+with texts as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+), split as (
+  select r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+  from texts
+), spots as (
+  select r, unnest(range(1, len(w) - 3)) as i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as x from split
+), again as (
+  select r, count(distinct j) as n from (
+    select r, unnest(range(i, i + 5)) as j from (select r, i, count(*) over (partition by r, x) as times from spots) where times > 1) group by r
+), words as (
+  select r, max(n) as top from (select r, x, count(*) as n from (select r, unnest(w) as x from split) group by r, x) group by r
+), pairs as (
+  select r, max(n) as top from (
+    select r, x, count(*) as n from (select r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as x from split) group by r, x) group by r
+), counted as (
+  select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(again.n, 0) as n_repeat_words,
+    len(l) as n_lines, len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) as n_letter_words,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper, length(regexp_replace(text, '[^a-z]', '', 'g')) as n_lower,
+    coalesce(words.top, 0) as top_word, coalesce(pairs.top, 0) as top_pair
+  from split left join again using (r) left join words using (r) left join pairs using (r)
+), judged as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counted
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and word_chars between 2 * n_words and 15 * n_words and 10 * n_symbols <= n_words and 100 * n_dup_lines <= 30 * n_lines
+    and 100 * n_letter_words >= 80 * n_words and 100 * n_upper <= 50 * (n_upper + n_lower) and 100 * top_word <= 30 * n_words and 100 * top_pair <= 20 * n_words as kept
+from judged"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
