@@ -179,6 +179,13 @@ class Texts:
         np.maximum.at(most, row[new], np.diff(np.append(new, len(row))))
         return most
 
+    @cached_property
+    def n_stutters(self) -> np.ndarray:
+        """Words that equal the one before."""
+        same = np.append(False, self.word_codes[1:] == self.word_codes[:-1])[: len(self.word_codes)]
+        same[self.words[2][:-1][np.diff(self.words[2]) > 0]] = False
+        return self._per_word_text(same)
+
     @cached_property
     def n_letter_words(self) -> np.ndarray:
         """Words with a letter."""
@@ -207,9 +214,10 @@ class Rule:
 RULES = (
     Rule("word_length", lambda t: (t.word_chars < 2 * t.n_words) | (t.word_chars > 15 * t.n_words)),
     Rule("symbols", lambda t: 10 * t.n_symbols > t.n_words),
-    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 30 * t.n_lines),
-    Rule("letters", lambda t: 100 * t.n_letter_words < 80 * t.n_words),
+    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 50 * t.n_lines),
+    Rule("letters", lambda t: 100 * t.n_letter_words < 70 * t.n_words),
     Rule("upper_case", lambda t: 100 * t.n_upper > 50 * (t.n_upper + t.n_lower)),
+    Rule("stutter", lambda t: 100 * t.n_stutters > 30 * t.n_words),
     Rule("top_word", lambda t: 100 * t.top_word > 30 * t.n_words),
     Rule("top_pair", lambda t: 100 * t.top_pair > 20 * t.n_words),
 )

@@ -200,14 +200,14 @@ with texts as (
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(again.n, 0) as n_repeat_words,
     len(l) as n_lines, len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) as n_letter_words,
     length(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper, length(regexp_replace(text, '[^a-z]', '', 'g')) as n_lower,
-    coalesce(words.top, 0) as top_word, coalesce(pairs.top, 0) as top_pair
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) as n_stutters, coalesce(words.top, 0) as top_word, coalesce(pairs.top, 0) as top_pair
   from split left join again using (r) left join words using (r) left join pairs using (r)
 ), judged as (
   select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counted
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and word_chars between 2 * n_words and 15 * n_words and 10 * n_symbols <= n_words and 100 * n_dup_lines <= 30 * n_lines
-    and 100 * n_letter_words >= 80 * n_words and 100 * n_upper <= 50 * (n_upper + n_lower) and 100 * top_word <= 30 * n_words and 100 * top_pair <= 20 * n_words as kept
+  not base_failed and word_chars between 2 * n_words and 15 * n_words and 10 * n_symbols <= n_words and 100 * n_dup_lines <= 50 * n_lines
+    and 100 * n_letter_words >= 70 * n_words and 100 * n_stutters <= 30 * n_words and 100 * n_upper <= 50 * (n_upper + n_lower) and 100 * top_word <= 30 * n_words and 100 * top_pair <= 20 * n_words as kept
 from judged"""
 
 

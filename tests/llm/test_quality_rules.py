@@ -27,9 +27,9 @@ def plain(text):
     most = lambda xs: max(Counter(xs).values(), default=0)
     failed = n < 10 or 100 * len(again) > 20 * n
     bad = (
-        chars < 2 * n or chars > 15 * n or 10 * symbols > n or 100 * dup > 30 * len(lines)
-        or 100 * sum(bool(re.search("[A-Za-z\x80-\U0010ffff]", w)) for w in words) < 80 * n or 100 * upper > 50 * (upper + lower)
-        or 100 * most(words) > 30 * n or 100 * most(zip(words, words[1:], strict=False)) > 20 * n
+        chars < 2 * n or chars > 15 * n or 10 * symbols > n or 100 * dup > 50 * len(lines)
+        or 100 * sum(bool(re.search("[A-Za-z\x80-\U0010ffff]", w)) for w in words) < 70 * n or 100 * upper > 50 * (upper + lower)
+        or 100 * sum(a == b for a, b in zip(words, words[1:], strict=False)) > 30 * n or 100 * most(words) > 30 * n or 100 * most(zip(words, words[1:], strict=False)) > 20 * n
     )
     return (n, chars, symbols, dup, len(again), failed, not failed and not bad)
 
