@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gridstone.llm.common import read
 from gridstone.llm.decontaminate import find_items
+from gridstone.llm.hard_negatives import mine
 from gridstone.llm.language import held_out, identify, learn
 from gridstone.llm.lm_scoring import fit, score
 from gridstone.llm.minhash_dedup import near_duplicates
@@ -17,6 +18,7 @@ from gridstone.llm.mixing import mix_sources
 from gridstone.llm.neighbours import nearest
 from gridstone.llm.pseudonyms import replace_personal
 from gridstone.llm.quality_rules import cascade
+from gridstone.llm.spelling import variants
 from gridstone.llm.suffix_dedup import remove_earlier
 from gridstone.llm.url_filter import Rule, judge
 from gridstone.llm.window_dedup import remove_repeated
@@ -173,6 +175,34 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One label in seven is made wrong, as the contract has it."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+SQL["op11_hard_negatives"] = r"""
+with items as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings where label is not null and embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), parts as (select r, vec_id, label, unnest(v) as x, unnest(range(len(v))) as i from items
+), scored as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id as id, b.label as label, cast(sum(a.x * b.x) as bigint) as score
+  from parts a join parts b on a.i = b.i and a.vec_id <> b.vec_id where a.vec_id % 100 = 0 group by a.r, a.vec_id, a.label, b.r, b.vec_id, b.label
+), positives as (
+  select anchor_id, id as positive_id, score as positive_score from scored where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, id) as integer) as rank,
+  id as negative_id, positive_score, score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and s.label <> s.anchor_label
+where 80 * positive_score <= 100 * score and score <= positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, id) <= 5"""
+
+
 @query
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade(read(spark, sf_dir, "documents"))
@@ -211,6 +241,47 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged"""
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run in 199 loses a letter first, as the contract has it."""
+    return variants(read(spark, sf_dir, "documents"), slip=199)
+
+
+SQL["op13_spelling_variants"] = r"""
+with recursive steps as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+), runs as (
+  select coalesce(cast(doc_id as varchar), '') as key, x, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as x from documents)
+  where length(x) >= 6 group by doc_id, x
+), bytes as (
+  select x, n, [4294967295] || flatten(list_transform(string_split(key || ':' || x, ''),
+    lambda c: case when unicode(c) < 128 then [unicode(c)] else [195, unicode(c) - 64] end)) as b from runs
+), summed as (
+  select x, n, xor(list_reduce(list_transform(b, lambda y: cast(y as bigint)), lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) as h from bytes, steps
+), slipped as (
+  select case when h % 199 = 0 then substr(x, 1, h % length(x)) || substr(x, h % length(x) + 2) else x end as word, n from summed
+), words as (
+  select word, cast(sum(n) as bigint) as n from slipped where length(word) >= 6 group by word having sum(n) >= 5
+), places as (
+  select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+), near as (
+  select a.word, b.word as other, b.n as other_n from places a join places b on a.i = b.i and a.rest = b.rest and a.word <> b.word and length(a.word) = length(b.word)
+  union select p.word, w.word, w.n from places p join words w on w.word = p.rest
+  union select w.word, p.word, p.n from places p join words w on w.word = p.rest
+), best as (
+  select word, count(*) as n_near, arg_min(other, (-other_n, other)) as other, max(other_n) as other_n from near group by word
+), judged as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= 5 * w.n then other end as form, case when other_n >= 5 * w.n then other_n end as form_n
+  from words w left join best using (word)
+), chain as (
+  select word, coalesce(form, word) as root from judged
+  union select c.word, j.form from chain c join judged j on j.word = c.root where j.form is not null
+)
+select word, form, (select c.root from chain c join judged k on k.word = c.root where c.word = j.word and k.form is null) as root, n, n_near, form_n from judged j"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
