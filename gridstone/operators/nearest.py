@@ -1,201 +1,112 @@
 """Bounded nearest-neighbour join.
 
-The reference points are indexed once as square cells, each listing every point that can
-be the nearest one for *some* position in the cell. Cells are halved until a list is
-short, so the size of a list follows the local density. A query position falls into
-exactly one cell, hence the join yields at most one row per position and needs no
-regrouping.
-
-Building works on occupied blocks (cells of the same size) rather than on points: a cell
-has at most 25 blocks near enough to matter, whatever the number of points inside, so no
-group grows with the data. Blocks farther away than the worst case of the best block
-cannot hold the nearest point and are dropped before the next halving.
+The reference points are sorted along a Z-order curve and packed, as they come, into leaves of
+``LEAF`` points; ``FAN`` consecutive leaves make a node, ``FAN`` of those the next, up to a top of
+at most ``TOP`` nodes. Every point is stored once, and the depth follows from their number alone:
+clusters of any density, down to points that differ in the last bit, make leaves of the same size.
+A node knows the bounding boxes of its children.
+
+Positions descend level by level. A box lies at least ``near`` and has a point at most ``far`` away,
+so of all boxes met at a level those farther than the smallest ``far`` cannot hold the nearest point
+and are left behind; a few go on. Each level is one equi-join, by node, and one aggregation, by
+position. Which joins are broadcast is Spark's choice, from the sizes of the stored tables; then a
+descent needs no exchange at all, as positions stay where their first exchange put them.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from gridstone.session import cut_lineage
+from gridstone.operators.summarise import global_rank
+from gridstone.session import written_once
 
-# A cell is final once its blocks hold this many points, or is this small (metres).
-MAX_LISTED = 96
-MIN_CELL_M = 16.0
-# Cell edges are computed in floating point; bounds are loosened by this share.
-_SLACK = 1 + 1e-9
+LEAF, FAN, TOP = 32, 16, 64
+_BOX = ("x0", "y0", "x1", "y1")
+_CURVE_BITS = 31
+# Rows without a position are spread over so many keys.
 _NULL_SALTS = 1024
-# An index of up to this many listed points (some 100 bytes each) is sent to every task.
-BROADCAST_ENTRIES = 400_000
-# The search starts at one of the coarsest levels: the finest of these whose blocks hold
-# this many points on average.
-_START_LEVELS = 3
-_FILLED = 4
 
 
 @dataclass(frozen=True)
 class NearestIndex:
-    """``cells(level, cx, cy, listed struct<xs,ys,places>)`` plus its geometry. The three
-    arrays run in parallel, ordered by place, so that the first minimum wins ties."""
+    """``leaves(id, box, points)``, ``nodes(id, box, children)`` from the highest level down, and the boxes of
+    the top. Points are structs of x, y and place, in the order of places."""
 
-    cells: DataFrame
+    leaves: DataFrame
+    nodes: tuple[DataFrame, ...]
+    top: tuple[Row, ...]
     columns: tuple[str, ...]
     max_distance: float
-    finest: float
-    levels: int
-    used: tuple[int, ...]
-    entries: int  # listed points over all cells, counted while building
 
 
-def _gap(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
-    return F.greatest(lo_a - hi_b, lo_b - hi_a, F.lit(0.0))
+def _spread_bits(c: Column) -> Column:
+    """The lowest bits of a number with a zero between each two."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask))
+    return c
 
 
-def _reach(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
-    return F.greatest(hi_a - lo_b, hi_b - lo_a)
+def _along_curve(points: DataFrame) -> Column:
+    low_high = points.agg(*[f(c).alias(f"{c}{k}") for k, f in enumerate((F.min, F.max)) for c in "xy"]).first()
 
+    def step(c: str) -> Column:
+        low, high = low_high[f"{c}0"], low_high[f"{c}1"]
+        if not high > low:
+            return F.lit(0).cast("long")
+        # Divided first: the span of two doubles may exceed a double.
+        share = F.col(c) / (high / 2 - low / 2) / 2 - low / (high / 2 - low / 2) / 2
+        return F.least(F.floor(share * 2**_CURVE_BITS), F.lit(2**_CURVE_BITS - 1)).cast("long")
 
-def _offsets(steps: range) -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in steps for j in steps])
+    return _spread_bits(step("x")).bitwiseOR(F.shiftleft(_spread_bits(step("y")), 1))
 
 
-def _square(c: Column) -> Column:
-    return c * c
+def _located(x: Column, y: Column) -> Column:
+    return F.coalesce((F.abs(x) < float("inf")) & (F.abs(y) < float("inf")) & ~F.isnan(x) & ~F.isnan(y), F.lit(False))
 
 
 def build_index(
     right: DataFrame,
     right_xy: tuple[str, str] = ("eastings", "northings"),
     columns: Sequence[str] = ("postcode", "admin_district", "admin_ward"),
-    max_distance: float | None = None,
+    max_distance: float = 5000,
     tie_break: str = "postcode",
 ) -> NearestIndex:
     """Index reference points for searches up to ``max_distance`` (inclusive).
 
-    Points without coordinates are ignored; of several at one position the smallest
+    Points without finite coordinates are ignored; of several at one position the smallest
     ``tie_break`` value stands for all. Columns the reference lacks are skipped."""
     columns = tuple(c for c in columns if c in right.columns)
     order = [tie_break] if tie_break in right.columns else []
-    reach = float(max_distance)
-    levels = max(1, math.ceil(math.log2(reach / MIN_CELL_M)) + 1)
-    finest = reach / 2 ** (levels - 1)
-
-    def block(level: int) -> list[Column]:
-        shift = levels - 1 - level
-        return [F.shiftright("ix", shift).alias("bx"), F.shiftright("iy", shift).alias("by")]
-
     x, y = (F.col(c).cast("double") for c in right_xy)
     place = F.struct(*[F.col(c).alias(f"k_{c}") for c in order], *[F.col(c) for c in columns])
     if not (order or columns):
         place = F.struct(F.lit(True).alias("found"))
-    spread = Observation()
-    coarse = range(min(_START_LEVELS, levels))
-    points = cut_lineage(
-        right.select(x.alias("x"), y.alias("y"), place.alias("place"))
-        .where("x is not null and y is not null and not isnan(x) and not isnan(y)")
-        .groupBy("x", "y").agg(F.min("place").alias("place"))
-        .withColumns({"ix": F.floor(F.col("x") / finest), "iy": F.floor(F.col("y") / finest)})
-        .observe(spread, F.count(F.lit(1)).alias("points"),
-                 *[F.approx_count_distinct(F.struct(*block(k))).alias(f"blocks_{k}") for k in coarse])
-    )
-    seen = {"points": 0, **{f"blocks_{k}": 0 for k in coarse}, **spread.get}
-    # Coarse levels are skipped where blocks of the next one are still well filled.
-    start = max([k for k in coarse if seen["points"] >= _FILLED * seen[f"blocks_{k}"]], default=0)
-
-    def occupied(level: int) -> DataFrame:
-        return points.groupBy(*block(level)).agg(F.count("*").alias("n"))
-
-    def pruned(pairs: DataFrame, level: int) -> DataFrame:
-        # Squared distances in cells of this level: a cell and a block so many columns and
-        # rows apart are at least that less one, at most that plus one, from each other.
-        columns_apart, rows_apart = (F.abs(F.col(c) - F.col(b)) for c, b in (("cx", "bx"), ("cy", "by")))
-        one, none = F.lit(1), F.lit(0)
-        near = _square(F.greatest(columns_apart - one, none)) + _square(F.greatest(rows_apart - one, none))
-        far = _square(columns_apart + one) + _square(rows_apart + one)
-        cell = Window.partitionBy("cx", "cy")
-        return (
-            pairs.withColumns({"near": near, "far": far})
-            .where(F.col("near") <= F.least("limit", F.lit(4**level)))  # the radius is 2**level cells
-            .withColumn("limit", F.min("far").over(cell))
-            .where("near <= limit")
-            .withColumn("listed", F.sum("n").over(cell))
-            .select(F.lit(level).alias("level"), "cx", "cy", "bx", "by", "limit", "listed")
-        )
-
-    def halved(open_cells: DataFrame, level: int) -> DataFrame:
-        halves = occupied(level + 1).select(
-            F.shiftright("bx", 1).alias("bx"), F.shiftright("by", 1).alias("by"),
-            F.col("bx").alias("sub_x"), F.col("by").alias("sub_y"), "n",
-        )
-        return (
-            open_cells.join(halves, ["bx", "by"])
-            .select("cx", "cy", "sub_x", "sub_y", "n", (F.col("limit") * 4).alias("limit"), F.inline(_offsets(range(2))))
-            .select(
-                (F.col("cx") * 2 + F.col("i")).alias("cx"), (F.col("cy") * 2 + F.col("j")).alias("cy"),
-                F.col("sub_x").alias("bx"), F.col("sub_y").alias("by"), "n", "limit",
-            )
-        )
-
-    ring = 2**start
-    pairs = occupied(start).select("bx", "by", "n", F.inline(_offsets(range(-ring, ring + 1)))).select(
-        (F.col("bx") + F.col("i")).alias("cx"), (F.col("by") + F.col("j")).alias("cy"),
-        "bx", "by", "n", F.lit(4**start).cast("long").alias("limit"),
-    )
-    finished: list[DataFrame] = []
-    level = start
-    while True:
-        # Two halvings per written step.
-        state, deepest = pruned(pairs, level), level
-        if level + 1 < levels:
-            deepest = level + 1
-            finer = pruned(halved(state.where(F.col("listed") > MAX_LISTED), level), deepest)
-            state = state.where(F.col("listed") <= MAX_LISTED).unionByName(finer)
-        longest = Observation()
-        state = cut_lineage(state.observe(longest, F.max("listed").alias("listed")))
-        last = deepest == levels - 1 or (longest.get.get("listed") or 0) <= MAX_LISTED
-        done = state if last else state.where(F.col("listed") <= MAX_LISTED)
-        finished.append(done.select("level", "cx", "cy", "bx", "by"))
-        if last:
-            break
-        pairs = halved(state.where((F.col("level") == deepest) & (F.col("listed") > MAX_LISTED)), deepest)
-        level = deepest + 1
-
-    used = tuple(range(start, deepest + 1))
-    placed = points.select("x", "y", "place", F.inline(F.array(*[F.struct(F.lit(k).alias("level"), *block(k)) for k in used])))
-    candidates = reduce(DataFrame.unionAll, finished).join(placed, ["level", "bx", "by"])
-    size = Observation()
-    cells = cut_lineage(
-        _listed(candidates.select("level", "cx", "cy", "x", "y", "place"), finest, levels)
-        .observe(size, F.sum(F.size("listed.xs")).alias("entries"))
-    )
-    return NearestIndex(cells, columns, reach, finest, levels, used, size.get.get("entries") or 0)
-
-
-def _listed(candidates: DataFrame, finest: float, levels: int) -> DataFrame:
-    """Repeat the pruning with the points themselves and list what is left per cell."""
-    size = F.lit(finest) * F.pow(F.lit(2.0), F.lit(levels - 1) - F.col("level"))
-    spans = {"x": (F.col("cx") * size, (F.col("cx") + 1) * size), "y": (F.col("cy") * size, (F.col("cy") + 1) * size)}
-    gaps = {a: _gap(lo, hi, F.col(a), F.col(a)) for a, (lo, hi) in spans.items()}
-    reaches = {a: _reach(lo, hi, F.col(a), F.col(a)) for a, (lo, hi) in spans.items()}
-    cell = ["level", "cx", "cy"]
-    return (
-        candidates.withColumns({
-            "near": gaps["x"] * gaps["x"] + gaps["y"] * gaps["y"],
-            "far": reaches["x"] * reaches["x"] + reaches["y"] * reaches["y"],
-        })
-        .withColumn("limit", F.min("far").over(Window.partitionBy(*cell)))
-        .where(F.col("near") <= F.col("limit") * _SLACK)
-        .groupBy(*cell)
-        .agg(F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("listed"))
-        .select(*cell, F.struct(
-            F.col("listed.x").alias("xs"), F.col("listed.y").alias("ys"), F.col("listed.place").alias("places")
-        ).alias("listed"))
-    )
+    points = written_once(
+        right.select(x.alias("x"), y.alias("y"), place.alias("place")).where(_located(F.col("x"), F.col("y")))
+        .groupBy("x", "y").agg(F.min("place").alias("place")), "nearest_points")
+    count = points.count()
+    if not count:
+        none = points.select(F.lit(0).cast("long").alias("id"), F.array(F.struct("place", "x", "y")).alias("points"))
+        return NearestIndex(none, (), (), columns, float(max_distance))
+
+    box = [f(c).alias(f"{a}{k}") for k, f in enumerate((F.min, F.max)) for c, a in (("x", "x"), ("y", "y"))]
+    ranked = global_rank(points.withColumn("curve", _along_curve(points)), [F.asc("curve"), F.asc("x"), F.asc("y")])
+    leaves = written_once(
+        ranked.withColumn("id", F.expr(f"(rank - 1) div {LEAF}")).groupBy("id")
+        .agg(*box, F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("points")), "nearest_leaves")
+    level, nodes, size = leaves, [], -(-count // LEAF)
+    while size > TOP:
+        spans = [f(f"{a}{k}").alias(f"{a}{k}") for k, f in enumerate((F.min, F.max)) for a in "xy"]
+        level = written_once(
+            level.select(F.expr(f"id div {FAN}").alias("parent"), "id", *_BOX).groupBy("parent")
+            .agg(*spans, F.collect_list(F.struct("id", *_BOX)).alias("children")).withColumnRenamed("parent", "id"), "nearest_nodes")
+        nodes.append(level)
+        size = -(-size // FAN)
+    return NearestIndex(leaves, tuple(reversed(nodes)), tuple(level.select("id", *_BOX).collect()), columns, float(max_distance))
 
 
 def nearest_join(
@@ -211,11 +122,9 @@ def nearest_join(
     """Left join of the single nearest reference point within ``max_distance``: by default what the
     index was built for, or 5000 m. An index answers any smaller distance.
 
-    Every left row is kept exactly once; without coordinates or match its new columns are
-    null. A small index, by its counted size, is broadcast and searched in the pass that
-    reads the left side. A larger one is joined by key: positions are looked up once each,
-    so repeated positions cost one search, and rows without a position are spread over many
-    keys instead of one partition."""
+    Every left row is kept exactly once; without coordinates or match its new columns are null. The left
+    side is evaluated once and written, as it is read for its positions and again for its rows. Every
+    position is searched once, however many rows have it; rows without one are spread over many keys."""
     index = right if isinstance(right, NearestIndex) else build_index(
         right, right_xy, right_columns, 5000 if max_distance is None else max_distance, tie_break
     )
@@ -223,80 +132,50 @@ def nearest_join(
         max_distance = index.max_distance
     if max_distance > index.max_distance:
         raise ValueError(f"the index reaches {index.max_distance} m, not {max_distance} m")
-    index = replace(index, max_distance=max_distance)
     added = [*index.columns, *([distance_column] if distance_column else [])]
-    left = left.select(*[F.col(f"`{c}`") for c in left.columns if c not in added])
-    join = _search_broadcast if index.entries <= BROADCAST_ENTRIES else _search_by_key
-    return join(left, index, left_xy, distance_column)
-
-
-def _searched(df: DataFrame, x: str, y: str, listed: str) -> DataFrame:
-    """Add ``__hit struct<d2,place>`` of the closest listed point, null without a list."""
-    def squared(px: Column, py: Column) -> Column:
-        return (px - F.col(x)) * (px - F.col(x)) + (py - F.col(y)) * (py - F.col(y))
-
-    kept = [F.col(f"`{c}`") for c in df.columns if c != listed]
-    least, first = F.array_min("__d2"), F.array_position("__d2", F.array_min("__d2")).cast("int")
-    hit = F.when(F.col("__d2").isNotNull(), F.struct(
-        least.alias("d2"), F.get(f"{listed}.places", first - 1).alias("place")
-    ))
-    measured = df.withColumn("__d2", F.zip_with(f"{listed}.xs", f"{listed}.ys", squared))
-    # One-element inline: later filters must not repeat the search expression.
-    return measured.select(*kept, F.inline(F.array(F.struct(hit.alias("__hit")))))
-
-
-def _cell_of(x: Column, y: Column, index: NearestIndex, level: int) -> tuple[Column, Column]:
-    shift = index.levels - 1 - level
-    return tuple(F.shiftright(F.floor(c / index.finest), shift) for c in (x, y))
-
-
-def _located(x: Column, y: Column) -> Column:
-    return F.coalesce(~F.isnan(x) & ~F.isnan(y) & x.isNotNull() & y.isNotNull(), F.lit(False))
-
-
-def _search_broadcast(left: DataFrame, index: NearestIndex, left_xy: tuple[str, str], distance_column: str | None) -> DataFrame:
-    x, y = (F.col(c).cast("double") for c in left_xy)
-    located = _located(x, y)
-    kept = [F.col(f"`{c}`") for c in left.columns]
-    found = left.withColumns({"__x": F.when(located, x), "__y": F.when(located, y)})
-    for k in index.used:
-        cx, cy = _cell_of(F.col("__x"), F.col("__y"), index, k)
-        cells = index.cells.where(F.col("level") == k).select(
-            F.col("cx").alias(f"__cx{k}"), F.col("cy").alias(f"__cy{k}"), F.col("listed").alias(f"__listed{k}")
-        )
-        found = found.join(F.broadcast(cells), (cx == F.col(f"__cx{k}")) & (cy == F.col(f"__cy{k}")), "left")
-    listed = F.coalesce(*[F.col(f"__listed{k}") for k in index.used])
-    near = F.sqrt("__hit.d2") <= index.max_distance
-    return _searched(found.select(*kept, "__x", "__y", listed.alias("__listed")), "__x", "__y", "__listed").select(
-        *kept,
-        *[F.when(near, F.col(f"__hit.place.{c}")).alias(c) for c in index.columns],
-        *([F.when(near, F.sqrt("__hit.d2")).alias(distance_column)] if distance_column else []),
-    )
-
-
-def _search_by_key(left: DataFrame, index: NearestIndex, left_xy: tuple[str, str], distance_column: str | None) -> DataFrame:
-    x, y = (F.col(c).cast("double") for c in left_xy)
-    located = _located(x, y)
-    positions = left.where(located).select(x.alias("x"), y.alias("y")).distinct()
-    keys = []
-    for k in index.used:
-        cx, cy = _cell_of(F.col("x"), F.col("y"), index, k)
-        keys.append(F.struct(F.lit(k).alias("level"), cx.alias("cx"), cy.alias("cy")))
-    candidates = positions.select("x", "y", F.inline(F.array(*keys))).join(index.cells, ["level", "cx", "cy"])
-    best = (
-        _searched(candidates.select("x", "y", "listed"), "x", "y", "listed")
-        .where(F.sqrt("__hit.d2") <= index.max_distance)
-        .select(
-            F.col("x").alias("__x"), F.col("y").alias("__y"),
-            *[F.col(f"__hit.place.{c}").alias(c) for c in index.columns],
-            *([F.sqrt("__hit.d2").alias(distance_column)] if distance_column else []),
-        )
-    )
-    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    kept = [F.col(f"`{c}`") for c in left.columns if c not in added]
+    x, y = (F.col(f"`{c}`").cast("double") for c in left_xy)
+    left = left.select(*kept)
+    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     # No reference position is NaN, so these keys never match; the hash spreads them.
     spread = F.pmod(F.xxhash64(*hashed), F.lit(_NULL_SALTS)).cast("double")
-    keyed = left.withColumns({
-        "__x": F.when(located, x).otherwise(spread),
-        "__y": F.when(located, y).otherwise(F.lit(float("nan"))),
-    })
-    return keyed.join(best, ["__x", "__y"], "left").drop("__x", "__y")
+    located = _located(x, y)
+    keyed = written_once(left.withColumns({
+        "__x": F.when(located, x).otherwise(spread), "__y": F.when(located, y).otherwise(F.lit(float("nan"))),
+    }), "nearest_left")
+    best = search(keyed.where(~F.isnan("__y")).select("__x", "__y").distinct(), index, max_distance)
+    found = best.select(
+        "__x", "__y", *[F.col(f"__hit.place.{c}").alias(c) for c in index.columns],
+        *([F.sqrt("__hit.d2").alias(distance_column)] if distance_column else []),
+    )
+    return keyed.join(found, ["__x", "__y"], "left").drop("__x", "__y")
+
+
+def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:
+    """``__hit struct<d2, place>`` of the nearest point of each distinct position (__x, __y) that has one."""
+    x, y, zero = F.col("__x"), F.col("__y"), F.lit(0.0)
+    at = ["__x", "__y"]
+    if not index.top:
+        return index.leaves.select(F.inline("points")).select(F.col("x").alias("__x"), F.col("y").alias("__y"), F.struct(F.lit(0.0).alias("d2"), "place").alias("__hit"))
+
+    def measured(boxes: DataFrame) -> DataFrame:
+        """Squared distances of what a box may hold, and the boxes in reach."""
+        gap_x, gap_y = (F.greatest(F.col(f"{a}0") - p, p - F.col(f"{a}1"), zero) for a, p in (("x", x), ("y", y)))
+        far_x, far_y = (F.greatest(F.abs(p - F.col(f"{a}0")), F.abs(p - F.col(f"{a}1"))) for a, p in (("x", x), ("y", y)))
+        return boxes.select(*at, "__bound", "id", (gap_x * gap_x + gap_y * gap_y).alias("near"), (far_x * far_x + far_y * far_y).alias("far")).where("near <= __bound")
+
+    def narrowed(boxes: DataFrame) -> DataFrame:
+        met = boxes.groupBy(*at).agg(F.least(F.min("__bound"), F.min("far")).alias("__bound"), F.collect_list(F.struct("near", "id")).alias("__met"))
+        return met.select(*at, "__bound", F.inline(F.filter("__met", lambda m: m["near"] <= F.col("__bound")))).drop("near")
+
+    # The exact test comes last and is on the root; the square may be off in its last bits.
+    top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", *_BOX)]) for r in index.top])
+    reach = F.lit(float(max_distance) ** 2 * (1 + 1e-12))
+    state = narrowed(measured(positions.select(*at, reach.alias("__bound"), F.inline(top))))
+    for nodes in index.nodes:
+        below = nodes.select("id", "children")
+        state = narrowed(measured(state.join(below, "id").select(*at, "__bound", F.inline("children"))))
+    points = state.join(index.leaves.select("id", "points"), "id").select(*at, "__bound", F.inline("points"))
+    d2 = (x - F.col("x")) * (x - F.col("x")) + (y - F.col("y")) * (y - F.col("y"))
+    near = points.select(*at, "__bound", d2.alias("d2"), "place").where(f"d2 <= __bound and sqrt(d2) <= {float(max_distance)!r}D")
+    return near.groupBy(*at).agg(F.min(F.struct("d2", "place")).alias("__hit"))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "gridstone", cores: str | int | None = None, **conf: str) -> SparkSession:
@@ -59,3 +60,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise reliably in the shared folder, so a lost executor costs no recomputation."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder as Parquet and read back: what follows may read them often,
+    and only the columns it needs."""
+    path = scratch_path(df.sparkSession, label)
+    void = [f.name for f in df.schema.fields if f.dataType.typeName() == "void"]
+    df.drop(*void).write.parquet(path)
+    back = df.sparkSession.read.schema(df.drop(*void).schema).parquet(path)
+    return back.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns])

@@ -134,6 +134,26 @@ def join1(spark, sf):
     return joined.select("crime_id", "postcode", "admin_district", "admin_ward", six("distance_m"))
 
 
+# Every customer a point of one millimetre grid, forty to a row.
+_DENSE = {
+    "dense_ref": "select c_custkey as code, 390000e0 + cast(c_custkey % 40 as double) / 1000e0 as x, 389000e0 + cast(c_custkey // 40 as double) / 1000e0 as y from customer",
+    "dense_nearest": "select crime_id, min(struct_pack(d2 := (e - x) * (e - x) + (n - y) * (n - y), code := code)) as hit from incidents_grid cross join dense_ref where e is not null group by 1",
+}
+
+
+@query("join1_dense", f"select p.crime_id, hit.code as code, {stable('sqrt(hit.d2)')} as distance_m from incidents_point p left join (select * from dense_nearest where sqrt(hit.d2) <= 9000) q on p.crime_id = q.crime_id", **_DENSE)
+def join1_dense(spark, sf):
+    """A reference that is one cluster, far denser than the positions that ask for it."""
+    first = clean.keep_first(bronze_incidents(spark, sf), ["crime_id"], INGESTED, total_order=True)
+    left = geo.with_bng(clean.numbers_from_text(first)).select("crime_id", "easting_bng", "northing_bng")
+    points = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("code"), F.expr("390000D + cast(c_custkey % 40 as double) / 1000D").alias("eastings"),
+        F.expr("389000D + cast(c_custkey div 40 as double) / 1000D").alias("northings"),
+    )
+    joined = nearest_join(left, points, right_columns=["code"], max_distance=9000, tie_break="code", distance_column="distance_m")
+    return joined.select("crime_id", "code", six("distance_m"))
+
+
 _SIDES = """
 select coalesce(a.ym, b.ym) as month, coalesce(a.n, 0) as ordered, coalesce(b.n, 0) as shipped
 from (select substring(cast(o_orderdate as varchar), 1, 7) ym, count(*) n from orders group by 1) a

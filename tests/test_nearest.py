@@ -34,11 +34,15 @@ def run(spark, left, right, limit):
     return {r.id: r.postcode for r in rows}
 
 
-@pytest.fixture(params=["broadcast", "by_key"])
-def path(request, monkeypatch):
-    if request.param == "by_key":
-        monkeypatch.setattr(nearest, "BROADCAST_ENTRIES", -1)
-    return request.param
+@pytest.fixture(params=["broadcast", "shuffled"])
+def path(request, monkeypatch, spark):
+    """Joins as Spark chooses them for small tables, and for tables too large to broadcast, with a deep tree."""
+    if request.param == "shuffled":
+        for name, size in (("LEAF", 3), ("FAN", 2), ("TOP", 4)):
+            monkeypatch.setattr(nearest, name, size)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def _spread(n, step, span):
@@ -54,16 +58,41 @@ def test_equals_brute_force(spark, path, limit):
     assert run(spark, left, right, limit) == brute(left, right, limit)
 
 
-def test_clustered_reference_is_halved_and_stays_exact(spark, path):
-    """A third of the points in one spot, the others far apart; queries far and near."""
-    right = [(f"C{i:04d}", "D", 1000.0 + i % 25, 1000.0 + i // 25) for i in range(400)]
+def test_clusters_of_any_density(spark, path):
+    """Points that differ in the last bits, a millimetre grid, and some far apart; queries far and near."""
+    close, right = 1000.0, []
+    for i in range(80):
+        right.append((f"B{i:04d}", "D", close, 1000.0))
+        close = math.nextafter(close, math.inf)
+    right += [(f"M{i:04d}", "D", 1500.0 + i % 25 / 1000, 1500.0 + i // 25 / 1000) for i in range(400)]
     right += [(f"F{i:04d}", "D", float((i * 977) % 9001), float((i * 3571) % 9007)) for i in range(60)]
     left = [(i, float((i * 37) % 2500), float((i * 53) % 2500)) for i in range(200)]
-    frame = spark.createDataFrame(right, RIGHT)
-    assert len(build_index(frame, max_distance=2000).used) > 1
+    left += [(500 + i, right[i * 7][2], right[i * 7][3]) for i in range(60)] + [(900, 1500.0105, 1500.0042), (901, -1e12, 1e150), (902, 1500.0, float("inf"))]
     assert run(spark, left, right, 2000) == brute(left, right, 2000)
 
 
+def test_every_point_is_stored_once(spark):
+    right = [(f"C{i:05d}", "D", 100.0 + i % 50 / 1e3, 100.0 + i // 50 / 1e6) for i in range(5000)] + [("X", "D", 100.0, 100.0), ("Y", "D", 9e5, 1e6)]
+    index = build_index(spark.createDataFrame(right, RIGHT), max_distance=5000)
+    stored = index.leaves.selectExpr("id", "inline(points)")
+    assert stored.count() == 5001 and index.leaves.selectExpr("max(size(points)) m").first().m <= nearest.LEAF
+    assert len(index.top) <= nearest.TOP and len(index.nodes) == 1
+    assert sum(n.selectExpr("sum(size(children)) s").first().s for n in index.nodes) < 5001 / 16
+
+
+def test_the_left_side_is_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    left = spark.createDataFrame([(i, float(i), 0.0) for i in range(100)], LEFT).mapInArrow(watched, LEFT)
+    out = nearest_join(left, spark.createDataFrame([("A", "D", 0.0, 0.0)], RIGHT), max_distance=10)
+    assert sum(r.postcode == "A" for r in out.collect()) == 11 and out.count() == 100 and seen.value == 100
+
+
 def test_limit_is_inclusive_and_ties_take_the_smaller_code(spark, path):
     right = [("B", "D", 100.0, 0.0), ("A", "D", -100.0, 0.0), ("C", "D", 0.0, 1000.0)]
     left = [(1, 0.0, 0.0), (2, 0.0, 900.0), (3, 0.0, 899.0), (4, 200.0, 0.0), (5, 201.0, 0.0)]
