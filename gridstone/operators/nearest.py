@@ -6,11 +6,11 @@ at most ``TOP`` nodes. Every point is stored once, and the depth follows from th
 clusters of any density, down to points that differ in the last bit, make leaves of the same size.
 A node knows the bounding boxes of its children.
 
-Positions descend level by level. A box lies at least ``near`` and has a point at most ``far`` away,
-so of all boxes met at a level those farther than the smallest ``far`` cannot hold the nearest point
-and are left behind; a few go on. Each level is one equi-join, by node, and one aggregation, by
-position. Which joins are broadcast is Spark's choice, from the sizes of the stored tables; then a
-descent needs no exchange at all, as positions stay where their first exchange put them.
+A position first goes down to one leaf, always into the child that is nearest: one row, no regrouping.
+The best point of that leaf bounds the answer. Then it goes down again with the bound, into every box
+that is not farther away, mostly one or two, and the points found within the bound are compared.
+Every level is an equi-join by node. Which of these joins are broadcast is Spark's choice, from the
+sizes of the stored tables; then positions stay where their first exchange put them.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from gridstone.operators.summarise import global_rank
 from gridstone.session import written_once
 
-LEAF, FAN, TOP = 32, 16, 64
+LEAF, FAN, TOP = 16, 8, 32
 _BOX = ("x0", "y0", "x1", "y1")
 _CURVE_BITS = 31
 # Rows without a position are spread over so many keys.
@@ -50,11 +50,9 @@ def _spread_bits(c: Column) -> Column:
     return c
 
 
-def _along_curve(points: DataFrame) -> Column:
-    low_high = points.agg(*[f(c).alias(f"{c}{k}") for k, f in enumerate((F.min, F.max)) for c in "xy"]).first()
-
+def _along_curve(extent: dict[str, float]) -> Column:
     def step(c: str) -> Column:
-        low, high = low_high[f"{c}0"], low_high[f"{c}1"]
+        low, high = extent[f"{c}0"], extent[f"{c}1"]
         if not high > low:
             return F.lit(0).cast("long")
         # Divided first: the span of two doubles may exceed a double.
@@ -85,16 +83,17 @@ def build_index(
     place = F.struct(*[F.col(c).alias(f"k_{c}") for c in order], *[F.col(c) for c in columns])
     if not (order or columns):
         place = F.struct(F.lit(True).alias("found"))
+    box = [f(c).alias(f"{c}{k}") for k, f in enumerate((F.min, F.max)) for c in "xy"]
+    extent = Observation()
     points = written_once(
         right.select(x.alias("x"), y.alias("y"), place.alias("place")).where(_located(F.col("x"), F.col("y")))
-        .groupBy("x", "y").agg(F.min("place").alias("place")), "nearest_points")
-    count = points.count()
+        .groupBy("x", "y").agg(F.min("place").alias("place")).observe(extent, F.count(F.lit(1)).alias("points"), *box), "nearest_points")
+    count = extent.get.get("points", 0)
     if not count:
         none = points.select(F.lit(0).cast("long").alias("id"), F.array(F.struct("place", "x", "y")).alias("points"))
         return NearestIndex(none, (), (), columns, float(max_distance))
 
-    box = [f(c).alias(f"{a}{k}") for k, f in enumerate((F.min, F.max)) for c, a in (("x", "x"), ("y", "y"))]
-    ranked = global_rank(points.withColumn("curve", _along_curve(points)), [F.asc("curve"), F.asc("x"), F.asc("y")])
+    ranked = global_rank(points.withColumn("curve", _along_curve(extent.get)), [F.asc("curve"), F.asc("x"), F.asc("y")])
     leaves = written_once(
         ranked.withColumn("id", F.expr(f"(rank - 1) div {LEAF}")).groupBy("id")
         .agg(*box, F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("points")), "nearest_leaves")
@@ -143,7 +142,11 @@ def nearest_join(
     keyed = written_once(left.withColumns({
         "__x": F.when(located, x).otherwise(spread), "__y": F.when(located, y).otherwise(F.lit(float("nan"))),
     }), "nearest_left")
-    best = search(keyed.where(~F.isnan("__y")).select("__x", "__y").distinct(), index, max_distance)
+    # Few bytes and much work a position: dealt anew, lest small partitions are joined to a few tasks.
+    # In the order of the grouping that made them distinct, Spark would take this for done.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    positions = keyed.where(~F.isnan("__y")).select("__x", "__y").distinct().repartition(tasks, "__y", "__x")
+    best = search(positions, index, max_distance)
     found = best.select(
         "__x", "__y", *[F.col(f"__hit.place.{c}").alias(c) for c in index.columns],
         *([F.sqrt("__hit.d2").alias(distance_column)] if distance_column else []),
@@ -152,30 +155,44 @@ def nearest_join(
 
 
 def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:
-    """``__hit struct<d2, place>`` of the nearest point of each distinct position (__x, __y) that has one."""
+    """``__hit struct<d2, place>`` of the nearest point of each distinct position (__x, __y) that has one.
+
+    Boxes and points are rows while they are measured: that runs as generated code, which functions
+    on arrays do not."""
     x, y, zero = F.col("__x"), F.col("__y"), F.lit(0.0)
     at = ["__x", "__y"]
     if not index.top:
         return index.leaves.select(F.inline("points")).select(F.col("x").alias("__x"), F.col("y").alias("__y"), F.struct(F.lit(0.0).alias("d2"), "place").alias("__hit"))
 
-    def measured(boxes: DataFrame) -> DataFrame:
-        """Squared distances of what a box may hold, and the boxes in reach."""
-        gap_x, gap_y = (F.greatest(F.col(f"{a}0") - p, p - F.col(f"{a}1"), zero) for a, p in (("x", x), ("y", y)))
-        far_x, far_y = (F.greatest(F.abs(p - F.col(f"{a}0")), F.abs(p - F.col(f"{a}1"))) for a, p in (("x", x), ("y", y)))
-        return boxes.select(*at, "__bound", "id", (gap_x * gap_x + gap_y * gap_y).alias("near"), (far_x * far_x + far_y * far_y).alias("far")).where("near <= __bound")
+    def near() -> Column:
+        """Squared distance of a box."""
+        dx, dy = (F.greatest(F.col(f"{a}0") - c, c - F.col(f"{a}1"), zero) for a, c in (("x", x), ("y", y)))
+        return dx * dx + dy * dy
 
-    def narrowed(boxes: DataFrame) -> DataFrame:
-        met = boxes.groupBy(*at).agg(F.least(F.min("__bound"), F.min("far")).alias("__bound"), F.collect_list(F.struct("near", "id")).alias("__met"))
-        return met.select(*at, "__bound", F.inline(F.filter("__met", lambda m: m["near"] <= F.col("__bound")))).drop("near")
+    def far() -> Column:
+        """Squared distance of its farthest corner."""
+        dx, dy = (F.greatest(c - F.col(f"{a}0"), F.col(f"{a}1") - c) for a, c in (("x", x), ("y", y)))
+        return dx * dx + dy * dy
 
-    # The exact test comes last and is on the root; the square may be off in its last bits.
-    top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", *_BOX)]) for r in index.top])
-    reach = F.lit(float(max_distance) ** 2 * (1 + 1e-12))
-    state = narrowed(measured(positions.select(*at, reach.alias("__bound"), F.inline(top))))
-    for nodes in index.nodes:
-        below = nodes.select("id", "children")
-        state = narrowed(measured(state.join(below, "id").select(*at, "__bound", F.inline("children"))))
-    points = state.join(index.leaves.select("id", "points"), "id").select(*at, "__bound", F.inline("points"))
     d2 = (x - F.col("x")) * (x - F.col("x")) + (y - F.col("y")) * (y - F.col("y"))
-    near = points.select(*at, "__bound", d2.alias("d2"), "place").where(f"d2 <= __bound and sqrt(d2) <= {float(max_distance)!r}D")
-    return near.groupBy(*at).agg(F.min(F.struct("d2", "place")).alias("__hit"))
+    # The exact test of the distance is on the root; the square may be off in its last bits.
+    reach = F.lit(float(max_distance) ** 2 * (1 + 1e-12))
+    top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", *_BOX)]) for r in index.top])
+    levels = [top, *(n.select("id", "children") for n in index.nodes)]
+    leaves = index.leaves.select("id", "points")
+
+    def entered(state: DataFrame, boxes: Column | DataFrame, *kept: str) -> DataFrame:
+        """The children of the boxes that positions have come to."""
+        if isinstance(boxes, DataFrame):
+            state, boxes = state.join(boxes, "id"), F.col("children")
+        return state.select(*at, *kept, F.inline(boxes))
+
+    probe = positions
+    for boxes in levels:
+        probe = entered(probe, boxes).groupBy(*at).agg(F.min_by("id", near() + far()).alias("id"))
+    state = probe.join(leaves, "id").select(*at, F.inline("points")).groupBy(*at).agg(F.least(reach, F.min(d2)).alias("__bound"))
+    for boxes in levels:
+        state = entered(state, boxes, "__bound").where(near() <= F.col("__bound")).select(*at, "__bound", "id")
+    points = state.join(leaves, "id").select(*at, "__bound", F.inline("points"))
+    hits = points.select(*at, "__bound", d2.alias("d2"), "place").where(f"d2 <= __bound and sqrt(d2) <= {float(max_distance)!r}D")
+    return hits.groupBy(*at).agg(F.min(F.struct("d2", "place")).alias("__hit"))
