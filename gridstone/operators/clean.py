@@ -64,6 +64,11 @@ def parse_dates(df: DataFrame, months: Sequence[str] = (), days: Sequence[str] =
     return df.withColumns(made) if made else df
 
 
+def content_hash(df: DataFrame) -> Column:
+    """One number for what a row holds."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ("ingestion_timestamp",),
                total_order: bool = False) -> DataFrame:
     """One row per key: the first in ``order_by``, identical positions decided by content. With
@@ -73,7 +78,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
     that holds much of the table does not travel to one task."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by if not isinstance(c, str) or c in df.columns]
     if not total_order:
-        order.append(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]))
+        order.append(content_hash(df))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 

@@ -129,16 +129,20 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def gate_metrics(df: DataFrame) -> DataFrame:
-    """The three gated shares of a silver table."""
+def gate_aggregates() -> dict[str, Column]:
+    """The three gated shares of a silver table, as aggregates."""
     located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     projected = F.col("easting_bng").isNotNull() & F.col("northing_bng").isNotNull()
     outside = located & ~F.col("is_valid_location")
-    return df.agg(
-        share(located).alias("coordinate_completeness"),
-        F.try_divide(F.count_if(projected), F.count_if(located)).alias("projection_success"),
-        F.try_divide(F.count_if(outside), F.count_if(located)).alias("bbox_outliers"),
-    )
+    return {
+        "coordinate_completeness": share(located),
+        "projection_success": F.try_divide(F.count_if(projected), F.count_if(located)),
+        "bbox_outliers": F.try_divide(F.count_if(outside), F.count_if(located)),
+    }
+
+
+def gate_metrics(df: DataFrame) -> DataFrame:
+    return df.agg(*[c.alias(name) for name, c in gate_aggregates().items()])
 
 
 def quality_gates(df: DataFrame, gates=K.QUALITY_GATES) -> DataFrame:
@@ -153,22 +157,24 @@ def quality_gates(df: DataFrame, gates=K.QUALITY_GATES) -> DataFrame:
     )
 
 
+def incoming_counts() -> dict[str, Column]:
+    return {"rows_in": F.count("*"), "missing_in": F.count_if(F.col("lat").isNull())}
+
+
+def outgoing_counts() -> dict[str, Column]:
+    return {
+        "rows_out": F.count("*"), "missing_out": F.count_if(F.col("lat").isNull()),
+        "enriched": F.count_if(F.col("postcode").isNotNull()), "measured": F.count_if(F.col("length_meters").isNotNull()),
+    }
+
+
 def asset_reconciliation(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows in and out of the asset step, and how many were repaired and enriched."""
-    incoming = before.agg(
-        F.count("*").alias("rows_in"),
-        F.count_if(F.col("lat").isNull()).alias("missing_in"),
-    )
-    outgoing = after.agg(
-        F.count("*").alias("rows_out"),
-        F.count_if(F.col("lat").isNull()).alias("missing_out"),
-        F.count_if(F.col("postcode").isNotNull()).alias("enriched"),
-        F.count_if(F.col("length_meters").isNotNull()).alias("measured"),
-    )
+    """Rows in and out of the asset step, and how many were repaired and enriched, from two tables.
+    :func:`silver.load_assets` observes the same figures while it writes."""
     # Two one-row aggregates side by side.
-    left = incoming.unpivot([], incoming.columns, "metric", "value")
-    right = outgoing.unpivot([], outgoing.columns, "metric", "value")
-    return left.unionByName(right)
+    parts = [df.agg(*[c.alias(n) for n, c in counts.items()]).unpivot([], list(counts), "metric", "value")
+             for df, counts in ((before, incoming_counts()), (after, outgoing_counts()))]
+    return parts[0].unionByName(parts[1])
 
 
 def profile(datasets: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:

@@ -38,16 +38,30 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, spread and exact quartiles of numeric columns, one row per column."""
+    """Count, mean, spread and exact quartiles of numeric columns, one row per column.
+
+    The input is evaluated once, for the counted values that the quartiles need; all other figures are
+    made from these."""
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])
-    values = df.select(*by, F.inline(cells)).where("v is not null and not isnan(v)")
     keys = [*by, "column_name"]
+    values = _counted_values(df.select(*by, F.inline(cells)).where("v is not null and not isnan(v)"), keys, "v")
     basic = values.groupBy(*keys).agg(
-        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"), F.sum("v").alias("total"),
+        F.sum("__n").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"), F.sum(F.col("v") * F.col("__n")).alias("total"),
+    ).withColumn("mean", F.col("total") / F.col("n"))
+    away = F.col("v") - F.col("mean")
+    spread = _joined(values, basic.select(*keys, "mean"), keys).groupBy(*keys).agg(F.sum(away * away * F.col("__n")).alias("__squares"))
+    quartiles = _quantiles_of(values, keys, "v", QUARTILES)
+    deviation = F.sqrt(F.try_divide(F.col("__squares"), F.when(F.col("n") > 1, F.col("n") - 1)))
+    return (
+        _joined(_joined(basic, quartiles, keys), spread, keys).withColumn("std", deviation)
+        .select(*keys, "n", "mean", "std", "min", *QUARTILES, "max", "total")
     )
-    quartiles = quantiles(values, keys, "v", QUARTILES)
-    return basic.join(quartiles, keys).select(*keys, "n", "mean", "std", "min", *QUARTILES, "max", "total")
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be null."""
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).drop(*[f"__{k}" for k in keys])
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float]) -> DataFrame:
@@ -56,9 +70,17 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[st
     Equal values are counted first. The counts are range-partitioned by group and value and
     written once; each range is summed up by itself and shifted by the counts before it, so
     no task holds a whole group. Only the rows around each wanted position are kept."""
+    return _quantiles_of(_counted_values(df, keys, value), keys, value, wanted)
+
+
+def _counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """How often each value of a group occurs (``__n``), range-partitioned (``__range``) and written."""
     order = [*[F.asc(k) for k in keys], F.asc(value)]
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    ranged = cut_lineage(counts.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    return cut_lineage(counts.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+
+
+def _quantiles_of(ranged: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float]) -> DataFrame:
     # One row per group and range.
     per_range = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__in_range"))
     group = Window.partitionBy(*keys)
@@ -69,7 +91,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[st
     )
     within = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("__before") + F.sum("__n").over(within)
-    placed = ranged.join(offsets, [*keys, "__range"]).withColumns({"__upto": upto})
+    placed = _joined(ranged, offsets, [*keys, "__range"]).withColumns({"__upto": upto})
     made = []
     for name, share in wanted.items():
         spot = (F.col("__total") - 1) * F.lit(share)

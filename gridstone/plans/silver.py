@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridstone import constants as K
@@ -63,6 +63,20 @@ def silver_assets(bronze: DataFrame, places: DataFrame | NearestIndex, run_time:
     return _finish(df, schemas.SILVER_INFRASTRUCTURE, {"osm_id": "id"})
 
 
+def load_assets(bronze: DataFrame, places: DataFrame | NearestIndex, path: str, run_time: datetime | None = None,
+                order_by: Sequence[str | Column] = ORDER, max_distance: float = K.ASSET_PLACE_RADIUS_M) -> DataFrame:
+    """Writes the silver elements and gives the figures of :func:`quality.asset_reconciliation`, observed
+    along the way: what came in where bronze is read, what goes out where silver is written. Nothing is
+    scanned for the figures."""
+    incoming, outgoing = Observation(), Observation()
+    seen = bronze.observe(incoming, *[c.alias(n) for n, c in quality.incoming_counts().items()])
+    silver = silver_assets(seen, places, run_time, order_by, max_distance)
+    silver.observe(outgoing, *[c.alias(n) for n, c in quality.outgoing_counts().items()]).write.mode("overwrite").parquet(path)
+    figures = {**incoming.get, **outgoing.get}
+    names = [*quality.incoming_counts(), *quality.outgoing_counts()]
+    return bronze.sparkSession.createDataFrame([(n, figures.get(n, 0)) for n in names], "metric string, value long")
+
+
 def silver_incidents(bronze: DataFrame, places: DataFrame | NearestIndex, run_time: datetime | None = None,
                      order_by: Sequence[str | Column] = ORDER, max_distance: float = K.INCIDENT_PLACE_RADIUS_M,
                      bbox: dict = K.BBOX) -> DataFrame:

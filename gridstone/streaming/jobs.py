@@ -53,8 +53,16 @@ def daily_weather(stream: DataFrame, late: str = "2 days", columns: Mapping[str,
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                 partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Write everything available, then stop."""
+                 partition_by: Sequence[str] = (), mode: str = "append") -> StreamingQuery:
+    """Write everything available, then stop. A stream that corrects itself needs ``mode="update"``; its
+    corrections are appended."""
+    if mode != "append":
+        def add(batch: DataFrame, i: int) -> None:
+            # Named after the batch, so that a repeated batch replaces what it wrote.
+            batch.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(f"{path.rstrip('/')}/batch_id={i}")
+
+        writer = stream.writeStream.foreachBatch(add).outputMode(mode)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     writer = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
