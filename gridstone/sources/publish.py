@@ -48,7 +48,7 @@ def load(df: DataFrame, name: str, path: str, checks: Mapping[str, Column], gate
     audited = df.observe(
         seen, F.count(F.lit(1)).alias("__records"), *[F.count_if(c).alias(f"__failed_{n}") for n, c in failed.items()],
         *[c.alias(n) for n, c in figures.items()],
-    ).withColumn(REASONS, reasons).withColumn(QUARANTINED, F.size(REASONS) > 0)
+    ).withColumn(REASONS, reasons).withColumn(QUARANTINED, (F.size(REASONS) > 0).cast("int"))
     audited.write.partitionBy(QUARANTINED).parquet(path)
     got = seen.get
     judged = tuple((n, got.get(n), op, limit, _passes(got.get(n), op, limit)) for n, op, limit in gates)
@@ -65,9 +65,9 @@ def _passes(value: float | None, op: str, limit: float) -> bool:
 def publish(spark: SparkSession, name: str, path: str, columns: Sequence[str]) -> None:
     """Points the view at a load, also at a former one to go back to it."""
     chosen = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {chosen} FROM parquet.`{path}` WHERE NOT {QUARANTINED}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {chosen} FROM parquet.`{path}` WHERE {QUARANTINED} = 0")
 
 
 def quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a load that failed a check, with the names of the checks."""
-    return spark.read.parquet(path).where(F.col(QUARANTINED)).drop(QUARANTINED)
+    return spark.read.parquet(path).where(F.col(QUARANTINED) == 1).drop(QUARANTINED)

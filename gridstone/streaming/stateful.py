@@ -15,6 +15,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 #: State needs this store; set it on the session that runs the stream.
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
+# Names with a leading underscore are lost on the way to the processor.
+AT, TIE = "order_at", "order_tie"
+
 # The processor travels with the query, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -29,10 +32,10 @@ class _Earliest(StatefulProcessor):
         self.handle = handle
         self.best = handle.getValueState("best", T.StructType([T.StructField("at", T.LongType()), T.StructField("tie", T.LongType())]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         found = None
         for part in rows:
-            first = part.sort_values(["__at", "__tie"]).iloc[[0]]
+            first = part.sort_values([AT, TIE]).iloc[[0]]
             if found is None or self._order(first) < self._order(found):
                 found = first
         known = self.best.get() if self.best.exists() else None
@@ -44,7 +47,7 @@ class _Earliest(StatefulProcessor):
         self.best.update(self._order(found))
         yield found[self.out].assign(correction=known is not None)
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.best.clear()
         yield from ()
 
@@ -53,7 +56,7 @@ class _Earliest(StatefulProcessor):
 
     @staticmethod
     def _order(row: pd.DataFrame) -> tuple[int, int]:
-        return int(row["__at"].iloc[0]), int(row["__tie"].iloc[0])
+        return int(row[AT].iloc[0]), int(row[TIE].iloc[0])
 
 
 def first_by_ingestion(stream: DataFrame, keys: Sequence[str], time: str = "ingestion_timestamp", tie: Sequence[str] = (),
@@ -66,11 +69,11 @@ def first_by_ingestion(stream: DataFrame, keys: Sequence[str], time: str = "inge
     has passed the record by as much again; records older than the watermark are dropped by Spark.
     Rows without a time take no part."""
     spark = stream.sparkSession
-    if spark.conf.get(*STORE) != STORE[1]:
+    if spark.conf.get(STORE[0], "") != STORE[1]:
         raise RuntimeError(f"set {STORE[0]} to {STORE[1]}")
     keep_ms = int(spark.sql(f"SELECT unix_millis(timestamp '1970-01-01 00:00:00Z' + interval '{within}') AS ms").first().ms)
     columns = [F.col(f"`{c}`") for c in stream.columns]
     tied = F.col(tie[0]).cast("long") if tie else F.xxhash64(*columns)
-    rows = stream.where(F.col(time).isNotNull()).withColumns({"__at": F.unix_micros(time), "__tie": F.coalesce(tied, F.lit((1 << 63) - 1))}).withWatermark(time, within)
+    rows = stream.where(F.col(time).isNotNull()).withColumns({AT: F.unix_micros(time), TIE: F.coalesce(tied, F.lit((1 << 63) - 1))}).withWatermark(time, within)
     out = T.StructType([*stream.schema.fields, T.StructField("correction", T.BooleanType())])
     return rows.groupBy(*keys).transformWithStateInPandas(_Earliest(stream.columns, keep_ms), out, "update", "eventTime")
