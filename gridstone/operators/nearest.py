@@ -6,7 +6,7 @@ at most ``TOP`` nodes. Every point is stored once, and the depth follows from th
 clusters of any density, down to points that differ in the last bit, make leaves of the same size.
 A node knows the bounding boxes of its children.
 
-A position first goes down to one leaf, always into the child that is nearest: one row, no regrouping.
+A position first goes down to the leaf whose stretch of the curve it falls on: one row, no regrouping.
 The best point of that leaf bounds the answer. Then it goes down again with the bound, into every box
 that is not farther away, mostly one or two, and the points found within the bound are compared.
 Every level is an equi-join by node. Which of these joins are broadcast is Spark's choice, from the
@@ -33,14 +33,16 @@ _NULL_SALTS = 1024
 
 @dataclass(frozen=True)
 class NearestIndex:
-    """``leaves(id, box, points)``, ``nodes(id, box, children)`` from the highest level down, and the boxes of
-    the top. Points are structs of x, y and place, in the order of places."""
+    """``leaves(id, curve, box, points)``, ``nodes(id, curve, box, children)`` from the highest level down, and
+    the boxes of the top. ``curve`` is where a node's stretch of the curve begins; children are in that
+    order, numbered on. Points are structs of x, y and place, in the order of places."""
 
     leaves: DataFrame
     nodes: tuple[DataFrame, ...]
     top: tuple[Row, ...]
     columns: tuple[str, ...]
     max_distance: float
+    extent: dict[str, float]
 
 
 def _spread_bits(c: Column) -> Column:
@@ -50,16 +52,17 @@ def _spread_bits(c: Column) -> Column:
     return c
 
 
-def _along_curve(extent: dict[str, float]) -> Column:
-    def step(c: str) -> Column:
+def _along_curve(extent: dict[str, float], x: str, y: str) -> Column:
+    """Place on the curve; what lies outside the extent is moved to its edge."""
+    def step(c: str, of: str) -> Column:
         low, high = extent[f"{c}0"], extent[f"{c}1"]
         if not high > low:
             return F.lit(0).cast("long")
         # Divided first: the span of two doubles may exceed a double.
-        share = F.col(c) / (high / 2 - low / 2) / 2 - low / (high / 2 - low / 2) / 2
-        return F.least(F.floor(share * 2**_CURVE_BITS), F.lit(2**_CURVE_BITS - 1)).cast("long")
+        share = F.col(of) / (high / 2 - low / 2) / 2 - low / (high / 2 - low / 2) / 2
+        return F.floor(F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)) * (2**_CURVE_BITS - 1)).cast("long")
 
-    return _spread_bits(step("x")).bitwiseOR(F.shiftleft(_spread_bits(step("y")), 1))
+    return _spread_bits(step("x", x)).bitwiseOR(F.shiftleft(_spread_bits(step("y", y)), 1))
 
 
 def _located(x: Column, y: Column) -> Column:
@@ -91,21 +94,21 @@ def build_index(
     count = extent.get.get("points", 0)
     if not count:
         none = points.select(F.lit(0).cast("long").alias("id"), F.array(F.struct("place", "x", "y")).alias("points"))
-        return NearestIndex(none, (), (), columns, float(max_distance))
+        return NearestIndex(none, (), (), columns, float(max_distance), {})
 
-    ranked = global_rank(points.withColumn("curve", _along_curve(extent.get)), [F.asc("curve"), F.asc("x"), F.asc("y")])
+    ranked = global_rank(points.withColumn("curve", _along_curve(extent.get, "x", "y")), [F.asc("curve"), F.asc("x"), F.asc("y")])
     leaves = written_once(
         ranked.withColumn("id", F.expr(f"(rank - 1) div {LEAF}")).groupBy("id")
-        .agg(*box, F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("points")), "nearest_leaves")
+        .agg(F.min("curve").alias("curve"), *box, F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("points")), "nearest_leaves")
     level, nodes, size = leaves, [], -(-count // LEAF)
     while size > TOP:
         spans = [f(f"{a}{k}").alias(f"{a}{k}") for k, f in enumerate((F.min, F.max)) for a in "xy"]
         level = written_once(
-            level.select(F.expr(f"id div {FAN}").alias("parent"), "id", *_BOX).groupBy("parent")
-            .agg(*spans, F.collect_list(F.struct("id", *_BOX)).alias("children")).withColumnRenamed("parent", "id"), "nearest_nodes")
+            level.select(F.expr(f"id div {FAN}").alias("parent"), "id", "curve", *_BOX).groupBy("parent")
+            .agg(F.min("curve").alias("curve"), *spans, F.sort_array(F.collect_list(F.struct("id", "curve", *_BOX))).alias("children")).withColumnRenamed("parent", "id"), "nearest_nodes")
         nodes.append(level)
         size = -(-size // FAN)
-    return NearestIndex(leaves, tuple(reversed(nodes)), tuple(level.select("id", *_BOX).collect()), columns, float(max_distance))
+    return NearestIndex(leaves, tuple(reversed(nodes)), tuple(sorted(level.select("id", "curve", *_BOX).collect())), columns, float(max_distance), extent.get)
 
 
 def nearest_join(
@@ -157,8 +160,8 @@ def nearest_join(
 def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:
     """``__hit struct<d2, place>`` of the nearest point of each distinct position (__x, __y) that has one.
 
-    Boxes and points are rows while they are measured: that runs as generated code, which functions
-    on arrays do not."""
+    Boxes and points are rows in the bounded descent: that runs as generated code, which functions on
+    arrays do not."""
     x, y, zero = F.col("__x"), F.col("__y"), F.lit(0.0)
     at = ["__x", "__y"]
     if not index.top:
@@ -169,15 +172,16 @@ def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> Da
         dx, dy = (F.greatest(F.col(f"{a}0") - c, c - F.col(f"{a}1"), zero) for a, c in (("x", x), ("y", y)))
         return dx * dx + dy * dy
 
-    def far() -> Column:
-        """Squared distance of its farthest corner."""
-        dx, dy = (F.greatest(c - F.col(f"{a}0"), F.col(f"{a}1") - c) for a, c in (("x", x), ("y", y)))
-        return dx * dx + dy * dy
+    def once(value: Column, name: str) -> Column:
+        """One-element inline: later filters must not repeat the expression."""
+        return F.inline(F.array(F.struct(value.alias(name))))
+
+    def d2(p: Column) -> Column:
+        return (x - p["x"]) * (x - p["x"]) + (y - p["y"]) * (y - p["y"])
 
-    d2 = (x - F.col("x")) * (x - F.col("x")) + (y - F.col("y")) * (y - F.col("y"))
     # The exact test of the distance is on the root; the square may be off in its last bits.
     reach = F.lit(float(max_distance) ** 2 * (1 + 1e-12))
-    top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", *_BOX)]) for r in index.top])
+    top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", "curve", *_BOX)]) for r in index.top])
     levels = [top, *(n.select("id", "children") for n in index.nodes)]
     leaves = index.leaves.select("id", "points")
 
@@ -187,12 +191,16 @@ def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> Da
             state, boxes = state.join(boxes, "id"), F.col("children")
         return state.select(*at, *kept, F.inline(boxes))
 
-    probe = positions
+    probe = positions.withColumn("__curve", _along_curve(index.extent, "__x", "__y"))
     for boxes in levels:
-        probe = entered(probe, boxes).groupBy(*at).agg(F.min_by("id", near() + far()).alias("id"))
-    state = probe.join(leaves, "id").select(*at, F.inline("points")).groupBy(*at).agg(F.least(reach, F.min(d2)).alias("__bound"))
+        if isinstance(boxes, DataFrame):
+            probe, boxes = probe.join(boxes, "id"), F.col("children")
+        begun = F.size(F.filter(boxes, lambda b: b["curve"] <= F.col("__curve")))
+        probe = probe.select(*at, "__curve", once(F.get(boxes, F.greatest(begun - 1, F.lit(0)))["id"], "id"))
+    found = F.array_min(F.transform("points", d2))
+    state = probe.join(leaves, "id").select(*at, once(F.least(reach, found), "__bound"))
     for boxes in levels:
         state = entered(state, boxes, "__bound").where(near() <= F.col("__bound")).select(*at, "__bound", "id")
-    points = state.join(leaves, "id").select(*at, "__bound", F.inline("points"))
-    hits = points.select(*at, "__bound", d2.alias("d2"), "place").where(f"d2 <= __bound and sqrt(d2) <= {float(max_distance)!r}D")
+    points = state.join(leaves, "id").select(*at, "__bound", F.explode("points").alias("p"))
+    hits = points.select(*at, "__bound", d2(F.col("p")).alias("d2"), "p.place").where(f"d2 <= __bound and sqrt(d2) <= {float(max_distance)!r}D")
     return hits.groupBy(*at).agg(F.min(F.struct("d2", "place")).alias("__hit"))
