@@ -196,3 +196,13 @@ def profile(datasets: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
                     F.lit(list(df.columns)).alias("columns"), "types")
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+def type_counts(datasets: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
+    """The type histograms of :func:`profile` in long form, for datasets of many types: dataset, type, records."""
+    parts = [
+        df.groupBy((F.col(kind).cast("string") if kind else F.lit(None).cast("string")).alias("type")).agg(F.count("*").alias("records"))
+        .select(F.lit(name).alias("dataset"), "type", "records")
+        for name, (df, kind) in datasets.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

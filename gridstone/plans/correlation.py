@@ -109,6 +109,12 @@ def level_distribution(cells: DataFrame, column: str = "correlation_level") -> D
     return value_counts(cells, column, name="cells")
 
 
+def level_report(cells: DataFrame) -> DataFrame:
+    """Cells per correlation and per risk level, from one pass over the cells."""
+    levels = F.array(*[F.struct(F.lit(what).alias("what"), F.col(c).alias("level")) for what, c in (("correlation", "correlation_level"), ("risk", "risk_level"))])
+    return cells.select(F.inline(levels)).groupBy("what", "level").agg(F.count("*").alias("cells"))
+
+
 def coverage(cells: DataFrame) -> DataFrame:
     """Cells by what they contain, as counts and percentages."""
     infra, crime = F.col("total_infrastructure_count") > 0, F.col("total_crime_count") > 0

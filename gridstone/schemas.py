@@ -116,6 +116,67 @@ SILVER_POSTCODES = (
     f"ingestion_timestamp timestamp, ingestion_date date, {_AUDIT}, area string"
 )
 
+# Gold tables as the plans write them.
+_ANALYSIS = "analysis_date date, analysis_timestamp timestamp"
+_CELL = "grid_cell_id string, grid_cell_x int, grid_cell_y int, grid_center_easting double, grid_center_northing double"
+GOLD_INFRASTRUCTURE_DENSITY = (
+    f"{_CELL}, infrastructure_type string, infrastructure_count bigint, avg_quality_score double, "
+    f"quality_tiers array<string>, density_per_km2 double, {_ANALYSIS}"
+)
+GOLD_CRIME_HOTSPOTS = (
+    f"{_CELL}, category string, crime_count bigint, crime_months array<date>, months_with_crimes int, "
+    f"density_per_km2 double, hotspot_level string, {_ANALYSIS}"
+)
+GOLD_WEATHER_DAILY = (
+    "date date, avg_temperature double, min_temperature double, max_temperature double, avg_feels_like double, "
+    "avg_humidity double, min_humidity double, max_humidity double, avg_pressure double, min_pressure double, "
+    "max_pressure double, avg_wind_speed double, max_wind_speed double, avg_wind_direction double, "
+    "mean_wind_bearing double, avg_cloud_coverage double, avg_visibility double, total_rainfall_mm double, "
+    "max_hourly_rainfall_mm double, total_snowfall_mm double, dominant_weather string, observation_count bigint, "
+    "temperature_range double, comfort_level string"
+)
+GOLD_CORRELATION = (
+    "grid_easting double, grid_northing double, total_infrastructure_count bigint, "
+    "total_infrastructure_density double, infrastructure_types array<string>, avg_quality_score double, "
+    "infrastructure_type_count int, infrastructure_diversity_score double, total_crime_count bigint, "
+    "total_crime_density double, crime_categories array<string>, max_hotspot_score double, "
+    "crime_density_1km double, crime_category_count int, is_crime_hotspot boolean, grid_cell_id string, "
+    "normalized_infra_density double, normalized_crime_density double, correlation_score double, risk_level string, "
+    f"infrastructure_vulnerability double, safety_index double, correlation_level string, {_ANALYSIS}"
+)
+GOLD_RISK_ZONES = (
+    "grid_cell_id string, grid_easting double, grid_northing double, total_infrastructure_count bigint, "
+    "infrastructure_types array<string>, infrastructure_type_count int, avg_quality_score double, "
+    "total_crime_count bigint, crime_categories array<string>, crime_category_count int, max_hotspot_score double, "
+    "correlation_score double, infrastructure_vulnerability double, safety_index double, priority_rank bigint, "
+    "recommended_action string"
+)
+GOLD_POSTCODE_PROFILE = (
+    "postcode string, admin_district string, admin_ward string, parish string, constituency string, region string, "
+    "country string, easting_bng bigint, northing_bng bigint, postcode_quality_score double, "
+    "total_infrastructure_count bigint, power_count bigint, communication_count bigint, water_count bigint, "
+    "gas_count bigint, sewerage_count bigint, fuel_count bigint, avg_quality_score double, "
+    "high_quality_count bigint, medium_quality_count bigint, basic_quality_count bigint, "
+    "with_coordinates_count bigint, with_bng_coords_count bigint, infrastructure_types array<string>, "
+    "infrastructure_type_count int, high_quality_percent double, coordinate_coverage_percent double, "
+    "infrastructure_diversity_score double, total_crime_count bigint, violence_count bigint, burglary_count bigint, "
+    "vehicle_crime_count bigint, theft_count bigint, drugs_count bigint, antisocial_count bigint, "
+    "crimes_with_outcome bigint, crime_categories array<string>, crime_category_count int, "
+    "outcome_rate_percent double, crime_severity_score double, normalized_crime_risk double, "
+    "infrastructure_vulnerability_score double, area_risk_score double, risk_classification string, "
+    f"safety_index double, {_ANALYSIS}"
+)
+#: Column comments, wherever a table has the column.
+COMMENTS = {
+    "lat": "WGS84 latitude", "lon": "WGS84 longitude", "easting_bng": "Grid easting in metres", "northing_bng": "Grid northing in metres",
+    "ingestion_timestamp": "When the snapshot was taken", "ingestion_date": "Day of the snapshot", "is_valid_location": "Inside the area of interest",
+    "metadata_quality_score": "Share of the metadata fields that are filled", "length_meters": "Length of a line",
+    "grid_cell_id": "Grid cell, named by its lower left corner", "grid_center_easting": "Middle of the cell", "grid_center_northing": "Middle of the cell",
+    "density_per_km2": "Count per square kilometre", "hotspot_level": "Crime density class", "correlation_score": "Infrastructure and crime densities combined",
+    "infrastructure_vulnerability": "Crime weighed by poor infrastructure data", "safety_index": "100 less the risk", "area_risk_score": "Combined risk, 0 to 100",
+    "priority_rank": "Most vulnerable first", "avg_wind_direction": "Mean of degrees", "mean_wind_bearing": "Circular mean in degrees", "analysis_date": "Day of the analysis",
+}
+
 
 @dataclass(frozen=True)
 class Table:
@@ -137,6 +198,12 @@ TABLES = (
     Table("silver", "crime", SILVER_CRIME, ("ingestion_date", "month"), "Cleaned and enriched crime"),
     Table("silver", "weather", SILVER_WEATHER, ("ingestion_date",), "Cleaned weather"),
     Table("silver", "postcodes", SILVER_POSTCODES, ("ingestion_date",), "Cleaned postcode reference"),
+    Table("gold", "infrastructure_density", GOLD_INFRASTRUCTURE_DENSITY, ("analysis_date", "infrastructure_type"), "Elements per grid cell and type"),
+    Table("gold", "crime_hotspots", GOLD_CRIME_HOTSPOTS, ("analysis_date", "category"), "Crimes per grid cell and category"),
+    Table("gold", "weather_daily", GOLD_WEATHER_DAILY, (), "Weather by day"),
+    Table("gold", "spatial_correlation", GOLD_CORRELATION, ("analysis_date",), "Infrastructure and crime per grid cell"),
+    Table("gold", "high_risk_zones", GOLD_RISK_ZONES, (), "Cells of high risk, ranked, with the action to take"),
+    Table("gold", "postcode_profile", GOLD_POSTCODE_PROFILE, ("analysis_date",), "Infrastructure, crime and risk by postcode"),
 )
 LAYERS = ("bronze", "silver", "gold")
 
@@ -149,8 +216,12 @@ def conform(df: DataFrame, schema: str | T.StructType) -> DataFrame:
 
 def create_table_sql(table: Table, prefix: str = "", fmt: str = "parquet") -> str:
     parts = f" PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{COMMENTS[f.name]}'" if f.name in COMMENTS else "")
+        for f in struct(table.schema).fields
+    )
     return (
-        f"CREATE TABLE IF NOT EXISTS {prefix}{table.layer}.{table.name} ({table.schema}) USING {fmt}{parts} "
+        f"CREATE TABLE IF NOT EXISTS {prefix}{table.layer}.{table.name} ({columns}) USING {fmt}{parts} "
         f"COMMENT '{table.comment}'"
     )
 

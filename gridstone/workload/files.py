@@ -47,7 +47,7 @@ def src4(spark, sf):
     sinks.write_external(table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag"), name, path)
     by_name = readers.read_table(spark, name).groupBy("l_returnflag").agg(F.count("*").alias("records"))
     by_path = readers.read_path(spark, path).groupBy("l_returnflag").agg(F.count("*").alias("by_path"))
-    return by_name.join(by_path, "l_returnflag")
+    return _kept(by_name.join(by_path, "l_returnflag"), "src4-report", name)
 
 
 @query("src5_snapshots", "select coalesce(nullif(man_made, ''), nullif(power_tag, ''), 'unknown') as infrastructure_type, count(*) as records, coalesce(sum(vertices), 0)::bigint as points, 'elements_api' as source_api from elements group by 1", elements=_ELEMENTS)

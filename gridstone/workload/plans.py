@@ -223,9 +223,7 @@ def report_districts(spark, sf):
 
 @query("report_zone_levels", "select 'correlation' as what, correlation_level as level, count(*) as cells from cells group by 2 union all select 'risk', risk_level, count(*) from cells group by 2")
 def report_levels(spark, sf):
-    cells = cells_frame(spark, sf)
-    return correlation.level_distribution(cells).select(F.lit("correlation").alias("what"), F.col("correlation_level").alias("level"), "cells").unionAll(
-        correlation.level_distribution(cells, "risk_level").select(F.lit("risk").alias("what"), F.col("risk_level").alias("level"), "cells"))
+    return correlation.level_report(cells_frame(spark, sf))
 
 
 @query("report_zone_coverage", "select count(*) as total_cells, count(*) filter (total_infrastructure_count > 0) as cells_with_infra, count(*) filter (total_crime_count > 0) as cells_with_crime, "

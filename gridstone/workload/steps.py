@@ -638,6 +638,16 @@ def dq12(spark, sf):
     return report.select("dataset", "records", F.size("columns").cast("long").alias("columns"), F.when(F.size("types") > 0, shown).alias("types"))
 
 
+@query("dq12_types", "select 'assets' as dataset, infrastructure_type as type, count(*) as records from assets_raw group by 2 union all "
+       "select 'incidents', category, count(*) from incidents_raw group by 2 union all select 'streets', cast(street_id as varchar), count(*) from incidents_raw group by 2 union all select 'weather', null, count(*) from weather_raw")
+def dq12_types(spark, sf):
+    incidents = bronze_incidents(spark, sf)
+    return quality.type_counts({
+        "assets": (bronze_assets(spark, sf), "infrastructure_type"), "incidents": (incidents, "category"), "streets": (incidents, "street_id"),
+        "weather": (bronze_weather(spark, sf), None),
+    })
+
+
 @query("dq13_gates", f"select gate, {stable('value')} as value, lim as limit_value, (case when gate = 'bbox_outliers' then value <= lim else value >= lim end)::int as passed from "
        "(select 'coordinate_completeness' as gate, avg((lat is not null and lon is not null)::int) as value, 0.9::double as lim from assets union all "
        "select 'projection_success', count(easting_bng) * 1.0::double / count(*) filter (lat is not null and lon is not null), 0.95::double from assets union all "

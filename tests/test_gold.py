@@ -113,3 +113,26 @@ def test_quantiles_equal_pandas(spark, values):
     row = summarise.describe(df, ["v"]).first()
     want = pd.Series(values).describe()
     assert (row.n, row.p25, row.p50, row.p75, row.max) == (want["count"], want["25%"], want["50%"], want["75%"], want["max"])
+
+
+def test_gold_plans_have_the_shapes_of_their_tables(spark, small):
+    from gridstone import schemas
+    from gridstone.plans import correlation, density, hotspots, postcode, silver, weather
+    from gridstone.workload import plans, views
+
+    at = plans.RUN_TIME
+    assets, incidents = plans.unplaced_assets(spark, small), plans.unplaced_incidents(spark, small)
+    cells = correlation.correlation(density.infrastructure_density(assets), hotspots.crime_hotspots(incidents), run_time=at)
+    placed = assets.withColumns({c: F.lit("x") for c in ("postcode", "admin_ward")}).withColumns({c: F.lit(True) for c in ("has_coordinates", "has_bng_coords")})
+    made = {
+        "infrastructure_density": density.infrastructure_density(assets, run_time=at), "crime_hotspots": hotspots.crime_hotspots(incidents, run_time=at),
+        "weather_daily": weather.daily_stats(silver.silver_weather(views.bronze_weather(spark, small), at, order_by=views.INGESTED)),
+        "spatial_correlation": cells, "high_risk_zones": correlation.high_risk_zones(cells),
+        "postcode_profile": postcode.area_profile(silver.silver_places(views.bronze_places(spark, small), at), postcode.infrastructure_summary(placed),
+                                                  postcode.crime_summary(incidents.withColumn("postcode", F.lit("x"))), at),
+    }
+    tables = {t.name: t for t in schemas.TABLES if t.layer == "gold"}
+    assert set(made) == set(tables)
+    for name, df in made.items():
+        assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.struct(tables[name].schema).fields], name
+        assert "COMMENT" in schemas.create_table_sql(tables[name]).split("USING")[0]
