@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridstone import constants as K
 from gridstone.plans import correlation, density, hotspots, postcode, silver, weather
+from gridstone.workload import oracle
 from gridstone.workload.oracle import stable
 from gridstone.workload.registry import flag, listed, query, six, text
 from gridstone.workload.views import INGESTED, bronze_assets, bronze_incidents, bronze_places, bronze_weather
@@ -66,12 +67,15 @@ def profile_frame(spark, sf):
 
 
 @query("silver_assets", f"select id, id as osm_id, type, infrastructure_type, {stable('lat')} as lat, {stable('lon')} as lon, easting_bng, northing_bng, round(length_meters + 1e-9, 3) as length_meters, "
-       "operator, material, postcode, admin_district, admin_ward, metadata_quality_score, quality_tier, (postcode is not null)::int as has_postcode, is_valid_location::int as is_valid_location from assets")
+       "operator, material, postcode, admin_district, admin_ward, metadata_quality_score, quality_tier, (postcode is not null)::int as has_postcode, is_valid_location::int as is_valid_location, "
+       "name, substance, diameter, location, source_api, data_layer, (lat is not null and lon is not null)::int as has_coordinates, (easting_bng is not null and northing_bng is not null)::int as has_bng_coords, "
+       "cast(ingestion_timestamp as varchar) as ingested from (select *, 'overpass_api' as source_api, 'silver' as data_layer from assets)")
 def silver_assets(spark, sf):
     return assets_frame(spark, sf).select(
         "id", "osm_id", "type", "infrastructure_type", six("lat"), six("lon"), "easting_bng", "northing_bng",
         F.round(F.col("length_meters") + 1e-9, 3).alias("length_meters"), "operator", "material", "postcode", "admin_district", "admin_ward",
-        "metadata_quality_score", "quality_tier", flag("has_postcode"), flag("is_valid_location"),
+        "metadata_quality_score", "quality_tier", flag("has_postcode"), flag("is_valid_location"), "name", "substance", "diameter", "location",
+        F.col("source_system").alias("source_api"), "data_layer", flag("has_coordinates"), flag("has_bng_coords"), text("ingestion_timestamp", "ingested"),
     )
 
 
@@ -84,10 +88,17 @@ def silver_incidents(spark, sf):
     )
 
 
-@query("silver_weather", "select location_name, cast(cast(datetime as date) as varchar) as date, weather_id::int as weather_id, weather_main, temp_celsius, rain_1h_mm from weather_first")
+_WEATHER_COLUMNS = ("country", "timezone_offset", "weather_main", "temp_celsius", "feels_like_celsius", "pressure_hpa", "humidity_percent", "visibility_meters", "wind_speed_ms",
+                    "wind_direction_deg", "clouds_percent", "rain_1h_mm", "snow_1h_mm")
+
+
+@query("silver_weather", f"select location_name, cast(datetime as varchar) as datetime, cast(ingestion_timestamp as varchar) as ingested, weather_id::int as weather_id, {', '.join(_WEATHER_COLUMNS)}, "
+       f"{stable('lat')} as lat, {stable('lon')} as lon, cast(round_even(e, 0) as bigint) as easting_bng, cast(round_even(n, 0) as bigint) as northing_bng, 1 as has_complete_data, 'openweather_api' as source_system, 'silver' as data_layer "
+       "from weather_first w join weather_first_bng g using (source_seq)", **oracle.projected("weather_first", "source_seq"))
 def silver_weather(spark, sf):
     rows = silver.silver_weather(bronze_weather(spark, sf), RUN_TIME, order_by=INGESTED)
-    return rows.select("location_name", F.to_date("datetime").cast("string").alias("date"), "weather_id", "weather_main", "temp_celsius", "rain_1h_mm")
+    return rows.select("location_name", text("datetime"), text("ingestion_timestamp", "ingested"), "weather_id", *_WEATHER_COLUMNS, six("lat"), six("lon"), "easting_bng", "northing_bng",
+                       flag("has_complete_data"), "source_system", "data_layer")
 
 
 @query("silver_places", f"select postcode, postcode_type, constituency, easting_bng, northing_bng, {stable('quality_score')} as quality_score from places")
