@@ -1,8 +1,9 @@
 """Helpers shared by the operators: words in SQL, words and window hashes in numpy, written steps.
 
 A word is a maximal run of characters other than the space and U+0009 to U+000D. These are all
-ASCII, so bytes of UTF-8 can be split without decoding. Hashes of spans come from prefix sums of
-a polynomial modulo 2**64 whose coefficients are scrambled first; any span then costs O(1)."""
+ASCII, so bytes of UTF-8 can be split without decoding. Words are hashed piece by piece. Hashes of
+spans of words or of short spans of bytes come from prefix sums of a polynomial modulo 2**64 whose
+coefficients are scrambled first; any span then costs O(1)."""
 
 from __future__ import annotations
 
@@ -82,6 +83,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _SYMBOLS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
+#: Masks that leave the first bytes of a piece of eight.
+_LEADING = np.array([[255] * k + [0] * (8 - k) for k in range(9)], np.uint8).view(np.uint64)[:, 0]
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -140,7 +143,19 @@ class Slice:
         return begin, stop, np.searchsorted(begin, self.offsets)
 
     def word_symbols(self, begin: np.ndarray, stop: np.ndarray, folded: bool = False) -> np.ndarray:
-        return Spans(_SYMBOLS[_FOLD[self.data] if folded else self.data]).of(begin, stop)
+        """A hash of each word, of any length: the sum over its pieces of eight bytes, each scrambled with
+        its place. A polynomial, as of spans, is equal for some long words of a regular pattern."""
+        if not len(begin):
+            return np.zeros(0, np.uint64)
+        data = np.concatenate([_FOLD[self.data] if folded else self.data, np.zeros(8, np.uint8)])
+        size = stop - begin
+        pieces = -(-size // 8)
+        first = np.cumsum(pieces) - pieces
+        place = np.arange(int(pieces.sum())) - np.repeat(first, pieces)
+        piece = np.lib.stride_tricks.sliding_window_view(data, 8)[np.repeat(begin, pieces) + 8 * place].view(np.uint64)[:, 0]
+        left = np.minimum(np.repeat(size, pieces) - 8 * place, 8)
+        scrambled = mix(mix(piece & _LEADING[left]) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(_STEP))
+        return mix(np.add.reduceat(scrambled, first) + size.astype(np.uint64))
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[Slice]:
