@@ -13,10 +13,12 @@ dealt in parts of about CELL vectors, so a cell of many equal vectors is many ta
 tree of leaves of LEAF vectors orders the search. A query first searches its own cell; the bound found
 there decides, by the same test, which other cells it visits.
 
-Nulls: vectors that are null, zero, hold null or non-finite numbers, or are not as long as most, take no
-part, nor do rows without an id. A repeated query id is searched once, with its smallest vector; repeated
-candidates are candidates each; rows with the query's id are none. Ties go to the smaller id. With fewer
-than k candidates all are found, empty tables give an empty result. Runs jobs when called."""
+Vectors of each length have an index of their own, as only they have inner products with each other.
+
+Nulls: vectors that are null, zero, or hold null or non-finite numbers take no part, nor do rows without
+an id. A repeated query id is searched once, with its smallest vector; repeated candidates are candidates
+each; rows with the query's id are none. Ties go to the smaller id. With fewer than k candidates all are
+found, empty tables give an empty result, other columns are ignored. Runs jobs when called."""
 
 from __future__ import annotations
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from gridstone.llm.common import sent, written
 
-DIMENSIONS, SAMPLE, CELL, LEAF, QUERIES = 8, 20_000, 4096, 64, 4096
+DIMENSIONS, SAMPLE, CELL, LEAF, QUERIES, PAIRS = 8, 20_000, 4096, 64, 4096, 1 << 16
 _NORMAL = 2.326  # standard normal quantile of the stopping test, 0.99
 
 
@@ -113,15 +115,21 @@ def nearest(embeddings: DataFrame, queries: Column, k: int = 20, key: str = "vec
     spark = embeddings.sparkSession
     rows = embeddings.select(F.col(key).cast("long").alias("id"), usable(F.col(vector)).alias("v"), F.coalesce(queries, F.lit(False)).alias("q")).where("id is not null and v is not null")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    lengths = rows.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n"), F.max(norm).alias("norm"), F.count_if("q").alias("queries"))
-    common = lengths.orderBy(F.desc("n"), "length").first()
-    if common is None:
-        return spark.createDataFrame([], f"query_id long, rank int, `{key}` long, score double")
-    rows = rows.where(F.size("v") == common.length)
-    index = Index(common.length, common.norm)
-    step = max(1, common.n // SAMPLE)
+    asked = rows.where("q").groupBy("id").agg(F.min("v").alias("v"))
+    found = spark.createDataFrame([], "query_id long, rank int, id long, score double")
+    for r in rows.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n"), F.max(norm).alias("norm"), F.count_if("q").alias("queries")).collect():
+        if r.queries:
+            alike = F.size("v") == r.length
+            found = found.unionByName(_nearest(rows.where(alike).select("id", "v"), asked.where(alike), Index(r.length, r.norm), r.n, k))
+    return found.withColumnRenamed("id", key)
+
+
+def _nearest(rows: DataFrame, asked: DataFrame, index: Index, n: int, k: int) -> DataFrame:
+    """The same for vectors of one length."""
+    spark = rows.sparkSession
+    step = max(1, n // SAMPLE)
     some = rows.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("v").limit(2 * SAMPLE).toArrow().column("v").combine_chunks()
-    index.tree = Tree(index.project(index.vectors(some)), -(-common.n // CELL))
+    index.tree = Tree(index.project(index.vectors(some)), -(-n // CELL))
     there = sent(spark, index)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,15 +137,10 @@ def nearest(embeddings: DataFrame, queries: Column, k: int = 20, key: str = "vec
         for batch in batches:
             if len(batch):
                 own = x.tree.cell(x.project(x.vectors(batch.column("v"))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32))], ["id", "v", "q", "cell"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32))], ["id", "v", "cell"])
 
-    data = written(rows.mapInArrow(placed, "id long, v array<double>, q boolean, cell int"), "ann_cells")
-    sizes = {r.cell: r["count"] for r in data.groupBy("cell").count().collect()}
-    parts = F.element_at(F.array(*[F.lit(max(1, -(-sizes.get(c, 0) // CELL))) for c in range(len(index.tree.low))]), F.col("cell") + 1)
-    chunks = max(1, -(-common.queries // QUERIES))
-    chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
-    data = data.withColumn("part", F.pmod(F.xxhash64("id", "v"), parts))
-    asked = data.where("q").groupBy("id").agg(F.min("v").alias("v"))
+    data = written(rows.mapInArrow(placed, "id long, v array<double>, cell int"), "ann_cells")
+    parts = written(data.groupBy("cell").agg(F.ceil(F.count("*") / CELL).alias("parts")), "ann_parts")
 
     def routed(bounded: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,15 +162,19 @@ def nearest(embeddings: DataFrame, queries: Column, k: int = 20, key: str = "vec
         return run
 
     def searched(routes: DataFrame) -> DataFrame:
-        dealt = routes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long")))).withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
-        held = data.select("id", "v", "cell", F.col("part").cast("long").alias("part"), chunk.alias("chunk"))
+        """Queries meet the parts of a cell in chunks of about QUERIES; a part goes out once for each chunk of the queries that visit its cell."""
+        visits = routes.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).alias("chunks")).join(parts, "cell")
+        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        dealt = routes.join(visits, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks")).withColumn("part", upto("parts"))
+        held = data.join(visits, "cell").withColumn("part", F.pmod(F.xxhash64("id", "v"), "parts")).withColumn("chunk", upto("chunks"))
 
         def run(own: pa.Table, asking: pa.Table) -> pa.Table:
             x: Index = there()
             out = _search(x, own, asking, k) if len(own) and len(asking) else ([], [], [])
             return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "id", "score"])
 
-        grouped = held.groupBy("cell", "part", "chunk").cogroup(dealt.groupBy("cell", "part", "chunk"))
+        by = ("cell", "part", "chunk")
+        grouped = held.select("id", "v", *by).groupBy(*by).cogroup(dealt.select("id", "v", "bound", *by).groupBy(*by))
         return grouped.applyInArrow(run, "query_id long, id long, score double")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
@@ -176,7 +183,7 @@ def nearest(embeddings: DataFrame, queries: Column, k: int = 20, key: str = "vec
     bounds = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
     second = searched(asked.join(bounds, "id", "left").mapInArrow(routed(True), route))
     found = first.drop("rank").unionByName(second).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
 
 
 def _leaves(points: np.ndarray) -> list[np.ndarray]:
@@ -193,8 +200,12 @@ def _leaves(points: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _search(x: Index, own: pa.Table, asking: pa.Table, k: int) -> tuple[list, list, list]:
-    """The k best candidates of a part for each query, verified in order of projected distance."""
+def _search(x: Index, own: pa.Table, asking: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best candidates of a part for each query, verified in order of projected distance.
+
+    All queries advance together, each by its next leaves, twice as many every time; the queries at a
+    leaf are verified by one matrix product, and what may be among the k best is scored anew row by row,
+    so that equal vectors have equal scores."""
     ids, vectors = own.column("id").to_numpy(), x.vectors(own.column("v").combine_chunks())
     points = x.project(vectors)
     leaves = _leaves(points)
@@ -203,30 +214,43 @@ def _search(x: Index, own: pa.Table, asking: pa.Table, k: int) -> tuple[list, li
     begin = np.append(0, np.cumsum(sizes))
     low, high = np.minimum.reduceat(points, begin[:-1]), np.maximum.reduceat(points, begin[:-1])
     q_ids, q_vectors = asking.column("id").to_numpy(), x.vectors(asking.column("v").combine_chunks())
-    bounds = asking.column("bound").to_numpy()
+    bounds = np.nan_to_num(asking.column("bound").to_numpy(), nan=-np.inf)
     norms, q_points = np.sqrt((q_vectors**2).sum(axis=1)), x.project_queries(q_vectors)
-    out: tuple[list, list, list] = ([], [], [])
-    for q, v, bound, norm, p in zip(q_ids, q_vectors, bounds, norms, q_points, strict=True):
-        away = (np.maximum(np.maximum(low - p, p - high), 0) ** 2).sum(axis=1)
-        turn = np.argsort(away, kind="stable")
-        got_ids, got = np.zeros(0, np.int64), np.zeros(0)
-        done, take = 0, 1
-        while done < len(turn):
-            worst = max(got[-1] if len(got) == k else -np.inf, -np.inf if np.isnan(bound) else bound)
-            if worst > -np.inf:
-                inside = int(np.searchsorted(away[turn[done:]], x.radius(worst, norm), "right"))
-                if not inside:
-                    break
-                take = min(take, inside)
-            rows = np.concatenate([np.arange(begin[t], begin[t + 1]) for t in turn[done : done + take]])
-            rows = rows[ids[rows] != q]
-            done, take = done + take, take * 2
-            # One row at a time in a fixed order, so equal vectors have equal scores.
-            scores = np.append(got, (vectors[rows] * v).sum(axis=1))
-            names = np.append(got_ids, ids[rows])
-            best = np.lexsort((names, -scores))[:k]
-            got, got_ids = scores[best], names[best]
-        out[0].extend([q] * len(got))
-        out[1].extend(got_ids)
-        out[2].extend(got)
-    return out
+    slack = 1e-9 * norms * x.norm  # more than matrix products are off
+    away = np.zeros((len(q_ids), len(leaves)))
+    for p, a, b in zip(q_points.T, low.T, high.T, strict=True):
+        away += np.maximum(np.maximum(a - p[:, None], p[:, None] - b), 0) ** 2
+    turn = np.argsort(away, axis=1, kind="stable")
+    away = np.take_along_axis(away, turn, axis=1)
+    worst, done, take = bounds.copy(), np.zeros(len(q_ids), np.int64), 1
+    got_q, got_ids, got = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    while True:
+        radius = np.full(len(q_ids), np.inf)
+        known = worst > -np.inf
+        radius[known] = x.radius(worst[known], norms[known])
+        stop = np.maximum(done, np.minimum(done + take, (away <= radius[:, None]).sum(axis=1)))
+        n = stop - done
+        if not n.any():
+            return q_ids[got_q], got_ids, got
+        q = np.repeat(np.arange(len(q_ids)), n)
+        leaf = turn[q, np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n) + done[q]]
+        by_leaf = np.argsort(leaf, kind="stable")
+        cuts = np.searchsorted(leaf[by_leaf], np.arange(len(leaves) + 1))
+        new_q, new_row = [got_q[:0]], [got_q[:0]]
+        for t in np.flatnonzero(np.diff(cuts)):
+            here = q[by_leaf[cuts[t] : cuts[t + 1]]]
+            rows = slice(begin[t], begin[t + 1])
+            able = q_vectors[here] @ vectors[rows].T >= (worst - slack)[here, None]
+            i, j = np.nonzero(able & (ids[rows] != q_ids[here, None]))
+            new_q.append(here[i])
+            new_row.append(j + begin[t])
+        new_q, new_row = np.concatenate(new_q), np.concatenate(new_row)
+        scores = np.concatenate([got, *((vectors[new_row[i : i + PAIRS]] * q_vectors[new_q[i : i + PAIRS]]).sum(axis=1) for i in range(0, len(new_q), PAIRS))])
+        of, names = np.append(got_q, new_q), np.append(got_ids, ids[new_row])
+        best = np.lexsort((names, -scores, of))
+        start = np.searchsorted(of[best], np.arange(len(q_ids)))
+        best = best[np.arange(len(best)) - start[of[best]] < k]
+        got_q, got_ids, got = of[best], names[best], scores[best]
+        full = np.flatnonzero(np.bincount(got_q, minlength=len(q_ids)) == k)
+        worst[full] = np.maximum(bounds[full], got[np.searchsorted(got_q, full, "right") - 1])
+        done, take = stop, take * 2
