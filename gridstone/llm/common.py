@@ -7,7 +7,6 @@ coefficients are scrambled first; any span then costs O(1)."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -242,12 +241,32 @@ def missing_last(key: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
 
 
-def set_aside(df: DataFrame, label: str) -> tuple[str, DataFrame]:
-    """The rows as a table that the session's warehouse holds until it is dropped."""
-    name = f"{label}_{uuid.uuid4().hex}"
-    with tidy(df.sparkSession):
-        df.write.saveAsTable(name)
-    return name, df.sparkSession.table(name)
+class Aside:
+    """Steps whose files go as soon as no later step reads them: tables of a database in the shared folder."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        path = scratch_path(spark, label)
+        self.spark, self.name = spark, path.rsplit("/", 1)[1].replace("-", "_")
+        spark.sql(f"CREATE DATABASE {self.name} LOCATION '{path}'")
+
+    def put(self, df: DataFrame, label: str) -> DataFrame:
+        with tidy(self.spark):
+            df.write.option("compression", "zstd").saveAsTable(f"{self.name}.{label}")
+        return self.spark.table(f"{self.name}.{label}")
+
+    def put_bucketed(self, df: DataFrame, key: str, label: str) -> DataFrame:
+        """Bucketed by a key, so that joins on it move only the other side."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        with tidy(self.spark):
+            df.repartition(n, key).write.bucketBy(n, key).option("compression", "zstd").saveAsTable(f"{self.name}.{label}")
+        return self.spark.table(f"{self.name}.{label}")
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            self.spark.sql(f"DROP TABLE {self.name}.{label}")
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP DATABASE {self.name} CASCADE")
 
 
 def bucketed(df: DataFrame, key: str, label: str) -> tuple[str, DataFrame]:

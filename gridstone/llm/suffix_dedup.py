@@ -29,8 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridstone.llm.common import (
-    Slice, Spans, belongs, bucketed, covered, distinct, in_two_places, lists, missing_last, record, set_aside, signed, slices, sliding,
-    written,
+    Aside, Slice, Spans, belongs, covered, distinct, in_two_places, lists, missing_last, record, signed, slices, sliding, written,
 )
 
 DEPTH, GRAM, LONGER = 50, 20, 32
@@ -102,8 +101,8 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
     """Per document ``key``, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep``, the kept
     bytes, after each byte covered by a string of ``depth`` bytes that also starts in a document
     with a smaller key is removed."""
-    spark = documents.sparkSession
-    name, docs = bucketed(documents.select(missing_last(key).alias("__key"), F.col(text).alias("text")), "__key", "suffix_dedup")
+    aside = Aside(documents.sparkSession, "suffix_dedup")
+    docs = aside.put_bucketed(documents.select(missing_last(key).alias("__key"), F.col(text).alias("text")), "__key", "documents")
 
     def digits(batch, s):
         x = Suffixes(s, depth, gram)
@@ -112,7 +111,7 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
     # Pass 1: digits that two documents have.
     n_docs = docs.count()
-    marks = written(in_two_places(lambda d: _rows(d, digits, "__key long, sig long", ("sig",)), docs, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
+    marks = aside.put(in_two_places(lambda d: _rows(d, digits, "__key long, sig long", ("sig",)), docs, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
 
     # Pass 2: runs of such suffixes as whole strings.
     def runs(batch, s):
@@ -124,15 +123,16 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
         first = np.searchsorted(np.rec.fromarrays([x.run_row[at][order], whole[order]]), np.rec.fromarrays([row, value])) if len(row) else row
         return row, x.run_digit[at][order][first], value
 
-    aside, strings = set_aside(_rows(docs.join(marks, "__key"), runs, "__key long, sig long, run long", ("sig", "run")), "runs")
+    strings = aside.put(_rows(docs.join(marks, "__key"), runs, "__key long, sig long, run long", ("sig", "run")), "runs")
+    aside.drop("digits")
     first = strings.groupBy("sig", "run").agg(F.min("__key").alias("__first"))
     several = first.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig", F.lit(True).alias("several"))
     judged = strings.join(first.join(several, "sig", "left"), ["sig", "run"])
     settled, still = F.when(F.col("__key") > F.col("__first"), F.col("run")), F.when((F.col("__key") == F.col("__first")) & F.col("several"), F.col("run"))
-    state = written(judged.select("__key", settled.alias("s"), still.alias("o")).where("s is not null or o is not null")
+    state = aside.put(judged.select("__key", settled.alias("s"), still.alias("o")).where("s is not null or o is not null")
                     .groupBy("__key").agg(F.collect_list("s").alias("settled"), F.collect_list("o").alias("open")), "judged")
 
-    spark.sql(f"DROP TABLE {aside}")
+    aside.drop("runs")
 
     # Pass 3: a longer digit, for the suffixes of runs that are left.
     def longer(batch, s):
@@ -142,7 +142,7 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
     opened = docs.join(state.where(F.size("open") > 0).select("__key", "open"), "__key")
     narrowed = in_two_places(lambda d: _rows(d, longer, "__key long, sig long", ("sig",)), opened, n_docs)
-    narrowed = written(narrowed.groupBy("__key").agg(F.collect_list("sig").alias("longer")).join(state.select("__key", "open"), "__key"), "longer")
+    narrowed = aside.put(narrowed.groupBy("__key").agg(F.collect_list("sig").alias("longer")).join(state.select("__key", "open"), "__key"), "longer")
 
     # Pass 4: full depth.
     def edges(batch, s):
@@ -151,9 +151,11 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
         some = np.flatnonzero(belongs(x.digits(longer_gram)[start], row, *lists(batch, "longer", s)))
         return distinct(row[some], x.whole(start[some]))[:2]
 
-    single = written(_rows(docs.join(narrowed, "__key"), edges, "__key long, suffix long", ("suffix",)), "suffixes")
+    single = aside.put(_rows(docs.join(narrowed, "__key"), edges, "__key long, suffix long", ("suffix",)), "suffixes")
+    aside.drop("longer")
     least = single.groupBy("suffix").agg(F.min("__key").alias("__first"), F.max("__key").alias("__last")).where("__first < __last")
-    repeated = single.join(least, "suffix").where("__key > __first").groupBy("__key").agg(F.collect_list("suffix").alias("suffixes"))
+    repeated = aside.put(single.join(least, "suffix").where("__key > __first").groupBy("__key").agg(F.collect_list("suffix").alias("suffixes")), "repeated")
+    aside.drop("suffixes")
     found = state.select("__key", "settled").join(repeated, "__key", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,5 +181,5 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
     cutting = docs.join(found, "__key", "left").select("__key", "text", "settled", "suffixes")
     result = written(cutting.mapInArrow(cut, RESULT + ", kept binary" * keep), "suffix_dedup_result")
-    spark.sql(f"DROP TABLE {name}")
+    aside.close()
     return result.withColumn("__key", F.nullif("__key", F.lit((1 << 63) - 1))).withColumnRenamed("__key", key)
