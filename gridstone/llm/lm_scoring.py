@@ -5,13 +5,16 @@ and one unknown word for those only met later. They are matched: the same vocabu
 same smoothing, and background counts scaled to the target's number of words, so that a difference
 comes from the text and not from the size of a corpus. Counts cover every document, word and bigram.
 
-The counts are tables. Tasks hold the BIGRAMS most frequent bigrams with their losses; the bigrams of a
-document that are not among them are joined to the tables, counted once per document. Which way a bigram
-goes changes no result.
+Counts are one table by code: of bigrams, of words, and of words that another one follows. Tasks hold the
+BIGRAMS and WORDS most frequent codes; a text's other codes are joined to the table. Which way a code
+goes changes no result. With ``once=False`` the table leaves out codes met once: a fitted document that
+does not find a code has the one occurrence itself, on its own side, so its score stays exact; such
+models score fitted documents only.
 
 Nulls: a null text has no words; a document without words has n_words 0 and null losses. A document
-whose ``target`` is null belongs to the background. Ids may be null or repeated, each row is scored.
-With an empty corpus on either side that model is uniform. Runs jobs when called."""
+whose ``target`` is null belongs to the background. Ids may be null or repeated, each row is scored by its
+own text; equal texts are scored once. With an empty corpus on either side that model is uniform; an empty
+table gives an empty result; columns other than key and text are ignored. Runs jobs when called."""
 
 from __future__ import annotations
 
@@ -20,150 +23,186 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gridstone.llm.common import Slice, distinct, frequent, mix, sent, signed, slices, spread, written
+from gridstone.llm.common import Slice, distinct, frequent, lists, mix, sent, signed, slices, spread, written
 
-BIGRAMS = 500_000
+BIGRAMS, WORDS = 500_000, 500_000
 WEIGHT, FLOOR = 0.7, 0.5  # of the bigram; added to every word's count
 SIDES = ("target", "background")
-_COUNTED = pa.schema([("before", pa.int64()), ("word", pa.int64()), ("target", pa.int64()), ("background", pa.int64())])
+PAIR, WORD, BEFORE = 0, 1, 2  # kinds of codes, in their lowest two bits
+TEXT_BYTES = 1 << 22  # counted at once
+_COUNTED = pa.schema([("code", pa.int64()), ("target", pa.int64()), ("background", pa.int64())])
 
 
-def _bigrams(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the word before (0 at a text's start) and of the word, and rows."""
-    begin, stop, offsets = s.words()
-    word = s.word_symbols(begin, stop, folded=True)
-    before = np.zeros_like(word)
-    before[1:] = word[:-1]
-    before[offsets[:-1][np.diff(offsets) > 0]] = 0
-    return before, word, spread(offsets)[0]
+@dataclass
+class Codes:
+    """Codes of every word of a slice: of the bigram it ends, of itself, and of the word before (a text's
+    start is a word before, too); and rows."""
 
+    kinds: tuple[np.ndarray, np.ndarray, np.ndarray]
+    row: np.ndarray
 
-def _codes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(3) + word)
+    @classmethod
+    def of(cls, s: Slice) -> Codes:
+        begin, stop, offsets = s.words()
+        word = s.word_symbols(begin, stop, folded=True)
+        before = np.zeros_like(word)
+        before[1:] = word[:-1]
+        before[offsets[:-1][np.diff(offsets) > 0]] = 0
+        kind = lambda x, k: mix(x) & ~np.uint64(3) | np.uint64(k)
+        return cls((kind(before * np.uint64(3) + word, PAIR), kind(word, WORD), kind(before, BEFORE)), spread(offsets)[0])
 
 
 def _counted(documents: DataFrame) -> DataFrame:
-    """How often each bigram occurs in either corpus."""
+    """How often each code occurs in either corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marked = np.asarray(batch.column("target").to_numpy(zero_copy_only=False), bool)
-            for s in slices(batch):
-                before, word, row = _bigrams(s)
-                _, first, at = np.unique(_codes(before, word), return_index=True, return_inverse=True)
-                own = np.bincount(at, weights=marked[s.first : s.last][row], minlength=len(first)).astype(np.int64)
-                columns = (signed(before[first]), signed(word[first]), own, np.bincount(at, minlength=len(first)) - own)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_COUNTED)
-
-    return _summed(documents.mapInArrow(run, "before long, word long, target long, background long"), "before", "word")
-
+            for s in slices(batch, size=TEXT_BYTES):
+                codes = Codes.of(s)
+                own = marked[s.first : s.last][codes.row]
+                for kind in codes.kinds:
+                    code, at = np.unique(kind, return_inverse=True)
+                    n = np.bincount(at, weights=own, minlength=len(code)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (signed(code), n, np.bincount(at, minlength=len(code)) - n)], schema=_COUNTED)
 
-def _summed(counts: DataFrame, *by: str) -> DataFrame:
-    return counts.groupBy(*by).agg(*(F.sum(x).alias(x) for x in SIDES))
+    counts = documents.mapInArrow(run, "code long, target long, background long")
+    return counts.groupBy("code").agg(*(F.sum(x).alias(x) for x in SIDES))
 
 
 class Held:
-    """Losses of some bigrams, in memory."""
+    """Counts of some codes."""
 
-    def __init__(self, before: np.ndarray, word: np.ndarray, losses: np.ndarray):
-        codes = _codes(before, word)
-        order = np.argsort(codes)
-        self.codes, self.before, self.word, self.losses = codes[order], before[order], word[order], losses[:, order]
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        self.codes, first = np.unique(codes, return_index=True)
+        self.counts = counts[:, first]
 
-    def find(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which bigrams are held, and where those are."""
+    @classmethod
+    def from_rows(cls, df: DataFrame) -> Held:
+        t = df.select("code", *SIDES).toArrow()
+        return cls(np.ascontiguousarray(t["code"].to_numpy()).view(np.uint64), np.array([t[x].to_numpy() for x in SIDES], float).reshape(2, -1))
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which codes are held, and where those are."""
         if not len(self.codes):
-            return np.zeros(len(word), bool), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.codes, _codes(before, word)), len(self.codes) - 1)
-        known = (self.before[at] == before) & (self.word[at] == word)
+            return np.zeros(len(codes), bool), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        known = self.codes[at] == codes
         return known, at[known]
 
 
 @dataclass
 class Models:
-    """Counts of bigrams, words and words before, as tables; the most frequent bigrams in memory."""
+    """Counts by code as a table; those of the most frequent codes in memory."""
 
-    bigrams: DataFrame
-    words: DataFrame
-    contexts: DataFrame
-    sizes: dict[str, float]  # words of each corpus
+    counts: DataFrame
+    sizes: tuple[float, float]  # words of each corpus
     vocabulary: int  # with the unknown word
-    held: Held | None = None
-
-    def losses(self, bigrams: DataFrame) -> DataFrame:
-        """The bigrams, with counts or null ones, and their loss under each model."""
-        words = self.words.select("word", *(F.col(x).alias(f"__word_{x}") for x in SIDES))
-        contexts = self.contexts.select("before", *(F.col(x).alias(f"__before_{x}") for x in SIDES))
-        scale = {"target": 1.0, "background": self.sizes["target"] / self.sizes["background"] if all(self.sizes.values()) else 1.0}
+    once: bool
+    held: Held  # bigrams
+    held_words: Held  # words, and words before
 
-        def loss(x: str) -> Column:
-            count = lambda c: F.coalesce(F.col(c), F.lit(0))
-            single = (count(f"__word_{x}") * scale[x] + FLOOR) / (self.sizes[x] * scale[x] + FLOOR * self.vocabulary)
-            known = count(f"__before_{x}") > 0
-            pair = F.when(known, WEIGHT * count(x) / count(f"__before_{x}")).otherwise(0.0)
-            return -F.log(pair + F.when(known, 1 - WEIGHT).otherwise(1.0) * single)
 
-        return bigrams.join(contexts, "before", "left").join(words, "word", "left").withColumns({f"loss_{x}": loss(x) for x in SIDES}).select(*(c for c in bigrams.columns if c not in SIDES), *(f"loss_{x}" for x in SIDES))
+@dataclass
+class _Scorer:
+    sizes: tuple[float, float]
+    vocabulary: int
+    held: tuple[Held, Held, Held]  # by kind
+
+    def losses(self, codes: Codes, found: Held, own: np.ndarray) -> list[np.ndarray]:
+        """Loss of every word under each model. ``own``: per side and word, the count of a code found nowhere."""
+        counts = []
+        for kind, held in zip(codes.kinds, self.held, strict=True):
+            n = own.copy()
+            for table in (found, held):
+                known, at = table.find(kind)
+                n[:, known] = table.counts[:, at]
+            counts.append(n)
+        losses = []
+        for side, (pair, word, before) in enumerate(zip(*counts, strict=True)):
+            scale = self.sizes[0] / self.sizes[1] if side and all(self.sizes) else 1.0
+            single = (word * scale + FLOOR) / (self.sizes[side] * scale + FLOOR * self.vocabulary)
+            known = before > 0
+            chance = np.where(known, WEIGHT * pair / np.maximum(before, 1), 0.0)
+            losses.append(-np.log(chance + np.where(known, 1 - WEIGHT, 1.0) * single))
+        return losses
+
+
+def fit(documents: DataFrame, target: Column, text: str = "text", n_bigrams: int = BIGRAMS, n_words: int = WORDS, once: bool = True) -> Models:
+    """The models; tasks will hold ``n_bigrams`` bigrams and ``n_words`` other codes at most. Without ``once``
+    they score fitted documents only."""
+    docs = documents.select(F.col(text).alias("text"), F.coalesce(target.cast("boolean"), F.lit(False)).alias("target"))
+    total, kind = F.col("target") + F.col("background"), F.col("code").bitwiseAND(3)
+    seen = Observation()
+    whole = _counted(docs).observe(
+        seen, F.count_if(kind == WORD).alias("words"), *(F.coalesce(F.sum(F.when(kind == WORD, F.col(x))), F.lit(0)).alias(x) for x in SIDES))
+    counts = written(whole if once else whole.where(total > 1), "lm_counts")
+    r = seen.get
+    totals = counts.withColumn("total", total)
+    held = [Held.from_rows(frequent(totals.where(some), "total", n)) for some, n in ((kind == PAIR, n_bigrams), (kind != PAIR, n_words))]
+    return Models(counts, (float(r["target"]), float(r["background"])), r["words"] + 1, once, *held)
 
 
-def fit(documents: DataFrame, target: Column, text: str = "text", n_bigrams: int = BIGRAMS) -> Models:
-    """The models; tasks will hold ``n_bigrams`` bigrams at most."""
-    docs = documents.select(F.col(text).alias("text"), F.coalesce(target.cast("boolean"), F.lit(False)).alias("target"))
-    bigrams = written(_counted(docs), "lm_bigrams")
-    words = written(_summed(bigrams, "word"), "lm_words")
-    contexts = written(_summed(bigrams, "before"), "lm_contexts")
-    r = words.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in SIDES)).first()
-    models = Models(bigrams, words, contexts, {x: float(r[x]) for x in SIDES}, r.n + 1)
-    often = frequent(bigrams.withColumn("total", F.col("target") + F.col("background")), "total", n_bigrams)
-    held = models.losses(often).toArrow()
-    numbers = [np.ascontiguousarray(held[c].to_numpy()).view(np.uint64) for c in ("before", "word")]
-    models.held = Held(*numbers, np.array([held[f"loss_{x}"].to_numpy() for x in SIDES], float).reshape(2, -1))
-    return models
-
-
-def _read(docs: DataFrame, held: Held) -> DataFrame:
-    """Per row ``__key``, n_words, the sums of losses of the bigrams held, and the other ones with their counts."""
-    there = sent(docs.sparkSession, held)
-    names = ["__key", "n_words", *SIDES, "rest"]
+def _asked(texts: DataFrame, held: tuple[Held, ...]) -> DataFrame:
+    """Per ``__text`` the codes that tasks do not hold; a text is asked for once in a task."""
+    there = sent(texts.sparkSession, held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h: Held = there()
+        kept: tuple[Held, ...] = there()
+        seen: set[int] = set()
         for batch in batches:
+            new = []
+            for key in batch.column("__text").to_pylist():
+                new.append(key not in seen)
+                seen.add(key)
+            batch = batch.filter(pa.array(new, pa.bool_()))
             for s in slices(batch):
-                before, word, row = _bigrams(s)
-                known, at = h.find(before, word)
-                sums = [np.bincount(row[known], weights=x[at], minlength=len(s)).astype(float) for x in h.losses]
-                other = np.flatnonzero(~known)
-                codes, first, same = np.unique(_codes(before[other], word[other]), return_index=True, return_inverse=True)
-                of, which, times = distinct(row[other], same)
-                which = other[first[which]] if len(other) else other
-                rest = pa.StructArray.from_arrays([pa.array(signed(before[which])), pa.array(signed(word[which])), pa.array(times.astype(np.int32))], ["before", "word", "n"])
-                bounds = np.searchsorted(of, np.arange(len(s) + 1)).astype(np.int32)
-                columns = [np.bincount(row, minlength=len(s)).astype(np.int64), *sums]
-                yield pa.RecordBatch.from_arrays([batch.column("__key").slice(s.first, len(s)), *map(pa.array, columns), pa.ListArray.from_arrays(pa.array(bounds), rest)], names)
-
-    kind = docs.schema["__key"].dataType.simpleString()
-    return docs.mapInArrow(run, f"__key {kind}, n_words long, target double, background double, rest array<struct<before: long, word: long, n: int>>")
-
-
-def score(documents: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
+                codes = Codes.of(s)
+                rest = [np.flatnonzero(~h.find(k)[0]) for k, h in zip(codes.kinds, kept, strict=True)]
+                row, code, _ = distinct(np.concatenate([codes.row[r] for r in rest]), np.concatenate([k[r] for k, r in zip(codes.kinds, rest, strict=True)]))
+                keys = batch.column("__text").slice(s.first, len(s)).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(signed(code))], ["__text", "code"])
+
+    return texts.select("__text", "text").mapInArrow(run, "__text long, code long")
+
+
+def score(documents: DataFrame, models: Models, key: str = "doc_id", text: str = "text", fitted: Column | None = None) -> DataFrame:
     """Per row ``key``, n_words, the mean loss per word under each model, and their difference: the
-    lower it is, the more the text is like the target."""
-    docs = documents.select(F.col(key).alias("__key"), F.col(text).alias("text"))
-    rows = written(_read(docs, models.held).withColumn("__row", F.monotonically_increasing_id()), "lm_rows")
-    rest = rows.select("__row", F.inline("rest"))
-    summed = lambda losses: [F.sum(F.col("n") * F.coalesce(f"loss_{x}", F.lit(0.0))).alias(f"__{x}") for x in losses]
-    sums = written(
-        rest.join(models.losses(models.bigrams), ["before", "word"], "left").groupBy("__row")
-        .agg(*summed(SIDES), F.max(F.col("loss_target").isNull()).alias("more")), "lm_sums")
-    if not sums.where("more").isEmpty():  # bigrams that the models have not met
-        new = rest.join(sums.where("more").select("__row"), "__row", "left_semi").join(models.bigrams, ["before", "word"], "left_anti")
-        new = models.losses(new.withColumns({x: F.lit(0) for x in SIDES}))
-        sums = sums.drop("more").unionByName(new.groupBy("__row").agg(*summed(SIDES))).groupBy("__row").agg(*(F.sum(f"__{x}").alias(f"__{x}") for x in SIDES))
-    some = F.col("n_words") > 0
-    mean = {f"loss_{x}": F.when(some, (F.col(x) + F.coalesce(f"__{x}", F.lit(0.0))) / F.col("n_words")) for x in SIDES}
-    scored = rows.drop("rest").join(sums, "__row", "left").withColumns(mean)
-    return scored.select(F.col("__key").alias(key), "n_words", *mean, (F.col("loss_target") - F.col("loss_background")).alias("difference"))
+    lower it is, the more the text is like the target. ``fitted`` says that exactly these documents were
+    fitted, and with which target."""
+    if fitted is None and not models.once:
+        raise ValueError("models without codes met once score fitted documents only: give their target")
+    side = F.lit(None).cast("boolean") if fitted is None else F.coalesce(fitted.cast("boolean"), F.lit(False))
+    # Two hashes name a text; the first one alone gathers counts, which texts may share.
+    docs = documents.select(F.col(key).alias("__key"), F.col(text).alias("text"), side.alias("__side")).withColumns(
+        {"__text": F.xxhash64("text"), "__more": F.xxhash64(F.lit(1), "text")})
+    some = docs.where("text is not null")
+    held = (models.held, models.held_words, models.held_words)
+    counts = models.counts if fitted is None else models.counts.where("target + background > 1")
+    found = written(_asked(some, held).join(counts, "code").groupBy("__text").agg(F.collect_set(F.struct("code", *SIDES)).alias("found")), "lm_found")
+    texts = some.groupBy("__text", "__more").agg(F.first("text").alias("text"), F.max("__side").alias("__side"))
+    texts = texts.join(found, "__text", "left").select("__text", "__more", "text", "__side", *(F.col(f"found.{c}").alias(f"__{c}") for c in ("code", *SIDES)))
+    there = sent(documents.sparkSession, _Scorer(models.sizes, models.vocabulary, held))
+    names = ["__text", "__more", "n_words", *(f"loss_{x}" for x in SIDES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer: _Scorer = there()
+        for batch in batches:
+            sides = batch.column("__side").to_pylist()
+            for s in slices(batch):
+                codes = Codes.of(s)
+                code, target, background = (lists(batch, f"__{c}", s)[0] for c in ("code", *SIDES))
+                own = np.array([[x is True, x is False] for x in sides[s.first : s.last]], float).reshape(-1, 2).T
+                n = np.bincount(codes.row, minlength=len(s)).astype(np.int64)
+                losses = scorer.losses(codes, Held(code, np.array([target, background], float)), own[:, codes.row])
+                means = [np.bincount(codes.row, weights=x, minlength=len(s)) / np.maximum(n, 1) for x in losses]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(s.first, len(s)) for c in names[:2]), pa.array(n), *(pa.array(m, mask=n == 0) for m in means)], names)
+
+    losses = written(texts.mapInArrow(run, "__text long, __more long, n_words long, loss_target double, loss_background double"), "lm_losses")
+    scored = docs.select("__key", "__text", "__more").join(losses, ["__text", "__more"], "left")
+    return scored.select(
+        F.col("__key").alias(key), F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"), "loss_target", "loss_background",
+        (F.col("loss_target") - F.col("loss_background")).alias("difference"))

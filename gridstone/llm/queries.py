@@ -37,7 +37,8 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good are the target, all others the background."""
     docs = read(spark, sf_dir, "documents")
     labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg((F.max("quality") == 1).alias("__good"))
-    return score(docs, fit(docs.join(labels, "doc_id", "left"), F.col("__good")))
+    docs = docs.join(labels, "doc_id", "left")
+    return score(docs, fit(docs, F.col("__good"), once=False), fitted=F.col("__good"))
 
 
 @query

@@ -79,6 +79,29 @@ def test_lm_scores_do_not_depend_on_what_is_held(spark, n_bigrams):
     assert r.loss_target == pytest.approx(-sum(map(math.log, chances)) / 6)
 
 
+@pytest.mark.parametrize("held", [{}, {"n_bigrams": 0, "n_words": 0}, {"n_bigrams": 2, "n_words": 3}])
+def test_lm_scores_of_fitted_documents_need_no_codes_met_once(spark, held):
+    texts = [("a b a c a b", True), ("a b b", True), ("c c d a b", False), ("d e f g", None), ("", False), (None, True), ("d e f g", True), ("x y x", True), ("y z", False), ("z", None)]
+    df = spark.createDataFrame([(i % 4 or None, t, g, 1.0) for i, (t, g) in enumerate(texts)], "doc_id long, text string, good boolean, loss_target double")
+    rows = lambda scored: sorted((tuple(r) for r in scored.collect()), key=repr)
+    few = fit(df, F.col("good"), once=False, **held)
+    got, want = rows(score(df, few, fitted=F.col("good"))), rows(score(df, fit(df, F.col("good"))))
+    assert len(got) == len(texts) and few.counts.where("target + background < 2").isEmpty()
+    for g, w in zip(got, want, strict=True):
+        assert g[:2] == w[:2] and all(x == y or x == pytest.approx(y) for x, y in zip(g[2:], w[2:], strict=True))
+    with pytest.raises(ValueError, match="fitted"):
+        score(df, few)
+
+
+def test_lm_scores_of_nothing(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, good boolean")
+    assert score(none, fit(none, F.col("good"))).collect() == []
+    one = spark.createDataFrame([(1, "a b", True), (None, None, None)], none.schema)
+    r = {x.doc_id: x for x in score(one, fit(none, F.col("good"))).collect()}
+    assert r[1].n_words == 2 and r[1].difference == 0 and r[None].n_words == 0 and r[None].difference is None
+    assert {x.doc_id: x.n_words for x in score(one, fit(one, F.col("good"), once=False), fitted=F.col("good")).collect()} == {1: 2, None: 0}
+
+
 def test_urls(spark):
     urls = {
         "http://a.example.org/es/x?y": "block", "HTTP://EXAMPLE.ORG/es": "allow", "x://example.org/en/12": "block", "x://org": "allow",
