@@ -18,7 +18,7 @@ table gives an empty result; columns other than key and text are ignored. Runs j
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +33,7 @@ WEIGHT, FLOOR = 0.7, 0.5  # of the bigram; added to every word's count
 SIDES = ("target", "background")
 PAIR, WORD, BEFORE = 0, 1, 2  # kinds of codes, in their lowest two bits
 TEXT_BYTES = 1 << 22  # counted at once
+SHARES = 2  # of the codes, looked up one after the other: each shuffles its share of the rows only
 _COUNTED = pa.schema([("code", pa.int64()), ("target", pa.int64()), ("background", pa.int64())])
 
 
@@ -146,12 +147,11 @@ def fit(documents: DataFrame, target: Column, text: str = "text", n_bigrams: int
     return Models(counts, (float(r["target"]), float(r["background"])), r["words"] + 1, once, *held)
 
 
-def _asked(texts: DataFrame, held: tuple[Held, ...]) -> DataFrame:
-    """Per ``__text`` the codes that tasks do not hold; a text is asked for once in a task."""
-    there = sent(texts.sparkSession, held)
+def _asked(texts: DataFrame, there: Callable, share: int) -> DataFrame:
+    """Per ``__text`` the codes of a share that tasks do not hold; a text is asked for once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple[Held, ...] = there()
+        scorer: _Scorer = there()
         seen: set[int] = set()
         for batch in batches:
             new = []
@@ -161,8 +161,13 @@ def _asked(texts: DataFrame, held: tuple[Held, ...]) -> DataFrame:
             batch = batch.filter(pa.array(new, pa.bool_()))
             for s in slices(batch):
                 codes = Codes.of(s)
-                rest = [np.flatnonzero(~h.find(k)[0]) for k, h in zip(codes.kinds, kept, strict=True)]
-                row, code, _ = distinct(np.concatenate([codes.row[r] for r in rest]), np.concatenate([k[r] for k, r in zip(codes.kinds, rest, strict=True)]))
+                row, code = [], []
+                for kind, held in zip(codes.kinds, scorer.held, strict=True):
+                    own = np.flatnonzero((kind >> np.uint64(2)) % np.uint64(SHARES) == share)
+                    own = own[~held.find(kind[own])[0]]
+                    row.append(codes.row[own])
+                    code.append(kind[own])
+                row, code, _ = distinct(np.concatenate(row), np.concatenate(code))
                 keys = batch.column("__text").slice(s.first, len(s)).to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(signed(code))], ["__text", "code"])
 
@@ -180,12 +185,15 @@ def score(documents: DataFrame, models: Models, key: str = "doc_id", text: str =
     docs = documents.select(F.col(key).alias("__key"), F.col(text).alias("text"), side.alias("__side")).withColumns(
         {"__text": F.xxhash64("text"), "__more": F.xxhash64(F.lit(1), "text")})
     some = docs.where("text is not null")
-    held = (models.held, models.held_words, models.held_words)
+    there = sent(documents.sparkSession, _Scorer(models.sizes, models.vocabulary, (models.held, models.held_words, models.held_words)))
     counts = models.counts if fitted is None else models.counts.where("target + background > 1")
-    found = written(_asked(some, held).join(counts, "code").groupBy("__text").agg(F.collect_set(F.struct("code", *SIDES)).alias("found")), "lm_found")
     texts = some.groupBy("__text", "__more").agg(F.first("text").alias("text"), F.max("__side").alias("__side"))
-    texts = texts.join(found, "__text", "left").select("__text", "__more", "text", "__side", *(F.col(f"found.{c}").alias(f"__{c}") for c in ("code", *SIDES)))
-    there = sent(documents.sparkSession, _Scorer(models.sizes, models.vocabulary, held))
+    shares = [f"__found_{i}" for i in range(SHARES)]
+    for i, name in enumerate(shares):
+        mine = counts.where(F.pmod(F.shiftrightunsigned("code", 2), F.lit(SHARES)) == i)
+        found = _asked(some, there, i).join(mine, "code").groupBy("__text").agg(F.collect_set(F.struct("code", *SIDES)).alias(name))
+        texts = texts.join(written(found, f"lm_found_{i}"), "__text", "left")
+    texts = texts.select("__text", "__more", "text", "__side", *(F.concat(*(F.coalesce(F.col(f"{n}.{c}"), F.array().cast("array<long>")) for n in shares)).alias(f"__{c}") for c in ("code", *SIDES)))
     names = ["__text", "__more", "n_words", *(f"loss_{x}" for x in SIDES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
