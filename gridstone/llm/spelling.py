@@ -162,7 +162,8 @@ class Reduced:
         self.term = self.value[self.symbol] * self.power[self.place]
         self.sums = np.append(np.uint64(0), np.cumsum(self.term))
         self.whole = self.sums[self.first[1:]] - self.sums[self.first[:-1]]
-        self.start, self.end = (np.full(len(self.size), np.uint64(tag)) for tag in (11, 13))
+        # Farther apart than any two letters, lest a word's first letters have the hash of another's last ones.
+        self.start, self.end = (np.full(len(self.size), np.uint64(tag)) for tag in (1 << 32, 1 << 33))
         for i in range(affix):
             self.start = mix(self.start + letters[self.first[:-1] + i])
             self.end = mix(self.end + letters[self.first[1:] - 1 - i])

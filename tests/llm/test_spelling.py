@@ -88,6 +88,14 @@ def test_words_of_one_reduced_form_and_runs_of_one_letter(spark):
     assert got == brute(rows, 0)
 
 
+def test_first_letters_like_the_last_ones(spark):
+    """Pairs are met once, also where the first letters of a word differ little from its last ones, read backwards."""
+    pairs = [("cabxbaa", "cabxxbaa"), ("ccabaaaa", "caabaaaa"), ("ecgggga", "ecggega")]
+    rows = [(0, " ".join(f"{a} " * 5 + f"{b} " * 30 for a, b in pairs))]
+    got = {(r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in variants(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 0)
+
+
 def test_texts_beyond_a_slice(spark):
     rnd = random.Random(2)
     some = ["".join(rnd.choice("abcdefgh") for _ in range(7)) for _ in range(300)]
