@@ -121,13 +121,13 @@ def str2_earliest(spark, sf):
     out, state = (scratch_path(spark, f"str2e-{n}") for n in ("out", "state"))
     events = table(spark, sf, "events").select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp").alias("ts"))
     seconds = F.unix_seconds("ts")
-    low, high = events.agg(F.min(seconds), F.max(seconds)).first()
+    low, high, count = events.agg(F.min(seconds), F.max(seconds), F.count("*")).first()
     turn = F.floor((seconds - low) * 3 / F.lit(high - low + 1))
     late = (F.col("event_id") % 3 == 0) & (F.floor((seconds + 2 * 86_400 - low) * 3 / F.lit(high - low + 1)) > turn) & (turn < 2)
     parts = [events.where(turn + late.cast("int") == i) for i in range(3)]
 
     def run(stream):
-        return jobs.append_files(stateful.first_by_ingestion(stream, ["user_id", "event_type"], "ts", ["event_id"], "3 days"), out, state, mode="update")
+        return jobs.append_files(stateful.first_by_ingestion(stream, ["user_id", "event_type"], "ts", ["event_id"], "3 days", max(64, count // 5000)), out, state, mode="update")
 
     before = spark.conf.get(stateful.STORE[0], None)
     spark.conf.set(*stateful.STORE)

@@ -125,6 +125,30 @@ def test_earliest_record_is_corrected_and_forgotten(spark, store):
     assert got == {("k", "k5", False), ("m", "m2", False), (None, "null", False), ("k", "k3", True), ("x", "x", False), ("k", "k-again", False)}
 
 
+def test_keys_of_a_group_are_handled_together(spark, store):
+    """One group only: keys are told apart, nulls and large whole numbers among them, and each has its own end."""
+    landing, out, state = (scratch_path(spark, n) for n in ("group-in", "group-out", "group-state"))
+    big = (1 << 60) + 1
+    batches = [
+        [(big, "a", 10, 5), (big + 1, "a", 10, 6), (None, "a", 10, 7), (big, None, 12, 8), (big, "a", 10, 4)],
+        [(big, "a", 9, 3), (None, "a", 11, 2), (None, None, 12, None), (big, None, 11, big)],  # the first is too late
+        [(7, "x", 20, 1)],  # forgets all keys before it
+        [(big, "a", 20, 9), (7, "x", 20, 0)],
+    ]
+    for rows in batches:
+        part = spark.createDataFrame(rows, "k long, kind string, day int, n long")
+        part.write.mode("append").parquet(landing)
+        stream = jobs.follow_snapshots(spark, landing, part.schema, "parquet").withColumn("at", F.timestamp_seconds(F.lit(1704067200) + F.col("day") * 86_400))
+        query = jobs.append_files(stateful.first_by_ingestion(stream, ["k", "kind"], "at", ["n"], "2 days", groups=1), out, state, mode="update")
+        query.awaitTermination()
+        assert query.exception() is None
+    got = sorted(((r.k, r.kind, r.day, r.n, r.correction) for r in spark.read.parquet(out).collect()), key=repr)
+    assert got == sorted([
+        (big, "a", 10, 4, False), (big + 1, "a", 10, 6, False), (None, "a", 10, 7, False), (big, None, 12, 8, False), (None, None, 12, None, False),
+        (big, None, 11, big, True), (7, "x", 20, 1, False), (big, "a", 20, 9, False), (7, "x", 20, 0, True),
+    ], key=repr)
+
+
 def test_state_needs_its_store(spark):
     stream = spark.readStream.format("rate").load()
     with pytest.raises(RuntimeError):
