@@ -90,33 +90,37 @@ def load_first(batch: DataFrame, name: str, keys: Sequence[str], order_by: Seque
         same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__old_{k}")) for k in keys])
         earlier = F.struct(*order) < F.struct(*[F.col(f"__old_{c}").alias(c) for c in order])
         fate = F.when(F.col("__stored").isNull(), "added").when(earlier, "replaced").otherwise("known")
-        judged = written_once(entry.join(known, same, "left").withColumn("__fate", fate), "load_judged")
+        # What is known already changes nothing, and may be nearly all: it is only counted.
+        judged = written_once(entry.join(known, same, "left").withColumn("__fate", fate).where("__fate <> 'known'"), "load_judged")
     else:
         judged = entry.withColumn("__fate", F.lit("added"))
     counts = {r["__fate"]: r["count"] for r in judged.groupBy("__fate").count().collect()}
-    taken = judged.where("__fate <> 'known'")
-    gaining = taken.select(*partition_by).distinct().collect()
+    known_already = first.count() - sum(counts.values())
+    gaining = judged.select(*partition_by).distinct().collect()
     losing = [] if "replaced" not in counts else judged.where("__fate = 'replaced'").select(*[F.col(f"__old_{c}").alias(c) for c in partition_by]).distinct().collect()
     affected = list(dict.fromkeys([*gaining, *losing]))
     if not affected:
-        return Loaded(0, 0, counts.get("known", 0), 0)
+        return Loaded(0, 0, known_already, 0)
 
     matches = lambda a, b: reduce(Column.__and__, [a[k].eqNullSafe(b[k]) for k in keys])
-    written = taken.select(*keys)
-    rows = first.join(written, matches(first, written), "left_semi").drop("__content", "__bucket")
+    written = judged.select(*keys)
+    # Where all rows of a load are taken, as in a first load, none need be looked up.
+    rows = first if not known_already else first.join(written, matches(first, written), "left_semi")
+    rows = rows.drop("__content", "__bucket")
+    filled = set(gaining)
     if spark.catalog.tableExists(name):
+        # Added keys have no row yet, unless a load broke off between the table and its directory.
         stored = spark.table(name).where(_within(affected, partition_by))
-        rows = rows.unionByName(stored.join(written, matches(stored, written), "left_anti"))
-    rows = written_once(rows, "load_partitions")
-    filled = set(rows.select(*partition_by).distinct().collect())
+        rows = written_once(rows.unionByName(stored.join(written, matches(stored, written), "left_anti")), "load_partitions")
+        filled = set(rows.select(*partition_by).distinct().collect())
     _replace(rows, name, partition_by)
     for partition in losing:
         if partition not in filled:
             _drop(spark, name, partition, partition_by)
 
-    entries = taken.select(*keys, *order, *[c for c in partition_by if c not in (*keys, *order)], "__bucket")
+    entries = judged.select(*keys, *order, *[c for c in partition_by if c not in (*keys, *order)], "__bucket")
     if spark.catalog.tableExists(directory):
         old = spark.table(directory).where(F.col("__bucket").isin([r[0] for r in entries.select("__bucket").distinct().collect()]))
-        entries = entries.unionByName(old.join(written, matches(old, written), "left_anti"))
-    _replace(written_once(entries, "load_keys"), directory, ["__bucket"])
-    return Loaded(counts.get("added", 0), counts.get("replaced", 0), counts.get("known", 0), len(affected))
+        entries = written_once(entries.unionByName(old.join(written, matches(old, written), "left_anti")), "load_keys")
+    _replace(entries, directory, ["__bucket"])
+    return Loaded(counts.get("added", 0), counts.get("replaced", 0), known_already, len(affected))

@@ -8,6 +8,8 @@ from pyspark.sql import Row
 
 from conftest import plan_of
 from gridstone.operators.clean import keep_first
+from gridstone.session import written_once
+from gridstone.sources import incremental
 from gridstone.sources.incremental import _within, directory_of, load_first
 
 TYPES = "id long, part string, at long, seq long, note string"
@@ -67,6 +69,23 @@ def test_a_load_that_lost_its_directory_entry_can_be_repeated(spark, name):
     assert stored(spark, name) == [(1, "a", 10, 0, "x"), (2, "a", 3, 0, "x")]
 
 
+def test_rows_are_staged_only_where_a_load_changes_some(spark, name, monkeypatch):
+    staged = {}
+
+    def noted(df, label):
+        back = written_once(df, label)
+        staged[label] = back.count()
+        return back
+
+    monkeypatch.setattr(incremental, "written_once", noted)
+    some = [(i, "ab"[i % 2], i, 0, "x") for i in range(20)]
+    assert load(spark, name, some).added == 20 and staged == {"load_first": 20}
+    staged.clear()
+    assert load(spark, name, some).known == 20 and staged == {"load_first": 20, "load_judged": 0}
+    result = load(spark, name, [(0, "b", -1, 0, "y"), (1, "b", 5, 0, "y"), (20, "a", 5, 0, "y")])
+    assert (result.added, result.replaced, result.known) == (1, 1, 1) and staged["load_judged"] == 2
+
+
 def test_only_affected_partitions_are_read(spark, name):
     load(spark, name, [(i, p, i, 0, "x") for i, p in enumerate("abcd" * 5)])
     some = spark.table(name).where(_within([Row(part="a"), Row(part=None)], ["part"]))
