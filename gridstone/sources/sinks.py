@@ -41,16 +41,14 @@ def clustered(df: DataFrame, partition_by: Sequence[str], files_per_partition: i
     """Rows grouped by output partition, so that tasks do not each open every partition. Adaptive
     execution splits a large partition over several tasks and joins small ones.
 
-    ``files_per_partition`` splits every partition over that many tasks instead."""
+    ``files_per_partition`` first deals every partition over that many tasks."""
     if not partition_by:
         return df
     if files_per_partition <= 1:
         return df.hint("rebalance", *partition_by)
-    keys = [F.col(c) for c in partition_by]
-    if files_per_partition > 1:
-        content = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        keys.append(F.pmod(F.xxhash64(*content), F.lit(files_per_partition)))
-    return df.repartition(*keys)
+    content = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    share = F.pmod(F.xxhash64(*content), F.lit(files_per_partition))
+    return df.withColumn("__share", share).hint("rebalance", *partition_by, "__share").drop("__share")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append",

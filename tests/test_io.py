@@ -122,3 +122,16 @@ def test_partition_refresh_is_repeatable(spark, tmp_path):
     refresh("s1")
     refresh("s2")
     assert sorted((str(r.month), r.n) for r in spark.read.parquet(out).collect()) == [("2025-01", 1), ("2025-02", 7)]
+
+
+def test_a_large_share_of_a_partition_is_split(spark, tmp_path):
+    """However large the input, a task writes about the advisory size."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "64k")
+    try:
+        df = spark.range(0, 200_000, 1, 8).withColumns({"kind": F.lit("a"), "noise": F.xxhash64("id")})
+        written = sinks.write_parquet(df, str(tmp_path / "split"), ["kind"], files_per_partition=2)
+    finally:
+        spark.conf.set(setting, before)
+    assert written.records == 200_000 and len(spark.read.parquet(written.path).inputFiles()) > 4
