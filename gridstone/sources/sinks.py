@@ -69,10 +69,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 
 
 def write_snapshot(df: DataFrame, path: str, run_time: datetime) -> Written:
-    """Raw JSON documents in a folder named after the run."""
+    """Raw JSON documents, gzipped, in a folder named after the run."""
     target = f"{path.rstrip('/')}/ingestion_ts={run_time:%Y%m%d_%H%M%S}"
     counted, seen = _counted(df)
-    counted.write.mode("append").json(target)
+    counted.write.mode("append").json(target, compression="gzip")
     return Written(target, _seen(seen))
 
 

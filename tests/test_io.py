@@ -135,3 +135,10 @@ def test_a_large_share_of_a_partition_is_split(spark, tmp_path):
     finally:
         spark.conf.set(setting, before)
     assert written.records == 200_000 and len(spark.read.parquet(written.path).inputFiles()) > 4
+
+
+def test_snapshots_are_compressed(spark, tmp_path):
+    written = sinks.write_snapshot(spark.range(1000).select("id", F.lit("some text " * 20).alias("t")), str(tmp_path / "raw"), datetime(2025, 1, 1))
+    files = list((tmp_path / "raw").rglob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files) and sum(f.stat().st_size for f in files) < 50_000
+    assert spark.read.json(written.path).count() == 1000
