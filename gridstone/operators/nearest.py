@@ -11,20 +11,27 @@ The best point of that leaf bounds the answer. Then it goes down again with the
 that is not farther away, mostly one or two, and the points found within the bound are compared.
 Every level is an equi-join by node. Which of these joins are broadcast is Spark's choice, from the
 sizes of the stored tables; then positions stay where their first exchange put them.
+
+Positions that lie together go down together: those of one tile of the extent as the box around them,
+which finds all points that are nearest to any place in it. Each row then compares these few. Tiles are about as
+many as points. A tile that has more than ``MANY`` such points, as beside a dense cluster, or comes to four times as many boxes, leaves
+its positions to be searched one by one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 from gridstone.operators.summarise import global_rank
 from gridstone.session import written_once
 
 LEAF, FAN, TOP = 16, 8, 32
+MANY = 256
 _BOX = ("x0", "y0", "x1", "y1")
 _CURVE_BITS = 31
 # Rows without a position are spread over so many keys.
@@ -125,8 +132,8 @@ def nearest_join(
     index was built for, or 5000 m. An index answers any smaller distance.
 
     Every left row is kept exactly once; without coordinates or match its new columns are null. The left
-    side is evaluated once and written, as it is read for its positions and again for its rows. Every
-    position is searched once, however many rows have it; rows without one are spread over many keys."""
+    side is evaluated once and written, as it is read for its tiles and again for its rows. Every tile is
+    searched once, however many rows are in it; rows without a position are spread over many keys."""
     index = right if isinstance(right, NearestIndex) else build_index(
         right, right_xy, right_columns, 5000 if max_distance is None else max_distance, tie_break
     )
@@ -139,46 +146,112 @@ def nearest_join(
     x, y = (F.col(f"`{c}`").cast("double") for c in left_xy)
     left = left.select(*kept)
     hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
-    # No reference position is NaN, so these keys never match; the hash spreads them.
-    spread = F.pmod(F.xxhash64(*hashed), F.lit(_NULL_SALTS)).cast("double")
+    # No tile is negative, so these keys never match; the hash spreads them.
+    spread = -1 - F.pmod(F.xxhash64(*hashed), F.lit(_NULL_SALTS))
     located = _located(x, y)
-    keyed = written_once(left.withColumns({
-        "__x": F.when(located, x).otherwise(spread), "__y": F.when(located, y).otherwise(F.lit(float("nan"))),
-    }), "nearest_left")
-    # Few bytes and much work a position: dealt anew, lest small partitions are joined to a few tasks.
+    keyed = left.withColumns({"__x": F.when(located, x), "__y": F.when(located, y)})
+    keyed = written_once(keyed.withColumn("__tile", F.coalesce(_tile(index, max_distance), spread)), "nearest_left")
+    asked, answered = Observation(), Observation()
+    tiles = keyed.where("__tile >= 0").groupBy("__tile").agg(
+        *[f(f"__{a}").alias(f"__{a}{k}") for k, f in enumerate((F.min, F.max)) for a in "xy"]).observe(asked, F.count(F.lit(1)).alias("n"))
+    near = written_once(candidates(tiles, index, max_distance).observe(answered, F.count(F.lit(1)).alias("n")), "nearest_candidates")
+
+    def placed(rows: DataFrame, d2: Column, place: Column) -> DataFrame:
+        """The rows with what was found."""
+        near_enough = F.sqrt(d2) <= float(max_distance)
+        found = [F.when(near_enough, place[c]).alias(c) for c in index.columns]
+        return rows.select(*kept, *found, *([F.when(near_enough, F.sqrt(d2)).alias(distance_column)] if distance_column else []))
+
+    def settled(rows: DataFrame) -> DataFrame:
+        """The nearest of the candidates: the first in their order, if several are as near."""
+        squares = F.transform("__near", lambda p: _squared(F.col("__x") - p["x"], F.col("__y") - p["y"]))
+        rows = rows.select(*kept, "__near", _once(squares, "__squares"))
+        least = F.array_min("__squares")
+        first = F.get("__near", F.array_position("__squares", least).cast("int") - 1)
+        rows = rows.select(*kept, F.inline(F.array(F.struct(least.alias("__d2"), first["place"].alias("__place")))))
+        return placed(rows, F.col("__d2"), F.col("__place"))
+
+    joined = keyed.join(near, "__tile", "left")
+    if not index.top or asked.get.get("n", 0) == answered.get.get("n", 0):
+        return settled(joined)
+    # Positions of tiles without an answer: dealt anew, lest small partitions are joined to a few tasks.
     # In the order of the grouping that made them distinct, Spark would take this for done.
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    positions = keyed.where(~F.isnan("__y")).select("__x", "__y").distinct().repartition(tasks, "__y", "__x")
-    best = search(positions, index, max_distance)
-    found = best.select(
-        "__x", "__y", *[F.col(f"__hit.place.{c}").alias(c) for c in index.columns],
-        *([F.sqrt("__hit.d2").alias(distance_column)] if distance_column else []),
-    )
-    return keyed.join(found, ["__x", "__y"], "left").drop("__x", "__y")
+    left_over = keyed.where("__tile >= 0").join(near.select("__tile"), "__tile", "left_anti")
+    best = search(left_over.select("__x", "__y").distinct().repartition(_tasks(left), "__y", "__x"), index, max_distance)
+    one_by_one = placed(left_over.join(best, ["__x", "__y"], "left"), F.col("__hit.d2"), F.col("__hit.place"))
+    return settled(joined.where("__tile < 0 or __near is not null")).unionAll(one_by_one)
 
 
-def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:
-    """``__hit struct<d2, place>`` of the nearest point of each distinct position (__x, __y) that has one.
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    Boxes and points are rows in the bounded descent: that runs as generated code, which functions on
-    arrays do not."""
-    x, y, zero = F.col("__x"), F.col("__y"), F.lit(0.0)
-    at = ["__x", "__y"]
+
+def _squared(dx: Column, dy: Column) -> Column:
+    return dx * dx + dy * dy
+
+
+def _once(value: Column, name: str) -> Column:
+    """One-element inline: later filters must not repeat the expression."""
+    return F.inline(F.array(F.struct(value.alias(name))))
+
+
+def _tile(index: NearestIndex, max_distance: float) -> Column:
+    """Number of the tile of the position (__x, __y), null without one. About as many tiles as points are dealt
+    over the extent; what lies beyond their reach is moved to its edge. No more than four times as many in all."""
+    if not index.top:
+        return F.when(F.col("__x").isNotNull() & F.col("__y").isNotNull(), F.lit(0).cast("long"))
+    per_axis = math.sqrt(index.extent["points"])
+    area = math.prod(math.sqrt(max(index.extent[f"{a}1"] - index.extent[f"{a}0"], 0.0)) for a in "xy")
+
+    def step(a: str) -> Column:
+        low, high = index.extent[f"{a}0"] - max_distance, index.extent[f"{a}1"] + max_distance
+        side = max(area / per_axis, (high - low) / (2 * per_axis)) or 1.0
+        return F.floor((F.greatest(F.least(F.col(f"__{a}"), F.lit(high)), F.lit(low)) - low) / side)
+
+    return step("x") * (2 * math.ceil(per_axis) + 2) + step("y")
+
+
+def candidates(tiles: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:
+    """``__near array<struct<place, x, y>>`` per tile: every point that is nearest to some place in the box
+    (__x0, __y0, __x1, __y1) of the tile, in the order of places. Tiles with none in reach and those with more than ``MANY`` have no row."""
     if not index.top:
-        return index.leaves.select(F.inline("points")).select(F.col("x").alias("__x"), F.col("y").alias("__y"), F.struct(F.lit(0.0).alias("d2"), "place").alias("__hit"))
+        return index.leaves.select(F.col("id").alias("__tile"), F.col("points").alias("__near"))
+    box = [f"__{b}" for b in _BOX]
+    # Few bytes and much work a tile, see below; the box comes first, as the tile alone would be taken for done.
+    dealt = tiles.repartition(_tasks(tiles), "__x0", "__tile")
+    # The descent is bounded by the points of one leaf; all that it came to give a closer bound.
+    points = _reached(dealt, ["__tile", *box], box, index, max_distance, 4 * MANY)
+    x, y, (x0, y0, x1, y1) = F.col("x"), F.col("y"), (F.col(c) for c in box)
+    points = points.withColumns({"__far": F.min(_most(x, y, x0, y0, x1, y1)).over(Window.partitionBy("__tile", *box))})
+    points = points.where(_least(x, y, x, y, x0, y0, x1, y1) <= F.col("__far"))
+    return points.groupBy("__tile", *box).agg(F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("__near")).where(F.size("__near") <= MANY).select("__tile", "__near")
+
+
+def _least(a0: Column, b0: Column, a1: Column, b1: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Smallest squared distance of two boxes."""
+    return _squared(F.greatest(a0 - x1, x0 - a1, F.lit(0.0)), F.greatest(b0 - y1, y0 - b1, F.lit(0.0)))
 
-    def near() -> Column:
-        """Squared distance of a box."""
-        dx, dy = (F.greatest(F.col(f"{a}0") - c, c - F.col(f"{a}1"), zero) for a, c in (("x", x), ("y", y)))
-        return dx * dx + dy * dy
 
-    def once(value: Column, name: str) -> Column:
-        """One-element inline: later filters must not repeat the expression."""
-        return F.inline(F.array(F.struct(value.alias(name))))
+def _most(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Largest squared distance of a point to a place in a box."""
+    return _squared(F.greatest(x - x0, x1 - x), F.greatest(y - y0, y1 - y))
 
-    def d2(p: Column) -> Column:
-        return (x - p["x"]) * (x - p["x"]) + (y - p["y"]) * (y - p["y"])
 
+def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:
+    """``__hit struct<d2, place>`` of the nearest point of each distinct position (__x, __y) that has one."""
+    at = ["__x", "__y"]
+    points = _reached(positions, at, [*at, *at], index, max_distance).select(*at, _squared(F.col("__x") - F.col("x"), F.col("__y") - F.col("y")).alias("d2"), "place")
+    hits = points.where(f"sqrt(d2) <= {float(max_distance)!r}D")
+    return hits.groupBy(*at).agg(F.min(F.struct("d2", "place")).alias("__hit"))
+
+
+def _reached(asked: DataFrame, at: list[str], box: list[str], index: NearestIndex, max_distance: float, many: int | None = None) -> DataFrame:
+    """The points (place, x, y) that may be nearest to some place in each asked box; ``at`` names the columns
+    that stay, ``box`` those of its corners. What comes to more than ``many`` boxes of a level is dropped.
+
+    Boxes and points are rows in the bounded descent: that runs as generated code, which functions on
+    arrays do not. Rounding keeps order, so neither distance is beyond that of a place within the box."""
+    x0, y0, x1, y1 = (F.col(c) for c in box)
     # The exact test of the distance is on the root; the square may be off in its last bits.
     reach = F.lit(float(max_distance) ** 2 * (1 + 1e-12))
     top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", "curve", *_BOX)]) for r in index.top])
@@ -186,21 +259,28 @@ def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> Da
     leaves = index.leaves.select("id", "points")
 
     def entered(state: DataFrame, boxes: Column | DataFrame, *kept: str) -> DataFrame:
-        """The children of the boxes that positions have come to."""
+        """The children of the boxes that were come to."""
         if isinstance(boxes, DataFrame):
             state, boxes = state.join(boxes, "id"), F.col("children")
         return state.select(*at, *kept, F.inline(boxes))
 
-    probe = positions.withColumn("__curve", _along_curve(index.extent, "__x", "__y"))
+    def few(state: DataFrame) -> DataFrame:
+        if many is None:
+            return state
+        return state.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*at))).where(f"__n <= {many}").drop("__n")
+
+    middle = asked.select(*at, (x0 / 2 + x1 / 2).alias("__mx"), (y0 / 2 + y1 / 2).alias("__my"))
+    probe = middle.select(*at, _along_curve(index.extent, "__mx", "__my").alias("__curve"))
     for boxes in levels:
         if isinstance(boxes, DataFrame):
             probe, boxes = probe.join(boxes, "id"), F.col("children")
         begun = F.size(F.filter(boxes, lambda b: b["curve"] <= F.col("__curve")))
-        probe = probe.select(*at, "__curve", once(F.get(boxes, F.greatest(begun - 1, F.lit(0)))["id"], "id"))
-    found = F.array_min(F.transform("points", d2))
-    state = probe.join(leaves, "id").select(*at, once(F.least(reach, found), "__bound"))
+        probe = probe.select(*at, "__curve", _once(F.get(boxes, F.greatest(begun - 1, F.lit(0)))["id"], "id"))
+    found = F.array_min(F.transform("points", lambda p: _most(p["x"], p["y"], x0, y0, x1, y1)))
+    state = probe.join(leaves, "id").select(*at, _once(F.least(reach, found), "__bound"))
     for boxes in levels:
-        state = entered(state, boxes, "__bound").where(near() <= F.col("__bound")).select(*at, "__bound", "id")
-    points = state.join(leaves, "id").select(*at, "__bound", F.explode("points").alias("p"))
-    hits = points.select(*at, "__bound", d2(F.col("p")).alias("d2"), "p.place").where(f"d2 <= __bound and sqrt(d2) <= {float(max_distance)!r}D")
-    return hits.groupBy(*at).agg(F.min(F.struct("d2", "place")).alias("__hit"))
+        inside = _least(*(F.col(b) for b in _BOX), x0, y0, x1, y1) <= F.col("__bound")
+        state = few(entered(state, boxes, "__bound").where(inside).select(*at, "__bound", "id"))
+    points = state.join(leaves, "id").select(*at, "__bound", F.inline("points"))
+    x, y = F.col("x"), F.col("y")
+    return points.where(_least(x, y, x, y, x0, y0, x1, y1) <= F.col("__bound")).select(*at, "place", "x", "y")

@@ -136,6 +136,26 @@ def test_random_points_equal_brute_force(spark, left, right, limit):
     assert run(spark, lefts, rights, limit) == brute(lefts, rights, limit)
 
 
+@pytest.mark.parametrize("many", [1, 6, 256])
+def test_positions_of_a_tile_share_their_candidates(spark, monkeypatch, many):
+    """Ties, a dense cluster and positions beyond the extent, with few, some and all tiles answered as a whole."""
+    monkeypatch.setattr(nearest, "MANY", many)
+    right = [(f"P{i:03d}", "D", float(i % 20 * 10), float(i // 20 * 10)) for i in range(399, -1, -1)]
+    right += [(f"C{i:02d}", "D", 95.0 + i / 1e4, 95.0) for i in range(60)]
+    left = [(i, float((i * 37) % 401 - 100), float((i * 53) % 411 - 100)) for i in range(500)]
+    left += [(500 + i, 5.0 + i % 19 * 10, 5.0 + i // 19 * 10) for i in range(60)] + [(600, None, 1.0), (601, 1e9, -1e9), (602, 95.00305, 95.0)]
+    assert run(spark, left, right, 60) == brute(left, right, 60)
+
+
+def test_a_tile_is_searched_once(spark):
+    """The descent begins with a row a tile, not one a position."""
+    right = [(f"P{i:03d}", "D", float(i % 20), float(i // 20)) for i in range(400)]
+    index = build_index(spark.createDataFrame(right, RIGHT), max_distance=5000)
+    boxes = spark.createDataFrame([(i, i % 20 - 0.3, i // 20 - 0.3, i % 20 + 0.3, i // 20 + 0.3) for i in range(400)], "__tile long, __x0 double, __y0 double, __x1 double, __y1 double")
+    lists = {r[0]: {p.place.postcode for p in r[1]} for r in nearest.candidates(boxes, index, 5000).collect()}
+    assert len(lists) == 400 and all(f"P{i:03d}" in found and len(found) <= 9 for i, found in lists.items())
+
+
 def test_no_nested_loops(spark, path):
     left = spark.createDataFrame([(1, 3.0, 4.0)], LEFT)
     right = spark.createDataFrame([("A", "D", 0.0, 0.0)], RIGHT)
