@@ -208,7 +208,8 @@ def _tile(index: NearestIndex, max_distance: float) -> Column:
         side = max(area / per_axis, (high - low) / (2 * per_axis)) or 1.0
         return F.floor((F.greatest(F.least(F.col(f"__{a}"), F.lit(high)), F.lit(low)) - low) / side)
 
-    return step("x") * (2 * math.ceil(per_axis) + 2) + step("y")
+    # The bounds of a step do not keep null.
+    return F.when(F.col("__x").isNotNull() & F.col("__y").isNotNull(), step("x") * (2 * math.ceil(per_axis) + 2) + step("y"))
 
 
 def candidates(tiles: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:

@@ -147,6 +147,13 @@ def test_positions_of_a_tile_share_their_candidates(spark, monkeypatch, many):
     assert run(spark, left, right, 60) == brute(left, right, 60)
 
 
+def test_no_tile_without_a_position(spark):
+    """Rows without a position are spread; a tile would gather them."""
+    index = build_index(spark.createDataFrame([(f"P{i}", "D", float(i), float(i % 7)) for i in range(50)], RIGHT))
+    rows = spark.createDataFrame([(None, None), (1.0, None), (None, 1.0), (1.0, 1.0), (1e300, -1e300)], "__x double, __y double")
+    assert [r[0] is None for r in rows.select(nearest._tile(index, 5000)).collect()] == [True, True, True, False, False]
+
+
 def test_a_tile_is_searched_once(spark):
     """The descent begins with a row a tile, not one a position."""
     right = [(f"P{i:03d}", "D", float(i % 20), float(i // 20)) for i in range(400)]
