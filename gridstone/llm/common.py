@@ -236,6 +236,24 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by a key, cut anew so that those of one key stay together."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        last = batch.column(key)[-1].as_py()
+        if kept and kept[-1].column(key)[-1].as_py() == last:
+            kept.append(batch)
+            continue
+        cut = int(np.searchsorted(batch.column(key).to_numpy(), last))
+        if kept or cut:
+            yield pa.concat_batches([*kept, batch.slice(0, cut)])
+        kept = [batch.slice(cut)]
+    if kept:
+        yield pa.concat_batches(kept)
+
+
 def missing_last(key: str) -> Column:
     """An id to group and compare by: null counts as the largest."""
     return F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))

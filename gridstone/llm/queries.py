@@ -12,7 +12,7 @@ from gridstone.llm.common import read
 from gridstone.llm.decontaminate import find_items
 from gridstone.llm.hard_negatives import mine
 from gridstone.llm.language import held_out, identify, learn
-from gridstone.llm.lm_scoring import fit, score
+from gridstone.llm.lm_scoring import fit, score, sliced
 from gridstone.llm.minhash_dedup import near_duplicates
 from gridstone.llm.mixing import mix_sources
 from gridstone.llm.neighbours import nearest
@@ -37,8 +37,8 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good are the target, all others the background."""
     docs = read(spark, sf_dir, "documents")
     labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg((F.max("quality") == 1).alias("__good"))
-    docs = docs.join(labels, "doc_id", "left")
-    return score(docs, fit(docs, F.col("__good"), once=False), fitted=F.col("__good"))
+    with sliced(docs.join(labels, "doc_id", "left").select("doc_id", "text", "__good")) as docs:
+        return score(docs, fit(docs, F.col("__good"), once=False), fitted=F.col("__good"))
 
 
 @query

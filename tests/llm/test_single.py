@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridstone.llm import mixing
+from gridstone.llm import lm_scoring, mixing
 from gridstone.llm.language import held_out, identify, learn
 from gridstone.llm.lm_scoring import FLOOR, WEIGHT, fit, score
 from gridstone.llm.mixing import mix_sources
@@ -93,6 +93,30 @@ def test_lm_scores_of_fitted_documents_need_no_codes_met_once(spark, held):
         score(df, few)
 
 
+@pytest.mark.parametrize("held", [{}, {"n_bigrams": 0, "n_words": 0}])
+def test_lm_codes_travel_once_a_slice(spark, monkeypatch, held):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randrange(1, 30))) for _ in range(60)] + [None, "", "a" * 3000, f"{'b ' * 900}z"]
+    df = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate(texts)], "doc_id long, text string, good boolean").coalesce(2)
+    rows = lambda scored: sorted((tuple(r) for r in scored.collect()), key=repr)
+    want, travelled, by_bucket = rows(score(df, fit(df, F.col("good")))), [], lm_scoring._by_bucket
+    monkeypatch.setattr(lm_scoring, "_by_bucket", lambda packed: travelled.append(packed.collect()) or by_bucket(packed))
+    for size in (200, 1 << 22):  # many slices, of a few texts each or of one long text; one slice a task
+        monkeypatch.setattr(lm_scoring, "TEXT_BYTES", size)
+        monkeypatch.setattr(lm_scoring, "COMBINED", size)
+        monkeypatch.setattr(lm_scoring, "ROW_CODES", 1 + size // 100)
+        travelled.clear()
+        with lm_scoring.sliced(df) as docs:
+            slices = docs.select("__slice").distinct().count()
+            got = rows(score(docs, fit(docs, F.col("good"), once=False, **held), fitted=F.col("good")))
+        assert (5 if size == 200 else 0) < slices <= (64 if size == 200 else 2)
+        for g, w in zip(got, want, strict=True):
+            assert g[:2] == w[:2] and all(x == y or x == pytest.approx(y) for x, y in zip(g[2:], w[2:], strict=True))
+        asked = [(r["__slice"], c) for r in travelled[1] for c in r.code if r["__slice"] >= 0]
+        assert len(asked) == len(set(asked)) <= slices * (9 * 11 + 11)
+        assert bool(asked) or not held
+
+
 def test_lm_scores_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string, good boolean")
     assert score(none, fit(none, F.col("good"))).collect() == []
