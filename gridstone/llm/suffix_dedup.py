@@ -25,15 +25,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridstone.llm.common import (
-    Aside, Slice, Spans, belongs, covered, distinct, in_two_places, lists, missing_last, record, signed, slices, sliding, written,
+    Aside, Slice, Spans, belongs, covered, distinct, lists, missing_last, mix, record, sample_frequent, signed, slices, sliding, whole_groups, written,
 )
 
 DEPTH, GRAM, LONGER = 50, 20, 32
 PIECE = 1 << 17  # text hashed at once: its arrays stay in the cache
+TOGETHER = 1 << 20  # digits packed at once
+_BUCKET_BITS = 12  # of the ranges that digits are dealt into; a task judges one after the other
+_PACKED = pa.schema([("bucket", pa.int32()), ("__key", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64()))])
 _DIGIT_BITS = np.uint64(48)
 RESULT = "__key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -97,6 +101,50 @@ def _rows(df: DataFrame, step, schema: str, names: tuple[str, ...]) -> DataFrame
     return df.mapInArrow(run, schema)
 
 
+def _in_two_documents(docs: DataFrame, step, n_docs: int) -> DataFrame:
+    """(__key, sig) of the digits that two keys have, among what ``step`` gives of each slice. They travel packed,
+    one row for each range of digits; those known to be frequent need no judgement and are spread over all ranges."""
+    shape = "__key long, sig long"
+    common = np.array(sample_frequent(lambda d: _rows(d, step, shape, ("sig",)), docs, "__key", n_docs), np.int64)
+    out = pa.schema([("__key", pa.int64()), ("sig", pa.int64())])
+
+    def dealt(kept: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        key, sig = (np.concatenate(x) for x in zip(*kept, strict=True))
+        bucket = (mix(np.where(np.isin(sig, common), key, sig).view(np.uint64)) >> np.uint64(64 - _BUCKET_BITS)).astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        offsets = pa.array(np.append(first, len(bucket)), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), *(pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (key, sig))], schema=_PACKED)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size = [], 0
+        for batch in batches:
+            for s in slices(batch, size=PIECE):
+                row, sig = step(batch, s)
+                if len(row):
+                    kept.append((_keys(batch, s)[row], signed(sig)))
+                    size += len(row)
+                if size >= TOGETHER:
+                    yield dealt(kept)
+                    kept, size = [], 0
+        if kept:
+            yield dealt(kept)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in whole_groups(batches, "bucket"):
+            key, sig = (pc.list_flatten(group.column(c)).to_numpy() for c in ("__key", "sig"))
+            order = np.argsort(sig)
+            key, sig = key[order], sig[order]
+            first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+            twice = np.minimum.reduceat(key, first) < np.maximum.reduceat(key, first)
+            keep = np.repeat(twice | np.isin(sig[first], common), np.diff(np.append(first, len(sig))))
+            yield record(out, key[keep], sig[keep])
+
+    packed = docs.mapInArrow(pack, "bucket int, __key array<long>, sig array<long>")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(judge, shape)
+
+
 def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: bool = True, depth: int = DEPTH, gram: int = GRAM, longer_gram: int = LONGER) -> DataFrame:
     """Per document ``key``, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep``, the kept
     bytes, after each byte covered by a string of ``depth`` bytes that also starts in a document
@@ -111,7 +159,7 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
     # Pass 1: digits that two documents have.
     n_docs = docs.count()
-    marks = aside.put(in_two_places(lambda d: _rows(d, digits, "__key long, sig long", ("sig",)), docs, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
+    marks = aside.put(_in_two_documents(docs, digits, n_docs).groupBy("__key").agg(F.collect_list("sig").alias("digits")), "digits")
 
     # Pass 2: runs of such suffixes as whole strings.
     def runs(batch, s):
@@ -141,7 +189,7 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
         return distinct(row, x.digits(longer_gram)[start])[:2]
 
     opened = docs.join(state.where(F.size("open") > 0).select("__key", "open"), "__key")
-    narrowed = in_two_places(lambda d: _rows(d, longer, "__key long, sig long", ("sig",)), opened, n_docs)
+    narrowed = _in_two_documents(opened, longer, n_docs)
     narrowed = aside.put(narrowed.groupBy("__key").agg(F.collect_list("sig").alias("longer")).join(state.select("__key", "open"), "__key"), "longer")
 
     # Pass 4: full depth.

@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 
+from gridstone.llm import suffix_dedup
 from gridstone.llm.suffix_dedup import remove_earlier
 from gridstone.llm.window_dedup import remove_repeated
 
@@ -76,3 +77,33 @@ def test_rows_without_an_id_come_last(spark):
 def test_empty_table_and_no_leftover_tables(spark, docs):
     assert remove_earlier(docs.where("false")).collect() == [] and remove_repeated(docs.where("false")).collect() == []
     assert not [t for t in spark.catalog.listTables() if "dedup" in t.name]
+
+
+@pytest.mark.parametrize("together", [7, 1 << 20])
+def test_digits_of_two_documents_travel_packed(spark, monkeypatch, together):
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    rng = random.Random(3)
+    everywhere = "".join(rng.choices("abcdefgh", k=120))
+    texts = [everywhere + "".join(rng.choices("abcdefgh", k=rng.randrange(200))) for _ in range(40)] + [None, "short", "x" * 300]
+    texts += [texts[3][100:] + "tail", "x" * 200]
+    df = spark.createDataFrame(list(enumerate(texts)), "__key long, text string").repartition(3).unionAll(spark.createDataFrame([(42, "y" * 300), (42, "y" * 300)], "__key long, text string")).persist()
+
+    def digits(batch, s):
+        x = suffix_dedup.Suffixes(s, 50, 20)
+        row, digit, _ = suffix_dedup.distinct(x.run_row, x.run_digit)
+        return row, digit
+
+    every = [tuple(r) for r in suffix_dedup._rows(df, digits, "__key long, sig long", ("sig",)).collect()]
+    keys = {}
+    for k, sig in every:
+        keys.setdefault(sig, set()).add(k)
+    assert max(map(len, keys.values())) >= 40  # such digits are known to be frequent beforehand
+    found = suffix_dedup._in_two_documents(df, digits, len(texts))
+    assert sorted(map(tuple, found.collect())) == sorted((k, sig) for k, sig in every if len(keys[sig]) > 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(bucket" in plan and "Window" not in plan
+    docs = df.where("__key != 42")
+    rest = [t for i, t in enumerate(texts) if i != 42]
+    got = sorted((r["__key"], r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_earlier(docs, key="__key", keep=False).collect())
+    assert [r[1:] for r in got] == [r[1:5] for r in earlier(rest)]
+    df.unpersist()
