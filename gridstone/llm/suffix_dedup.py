@@ -175,12 +175,12 @@ def remove_earlier(documents: DataFrame, key: str = "doc_id", text: str = "text"
     aside.drop("digits")
     first = strings.groupBy("sig", "run").agg(F.min("__key").alias("__first"))
     several = first.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig", F.lit(True).alias("several"))
-    judged = strings.join(first.join(several, "sig", "left"), ["sig", "run"])
+    judged = strings.join(aside.put(first.join(several, "sig", "left"), "firsts"), ["sig", "run"])
     settled, still = F.when(F.col("__key") > F.col("__first"), F.col("run")), F.when((F.col("__key") == F.col("__first")) & F.col("several"), F.col("run"))
     state = aside.put(judged.select("__key", settled.alias("s"), still.alias("o")).where("s is not null or o is not null")
                     .groupBy("__key").agg(F.collect_list("s").alias("settled"), F.collect_list("o").alias("open")), "judged")
 
-    aside.drop("runs")
+    aside.drop("runs", "firsts")
 
     # Pass 3: a longer digit, for the suffixes of runs that are left.
     def longer(batch, s):
