@@ -8,21 +8,26 @@ A node knows the bounding boxes of its children.
 
 A position first goes down to the leaf whose stretch of the curve it falls on: one row, no regrouping.
 The best point of that leaf bounds the answer. Then it goes down again with the bound, into every box
-that is not farther away, mostly one or two, and the points found within the bound are compared.
+that is not farther away, mostly one or two, and the points found within the bound are compared. On the
+way the boxes of each level lower the bound, as each of their sides has a point: so a poor leaf, as
+for positions far from a cluster, does not lead through all of the cluster.
 Every level is an equi-join by node. Which of these joins are broadcast is Spark's choice, from the
 sizes of the stored tables; then positions stay where their first exchange put them.
 
 Positions that lie together go down together: those of one tile of the extent as the box around them,
-which finds all points that are nearest to any place in it. Each row then compares these few. Tiles are about as
-many as points. A tile that has more than ``MANY`` such points, as beside a dense cluster, or comes to four times as many boxes, leaves
+which finds all points that are nearest to any place in it. A point that is farther from all four corners than one
+other point is nearest to none of it, however far the tile is from both. Each row then compares these few. Tiles are about as
+many as points. A tile that has more than ``MANY`` such points, as beside a dense cluster, or comes to more than ``BOXES`` boxes of a level, leaves
 its positions to be searched one by one.
 """
 
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
@@ -31,7 +36,7 @@ from gridstone.operators.summarise import global_rank
 from gridstone.session import written_once
 
 LEAF, FAN, TOP = 16, 8, 32
-MANY = 256
+MANY, BOXES = 256, 128
 _BOX = ("x0", "y0", "x1", "y1")
 _CURVE_BITS = 31
 # Rows without a position are spread over so many keys.
@@ -60,13 +65,16 @@ def _spread_bits(c: Column) -> Column:
 
 
 def _along_curve(extent: dict[str, float], x: str, y: str) -> Column:
-    """Place on the curve; what lies outside the extent is moved to its edge."""
+    """Place on the curve; what lies outside the extent is moved to its edge. Both axes have one scale, so that
+    a long narrow extent is not cut into splinters."""
+    # Halved first: the span of two doubles may exceed a double.
+    half = max(extent[f"{c}1"] / 2 - extent[f"{c}0"] / 2 for c in "xy")
+
     def step(c: str, of: str) -> Column:
-        low, high = extent[f"{c}0"], extent[f"{c}1"]
-        if not high > low:
+        low = extent[f"{c}0"]
+        if not half > 0:
             return F.lit(0).cast("long")
-        # Divided first: the span of two doubles may exceed a double.
-        share = F.col(of) / (high / 2 - low / 2) / 2 - low / (high / 2 - low / 2) / 2
+        share = F.col(of) / half / 2 - low / half / 2
         return F.floor(F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)) * (2**_CURVE_BITS - 1)).cast("long")
 
     return _spread_bits(step("x", x)).bitwiseOR(F.shiftleft(_spread_bits(step("y", y)), 1))
@@ -151,10 +159,9 @@ def nearest_join(
     located = _located(x, y)
     keyed = left.withColumns({"__x": F.when(located, x), "__y": F.when(located, y)})
     keyed = written_once(keyed.withColumn("__tile", F.coalesce(_tile(index, max_distance), spread)), "nearest_left")
-    asked, answered = Observation(), Observation()
-    tiles = keyed.where("__tile >= 0").groupBy("__tile").agg(
-        *[f(f"__{a}").alias(f"__{a}{k}") for k, f in enumerate((F.min, F.max)) for a in "xy"]).observe(asked, F.count(F.lit(1)).alias("n"))
-    near = written_once(candidates(tiles, index, max_distance).observe(answered, F.count(F.lit(1)).alias("n")), "nearest_candidates")
+    tiles = written_once(keyed.where("__tile >= 0").groupBy("__tile").agg(
+        *[f(f"__{a}").alias(f"__{a}{k}") for k, f in enumerate((F.min, F.max)) for a in "xy"]), "nearest_tiles")
+    near = written_once(candidates(tiles, index, max_distance), "nearest_candidates")
 
     def placed(rows: DataFrame, d2: Column, place: Column) -> DataFrame:
         """The rows with what was found."""
@@ -172,7 +179,8 @@ def nearest_join(
         return placed(rows, F.col("__d2"), F.col("__place"))
 
     joined = keyed.join(near, "__tile", "left")
-    if not index.top or asked.get.get("n", 0) == answered.get.get("n", 0):
+    # Counted in the files: adaptive execution may drop an observation with the rows, if there are none.
+    if not index.top or tiles.count() == near.count():
         return settled(joined)
     # Positions of tiles without an answer: dealt anew, lest small partitions are joined to a few tasks.
     # In the order of the grouping that made them distinct, Spark would take this for done.
@@ -219,12 +227,10 @@ def candidates(tiles: DataFrame, index: NearestIndex, max_distance: float) -> Da
         return index.leaves.select(F.col("id").alias("__tile"), F.col("points").alias("__near"))
     box = [f"__{b}" for b in _BOX]
     # Few bytes and much work a tile, see below; the box comes first, as the tile alone would be taken for done.
-    dealt = tiles.repartition(_tasks(tiles), "__x0", "__tile")
-    # The descent is bounded by the points of one leaf; all that it came to give a closer bound.
-    points = _reached(dealt, ["__tile", *box], box, index, max_distance, 4 * MANY)
-    x, y, (x0, y0, x1, y1) = F.col("x"), F.col("y"), (F.col(c) for c in box)
-    points = points.withColumns({"__far": F.min(_most(x, y, x0, y0, x1, y1)).over(Window.partitionBy("__tile", *box))})
-    points = points.where(_least(x, y, x, y, x0, y0, x1, y1) <= F.col("__far"))
+    # Boxes with corners so far out that squares overflow are left to the search of places.
+    finite = reduce(operator.and_, (F.abs(F.col(b)) < 1e100 for b in box))
+    dealt = tiles.where(finite).repartition(_tasks(tiles), "__x0", "__tile")
+    points = _reached(dealt, ["__tile", *box], box, index, max_distance, BOXES)
     return points.groupBy("__tile", *box).agg(F.sort_array(F.collect_list(F.struct("place", "x", "y"))).alias("__near")).where(F.size("__near") <= MANY).select("__tile", "__near")
 
 
@@ -235,7 +241,19 @@ def _least(a0: Column, b0: Column, a1: Column, b1: Column, x0: Column, y0: Colum
 
 def _most(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Largest squared distance of a point to a place in a box."""
-    return _squared(F.greatest(x - x0, x1 - x), F.greatest(y - y0, y1 - y))
+    return _most_along(x, x0, x1) + _most_along(y, y0, y1)
+
+
+def _most_along(a: Column, low: Column, high: Column) -> Column:
+    """Square of the largest distance of a place to one of a stretch."""
+    most = F.greatest(a - low, high - a)
+    return most * most
+
+
+def _gap(a: Column, low: Column, high: Column) -> Column:
+    """Square of the smallest distance of a place to one of a stretch."""
+    gap = F.greatest(low - a, a - high, F.lit(0.0))
+    return gap * gap
 
 
 def search(positions: DataFrame, index: NearestIndex, max_distance: float) -> DataFrame:
@@ -251,13 +269,43 @@ def _reached(asked: DataFrame, at: list[str], box: list[str], index: NearestInde
     that stay, ``box`` those of its corners. What comes to more than ``many`` boxes of a level is dropped.
 
     Boxes and points are rows in the bounded descent: that runs as generated code, which functions on
-    arrays do not. Rounding keeps order, so neither distance is beyond that of a place within the box."""
+    arrays do not. Its methods are compiled only while they are small, so few terms are compared.
+    ``__side`` is a box in which some point lies, and first how far from the middle at most. How much nearer that point
+    is than another changes evenly over the asked box: if it is nearer to all corners, it is to all places.
+    The squares of x and of y add up, so the least differences along both axes tell of all corners. Rounding adds less than the slack."""
     x0, y0, x1, y1 = (F.col(c) for c in box)
+    middle = (x0 / 2 + x1 / 2, y0 / 2 + y1 / 2)
     # The exact test of the distance is on the root; the square may be off in its last bits.
     reach = F.lit(float(max_distance) ** 2 * (1 + 1e-12))
     top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", "curve", *_BOX)]) for r in index.top])
     levels = [top, *(n.select("id", "children") for n in index.nodes)]
     leaves = index.leaves.select("id", "points")
+    together = Window.partitionBy(*at)
+
+    def side(*of: Column) -> Column:
+        return F.struct(_most(*middle, *of).alias("m"), *[c.alias(b) for c, b in zip(of, _BOX)])
+
+    def within_reach(*of: Column) -> Column:
+        return _least(*of, x0, y0, x1, y1) <= reach
+
+    def inside(*of: Column) -> Column:
+        if many is None:  # Places: rounding keeps order, so no slack is needed.
+            return _least(*of, x0, y0, x1, y1) <= F.least(F.col("__side.m"), reach)
+        (a0, b0, a1, b1), u = of, F.col("__within")
+        along_x = F.least(_gap(x0, a0, a1) - u["x0"], _gap(x1, a0, a1) - u["x1"])
+        along_y = F.least(_gap(y0, b0, b1) - u["y0"], _gap(y1, b0, b1) - u["y1"])
+        return along_x + along_y <= u["slack"]
+
+    def bounded(state: DataFrame, value: Column) -> DataFrame:
+        """The rows with ``__side`` and, for boxes, how far it is at most from their edges."""
+        state = state.select(*(c for c in state.columns if c not in ("__side", "__within")), _once(value, "__side"))
+        if many is not None:
+            # Beyond any reach, no infinite squares.
+            edges = {c: F.least(_most_along(F.col(b), F.col(f"__side.{c[0]}0"), F.col(f"__side.{c[0]}1")), F.lit(1e300)) for b, c in zip(box, _BOX)}
+            state = state.select("*", _once(F.struct(*[e.alias(c) for c, e in edges.items()]), "__within"))
+            slack = (F.greatest("__within.x0", "__within.x1") + F.greatest("__within.y0", "__within.y1")) * 1e-12 + 1e-300
+            state = state.withColumn("__within", F.struct("__within.*", slack.alias("slack")))
+        return state
 
     def entered(state: DataFrame, boxes: Column | DataFrame, *kept: str) -> DataFrame:
         """The children of the boxes that were come to."""
@@ -265,23 +313,34 @@ def _reached(asked: DataFrame, at: list[str], box: list[str], index: NearestInde
             state, boxes = state.join(boxes, "id"), F.col("children")
         return state.select(*at, *kept, F.inline(boxes))
 
-    def few(state: DataFrame) -> DataFrame:
-        if many is None:
-            return state
-        return state.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*at))).where(f"__n <= {many}").drop("__n")
+    def tightened(state: DataFrame, *sides: tuple[Column, ...]) -> DataFrame:
+        """The bound lowered by what stands in the rows of an asked box: each of the sides has a point."""
+        own = [side(*s) for s in sides]
+        state = state.withColumns({"__own": F.min(F.least(*own) if len(own) > 1 else own[0]).over(together), "__n": F.count(F.lit(1)).over(together)})
+        if many is not None and len(sides) > 1:
+            state = state.where(f"__n <= {many}")
+        return bounded(state, F.least("__side", "__own")).drop("__own", "__n")
 
-    middle = asked.select(*at, (x0 / 2 + x1 / 2).alias("__mx"), (y0 / 2 + y1 / 2).alias("__my"))
-    probe = middle.select(*at, _along_curve(index.extent, "__mx", "__my").alias("__curve"))
+    probe = asked.select(*at, middle[0].alias("__mx"), middle[1].alias("__my"))
+    probe = probe.select(*at, _along_curve(index.extent, "__mx", "__my").alias("__curve"))
     for boxes in levels:
         if isinstance(boxes, DataFrame):
             probe, boxes = probe.join(boxes, "id"), F.col("children")
         begun = F.size(F.filter(boxes, lambda b: b["curve"] <= F.col("__curve")))
         probe = probe.select(*at, "__curve", _once(F.get(boxes, F.greatest(begun - 1, F.lit(0)))["id"], "id"))
-    found = F.array_min(F.transform("points", lambda p: _most(p["x"], p["y"], x0, y0, x1, y1)))
-    state = probe.join(leaves, "id").select(*at, _once(F.least(reach, found), "__bound"))
-    for boxes in levels:
-        inside = _least(*(F.col(b) for b in _BOX), x0, y0, x1, y1) <= F.col("__bound")
-        state = few(entered(state, boxes, "__bound").where(inside).select(*at, "__bound", "id"))
-    points = state.join(leaves, "id").select(*at, "__bound", F.inline("points"))
-    x, y = F.col("x"), F.col("y")
-    return points.where(_least(x, y, x, y, x0, y0, x1, y1) <= F.col("__bound")).select(*at, "place", "x", "y")
+    found = F.array_min(F.transform("points", lambda p: F.struct(_squared(p["x"] - middle[0], p["y"] - middle[1]).alias("d2"), p["x"].alias("x"), p["y"].alias("y"))))
+    state = probe.join(leaves, "id").select(*at, _once(found, "__p"))
+    state = bounded(state, side(*(F.col(f"__p.{c}") for c in "xyxy"))).drop("__p")
+    held = ["__side"] if many is None else ["__side", "__within"]
+    left, low, right, high = edges = [F.col(b) for b in _BOX]
+    # The sides that are nearer to the middle.
+    x, y = (F.when(m - a <= b - m, a).otherwise(b) for m, a, b in zip(middle, edges, edges[2:]))
+    for i, boxes in enumerate(levels):
+        state = entered(state, boxes, *held).where(inside(*edges))
+        state = state.select(*at, *held, "id", *_BOX) if i else state.where(within_reach(*edges)).select(*at, *held, "id", *_BOX)
+        state = tightened(state, (x, low, x, high), (left, y, right, y)).where(inside(*edges)).select(*at, *held, "id")
+    spot = [F.col(c) for c in "xyxy"]
+    points = state.join(leaves, "id").select(*at, *held, F.inline("points")).where(inside(*spot) & within_reach(*spot))
+    if many is not None:
+        points = tightened(points, tuple(spot)).where(inside(*spot))
+    return points.select(*at, "place", "x", "y")

@@ -163,6 +163,38 @@ def test_a_tile_is_searched_once(spark):
     assert len(lists) == 400 and all(f"P{i:03d}" in found and len(found) <= 9 for i, found in lists.items())
 
 
+def _grid(name, n, x, y):
+    """Points of a millimetre grid, forty to a row."""
+    return [(f"{name}{i:05d}", "D", x + i % 40 / 1e3, y + i // 40 / 1e3) for i in range(n)]
+
+
+def test_a_tile_far_from_a_cluster_has_few_candidates(spark):
+    """All of the cluster is about as far as the tile is wide; still only points at its corners are nearest."""
+    right = _grid("A", 6000, 0.0, 0.0)
+    index = build_index(spark.createDataFrame(right, RIGHT), max_distance=9000)
+    at = [(3000.0, 3000.0), (-3000.0, 2000.0), (-2000.0, -3000.0), (3000.0, -10.0), (8900.0, 8900.0)]
+    boxes = spark.createDataFrame([(i, x, y, x + 9.5, y + 9.5) for i, (x, y) in enumerate(at)], "__tile long, __x0 double, __y0 double, __x1 double, __y1 double")
+    found = {r[0]: [p.place.postcode for p in r[1]] for r in nearest.candidates(boxes, index, 9000).collect()}
+    assert found[0] == ["A05999"] and found[1] == ["A05960"] and found[2] == ["A00000"] and "A00039" in found[3] and 4 not in found
+    left = [(i, x + j % 5 * 2, y + j // 5 * 2) for j in range(25) for i, (x, y) in enumerate(at, 5 * j)]
+    assert run(spark, left, right, 9000) == brute(left, right, 9000)
+
+
+def test_a_far_cluster_is_not_gone_through(spark):
+    """The stretch of the curve leads to the wrong one of two clusters; the boxes on the way correct that."""
+    right = _grid("A", 4000, 0.0, 0.0) + _grid("B", 4001, 0.0, 2500.0)
+    index = build_index(spark.createDataFrame(right, RIGHT), max_distance=9000)
+    left = [(i, x, y) for i, (x, y) in enumerate((x + 7.0 * j, y) for j in range(4) for x in (3000.0, -3000.0) for y in (1200.0, 1300.0, 1800.0, 2450.0, 4000.0))]
+    positions = spark.createDataFrame([(x, y) for _, x, y in left], "__x double, __y double")
+    assert nearest._reached(positions, ["__x", "__y"], ["__x", "__y"] * 2, index, 9000).count() < 16 * len(left)
+    hits = {(r["__x"], r["__y"]): r["__hit"].place.postcode for r in nearest.search(positions, index, 9000).collect()}
+    assert hits == {(x, y): code for (_, x, y), code in zip(left, brute(left, right, 9000).values())}
+
+
+def test_no_position_in_reach(spark):
+    assert run(spark, [(0, 197.0, 215.0)], [("A", "D", 20.0, 132.0)], 1) == {0: None}
+
+
 def test_no_nested_loops(spark, path):
     left = spark.createDataFrame([(1, 3.0, 4.0)], LEFT)
     right = spark.createDataFrame([("A", "D", 0.0, 0.0)], RIGHT)
